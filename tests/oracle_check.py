@@ -1,0 +1,75 @@
+"""Run registered queries beside their SQL and compare all values.
+
+    python tests/oracle_check.py [sf_dir] [query ...]
+"""
+
+from __future__ import annotations
+
+import glob
+import math
+import os
+import sys
+import time
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def connect(sf_dir: str):
+    import duckdb
+    con = duckdb.connect()
+    for path in glob.glob(f"{sf_dir}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def _rows(columns: list[str], rows: list[tuple]) -> list[tuple]:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted((tuple(row[i] for i in order) for row in rows),
+                  key=lambda row: tuple((v is None, str(type(v)), v) for v in row))
+
+
+def _same(a, b) -> bool:
+    if isinstance(a, float) and isinstance(b, float):
+        return a == b or (math.isnan(a) and math.isnan(b))
+    return type(a) is type(b) and a == b
+
+
+def differences(spark_df, con, sql: str) -> list[str]:
+    """Empty when columns, row count and every value agree exactly."""
+    result = con.execute(sql)
+    names = [d[0] for d in result.description]
+    if sorted(names) != sorted(spark_df.columns):
+        return [f"columns {sorted(spark_df.columns)} / {sorted(names)}"]
+    ours = _rows(spark_df.columns, [tuple(r) for r in spark_df.collect()])
+    theirs = _rows(names, result.fetchall())
+    if len(ours) != len(theirs):
+        return [f"rows {len(ours)} / {len(theirs)}"]
+    bad = [(a, b) for a, b in zip(ours, theirs) if not all(map(_same, a, b))]
+    return [f"{len(bad)} rows differ, first: {bad[0]}"] if bad else []
+
+
+def main() -> int:
+    from tests.conftest import build_session
+
+    import __spark_entry__ as e
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    chosen = sys.argv[2:] or list(e.queries())
+    spark, con, failed = build_session(), connect(sf_dir), 0
+    for name in chosen:
+        begin = time.time()
+        df = e.queries()[name](spark, sf_dir)
+        sql = e.oracle_sql().get(name)
+        if sql is None:
+            print(f"rows  {name}: {df.count()} ({time.time() - begin:.2f}s)", flush=True)
+            continue
+        found = differences(df, con, sql)
+        failed += bool(found)
+        print(f"{'FAIL' if found else 'ok  '}  {name} ({time.time() - begin:.2f}s) "
+              f"{'; '.join(found)[:600]}", flush=True)
+    spark.stop()
+    return 1 if failed else 0
+
+
+if __name__ == "__main__":
+    sys.exit(main())
