@@ -50,10 +50,11 @@ def clean_trips(trips: DataFrame, *keep: str,
     )
 
 
-def clean_audit(trips: DataFrame,
+def clean_audit(trips: DataFrame, *by: str,
                 minutes: tuple[float, float] = MINUTES,
                 miles: tuple[float, float] = MILES) -> DataFrame:
-    """One row: rows in, rows each rule drops, rows out. One pass.
+    """Rows in, rows each rule drops, rows out; one row, or one per ``by`` group.
+    One pass.
 
     Rules apply in order: duration, distance, missing values; a row counts for
     the first rule it fails.
@@ -64,7 +65,7 @@ def clean_audit(trips: DataFrame,
     complete = F.lit(True)
     for c in columns:
         complete = complete & F.col(c).isNotNull()
-    return add_calendar(add_duration(trips)).agg(
+    return add_calendar(add_duration(trips)).groupBy(*by).agg(
         F.count("*").alias("rows_in"),
         F.count_if(~duration_ok).alias("dropped_duration"),
         F.count_if(duration_ok & ~distance_ok).alias("dropped_distance"),

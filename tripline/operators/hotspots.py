@@ -41,9 +41,9 @@ def hotspots(trips: DataFrame, zones: DataFrame, top: int = TOP_ZONES) -> DataFr
 
 
 def mappable(spots: DataFrame) -> DataFrame:
-    """Rows that can be placed on a map: both coordinates present and not 0."""
-    return spots.filter("latitude is not null and latitude <> 0 "
-                        "and longitude is not null and longitude <> 0")
+    """Rows that can be placed on a map: both coordinates are numbers other than 0."""
+    return spots.filter("latitude is not null and latitude <> 0 and not isnan(latitude) "
+                        "and longitude is not null and longitude <> 0 and not isnan(longitude)")
 
 
 def hotspot_markers(spots: DataFrame, expected: int = MAX_EXPECTED_TRIPS,

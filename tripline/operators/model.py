@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripline.operators.requests import valid_requests
-from tripline.sources.files import require
+from tripline.sources.files import written_by
 from tripline.sources.schemas import FEATURES, LABEL
 
 # Size of the forest.
@@ -38,7 +38,9 @@ def save(model: PipelineModel, path: str) -> None:
 
 
 def load(spark: SparkSession, path: str) -> PipelineModel:
-    return PipelineModel.load(require(spark, path, "the training job"))
+    with written_by("the training job", path):
+        spark.read.text(f"{path}/metadata")
+    return PipelineModel.load(path)
 
 
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:

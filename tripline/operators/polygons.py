@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -12,16 +12,29 @@ RING = ["LocationID", "part_id", "ring_id"]
 BLOCK = 4096
 
 
+def _in_blocks(vertices: DataFrame, block: int) -> DataFrame:
+    return vertices.withColumn("__block", F.expr(f"seq div {int(block)}"))
+
+
+def _edge(x: str, y: str, x1: str, y1: str, ox: str, oy: str, suffix: str = "") -> list[Column]:
+    """Twice the signed area under an edge seen from (ox, oy), and its moments."""
+    u, v = F.col(x) - F.col(ox), F.col(y) - F.col(oy)
+    u1, v1 = F.col(x1) - F.col(ox), F.col(y1) - F.col(oy)
+    cross = u * v1 - u1 * v
+    return [cross.alias(f"cross{suffix}"), ((u + u1) * cross).alias(f"mx{suffix}"),
+            ((v + v1) * cross).alias(f"my{suffix}")]
+
+
 def ring_edges(vertices: DataFrame, block: int = BLOCK) -> DataFrame:
     """Each vertex with the next one of its ring (``x1``, ``y1``); the last
-    connects to the first. Adds the ring's first vertex as ``x0``, ``y0``.
+    connects to the first.
 
     A window over whole rings would put a huge ring into one task. Here it runs
     within blocks of ``block`` consecutive ``seq`` values; only the first vertex
     of each block enters a window per ring, and comes back by a join on the
     partitioning the vertices already have. ``seq`` may have gaps.
     """
-    cut = vertices.withColumn("__block", F.floor(F.col("seq") / block))
+    cut = _in_blocks(vertices, block)
     within = Window.partitionBy(*RING, "__block").orderBy("seq")
     edges = cut.withColumns({
         "__x1": F.lead("x").over(within),
@@ -30,46 +43,72 @@ def ring_edges(vertices: DataFrame, block: int = BLOCK) -> DataFrame:
     heads = cut.groupBy(*RING, "__block").agg(
         F.min_by("x", "seq").alias("__hx"), F.min_by("y", "seq").alias("__hy"))
     along = Window.partitionBy(*RING).orderBy("__block")
-    whole = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    heads = heads.withColumns({
-        "x0": F.first("__hx").over(whole),
-        "y0": F.first("__hy").over(whole),
-        "__nx": F.lead("__hx").over(along),
-        "__ny": F.lead("__hy").over(along),
-    })
+    heads = heads.select(
+        *RING, "__block",
+        F.coalesce(F.lead("__hx").over(along), F.first("__hx").over(along)).alias("__nx"),
+        F.coalesce(F.lead("__hy").over(along), F.first("__hy").over(along)).alias("__ny"),
+    )
     return edges.join(heads, [*RING, "__block"]).select(
         *RING, "seq", "x", "y",
-        F.coalesce("__x1", "__nx", "x0").alias("x1"),
-        F.coalesce("__y1", "__ny", "y0").alias("y1"),
-        "x0", "y0",
+        F.coalesce("__x1", "__nx").alias("x1"),
+        F.coalesce("__y1", "__ny").alias("y1"),
     )
 
 
 def polygon_centroids(vertices: DataFrame, block: int = BLOCK) -> DataFrame:
     """Area-weighted planar centroid and area per LocationID.
 
-    Parts add up; holes are wound the other way and subtract. Sums are taken
-    relative to each ring's first vertex, which keeps digits when the polygon is
-    small and far from the origin. Both groupings combine before their shuffle.
+    Parts add up; holes are wound the other way and subtract. A ring is cut into
+    chains of ``block`` consecutive ``seq`` values. Closing each chain on its own
+    first vertex f gives one polygon per chain, and the chain ends f1, l1, f2,
+    l2, ... form one more; areas and first moments of these pieces add up to the
+    ring's. So vertices shuffle once, however large a ring is, and only one row
+    per chain goes on. Each piece is summed relative to its first vertex, which
+    keeps digits when a polygon is small and far from the origin.
     """
-    u, v = F.col("x") - F.col("x0"), F.col("y") - F.col("y0")
-    u1, v1 = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
-    cross = u * v1 - u1 * v
-    rings = (
-        ring_edges(vertices, block)
-        .groupBy(*RING)
-        .agg(F.sum(cross).alias("twice_area"),
-             F.sum((u + u1) * cross).alias("mx"),
-             F.sum((v + v1) * cross).alias("my"),
-             F.first("x0").alias("x0"), F.first("y0").alias("y0"))
+    within = Window.partitionBy(*RING, "__block").orderBy("seq")
+    chains = (
+        _in_blocks(vertices, block)
+        .withColumns({
+            "fx": F.first("x").over(within), "fy": F.first("y").over(within),
+            "x1": F.lead("x").over(within), "y1": F.lead("y").over(within),
+        })
+        .select(*RING, "__block", "seq", "x", "y", "fx", "fy",
+                *_edge("x", "y", "x1", "y1", "fx", "fy"))
+        .groupBy(*RING, "__block")
+        .agg(*[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in ("cross", "mx", "my")],
+             F.first("fx").alias("fx"), F.first("fy").alias("fy"),
+             F.max_by("x", "seq").alias("lx"), F.max_by("y", "seq").alias("ly"))
+    )
+    along = Window.partitionBy(*RING).orderBy("__block")
+    linked = chains.withColumns({
+        "ox": F.first("fx").over(along), "oy": F.first("fy").over(along),
+        "nx": F.lead("fx").over(along), "ny": F.lead("fy").over(along),
+    })
+    ends = linked.select(
+        "LocationID", "cross",
+        (F.col("mx") + F.col("fx") * F.col("cross") * 3).alias("mx"),
+        (F.col("my") + F.col("fy") * F.col("cross") * 3).alias("my"),
+        "ox", "oy",
+        *_edge("fx", "fy", "lx", "ly", "ox", "oy", suffix="_chord"),
+        # after the last chain the ring closes on its origin: no contribution
+        *[F.coalesce(c, F.lit(0.0)).alias(name) for c, name in zip(
+            _edge("lx", "ly", "nx", "ny", "ox", "oy", suffix="_link"),
+            ("cross_link", "mx_link", "my_link"), strict=True)],
+    )
+    outer = F.col("cross_chord") + F.col("cross_link")
+    sums = ends.groupBy("LocationID").agg(
+        F.sum(F.col("cross") + outer).alias("twice_area"),
+        F.sum(F.col("mx") + F.col("mx_chord") + F.col("mx_link") + F.col("ox") * outer * 3)
+        .alias("mx"),
+        F.sum(F.col("my") + F.col("my_chord") + F.col("my_link") + F.col("oy") * outer * 3)
+        .alias("my"),
     )
-    area = F.sum("twice_area")
-    return rings.groupBy("LocationID").agg(
-        F.try_divide(F.sum(F.col("mx") / 3 + F.col("x0") * F.col("twice_area")), area)
-        .alias("longitude"),
-        F.try_divide(F.sum(F.col("my") / 3 + F.col("y0") * F.col("twice_area")), area)
-        .alias("latitude"),
-        F.abs(area / 2).alias("area"),
+    return sums.select(
+        "LocationID",
+        F.try_divide("mx", F.col("twice_area") * 3).alias("longitude"),
+        F.try_divide("my", F.col("twice_area") * 3).alias("latitude"),
+        F.abs(F.col("twice_area") / 2).alias("area"),
     )
 
 

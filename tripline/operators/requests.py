@@ -26,29 +26,28 @@ def _checks() -> dict[str, Column]:
 
 
 def check_requests(requests: DataFrame) -> DataFrame:
-    """Cast the five text fields and list the invalid ones in ``invalid``.
+    """Cast the five text fields; add the first and all invalid field names.
 
     try_cast, since a plain cast of bad text raises under ANSI. Narrow; the
     text stays in the row for the report of rejected requests.
     """
     cast = requests.withColumns(
         {f"__{f.name}": F.col(f.name).try_cast(f.dataType) for f in REQUEST.fields})
-    invalid = F.array_compact(F.array(*[
-        F.when(~ok, F.lit(name)) for name, ok in _checks().items()]))
-    return cast.withColumn("invalid", invalid)
+    failed = [F.when(~ok, F.lit(name)) for name, ok in _checks().items()]
+    return cast.withColumns({"first_invalid": F.coalesce(*failed),
+                             "all_invalid": F.concat_ws(",", *failed)})
 
 
 def valid_requests(requests: DataFrame, key: str) -> DataFrame:
     """Typed requests that pass every check, ready to score."""
-    return (check_requests(requests).filter(F.size("invalid") == 0)
+    return (check_requests(requests).filter("first_invalid is null")
             .select(key, *[F.col(f"__{name}").alias(name) for name in FEATURES]))
 
 
 def rejected_requests(requests: DataFrame, key: str) -> DataFrame:
     """Failing requests as received, with the first and all invalid fields."""
-    return (check_requests(requests).filter(F.size("invalid") > 0)
-            .select(key, *FEATURES, F.col("invalid")[0].alias("first_invalid"),
-                    F.array_join("invalid", ",").alias("all_invalid")))
+    return (check_requests(requests).filter("first_invalid is not null")
+            .select(key, *FEATURES, "first_invalid", "all_invalid"))
 
 
 def replies(scored: DataFrame, key: str) -> DataFrame:

@@ -23,6 +23,11 @@ def zone_map(records: DataFrame, order: str) -> DataFrame:
     )
 
 
+def zone_map_of_table(zones: DataFrame) -> DataFrame:
+    """``zone_map`` of a zone file; on a repeated id the later line wins."""
+    return zone_map(zones.withColumn("__line", F.monotonically_increasing_id()), "__line")
+
+
 def zone_map_column(zone_rows: DataFrame, limit: int = MAP_LIMIT) -> DataFrame:
     """The map as one value, ``{id: {lat, lon}}``, from the rows of ``zone_map``.
 

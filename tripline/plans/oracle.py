@@ -203,7 +203,12 @@ MONTH_TRIPS = """trips AS (
          CAST(year(o_orderdate) AS integer) AS year, CAST(month(o_orderdate) AS integer) AS month,
          (epoch_us(drop_) // 1000000 - epoch_us(pick) // 1000000) / 60.0::double AS mins,
          o_custkey, o_orderkey
-  FROM orders WHERE o_orderdate IS NOT NULL)"""
+  FROM orders WHERE o_orderdate IS NOT NULL),
+flags AS (
+  SELECT *, coalesce(mins > 2 AND mins < 120, false) AS a,
+         coalesce(trip_distance > 0 AND trip_distance < 100, false) AS b,
+         o_custkey IS NOT NULL AND o_orderkey IS NOT NULL AS c
+  FROM trips)"""
 
 ORACLE: dict[str, str] = {
     "clean_trips": f"WITH {CLEAN} {ROUNDED_CLEAN}",
@@ -304,10 +309,15 @@ SELECT LocationID, part_id, ring_id, seq, x, y, x1, y1 FROM edges""",
   CAST(0 AS bigint) AS other_month
 FROM orders GROUP BY ALL""",
     "monthly_landing": f"""WITH {MONTH_TRIPS}
+SELECT year, month, count(*) AS rows_in, count(*) FILTER (NOT a) AS dropped_duration,
+       count(*) FILTER (a AND NOT b) AS dropped_distance,
+       count(*) FILTER (a AND b AND NOT c) AS dropped_missing,
+       count(*) FILTER (a AND b AND c) AS rows_out
+FROM flags GROUP BY year, month""",
+    "stream_months": f"""WITH {MONTH_TRIPS}
 SELECT year, month, count(*) AS trips, round(sum(trip_distance), 3) AS miles,
-       nullif(count(*) FILTER (mins > 2 AND mins < 120 AND trip_distance > 0
-                               AND trip_distance < 100), 0) AS clean_trips
-FROM trips GROUP BY year, month""",
+       round(sum(mins), 3) AS minutes
+FROM flags WHERE a AND b AND c GROUP BY year, month""",
     "json_csv_roundtrip": f"""WITH {HOT}
 SELECT LocationID, zone, borough, round(latitude, 6) AS latitude,
        round(longitude, 6) AS longitude, trip_count

@@ -251,8 +251,8 @@ def _month_files(spark: SparkSession, sf_dir: str) -> str:
     (trips.withColumn("file", F.format_string(
         "trips_%04d-%02d.parquet", F.year("tpep_pickup_datetime"),
         F.month("tpep_pickup_datetime")))
-     .write.partitionBy("file").parquet(source))
-    # partition folders are named file=trips_YYYY-MM.parquet
+     # one month may hold most rows: rebalance splits it, and joins small ones
+     .hint("rebalance", "file").write.partitionBy("file").parquet(source))
     return source
 
 
@@ -272,12 +272,7 @@ def monthly_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = _month_files(spark, sf_dir), scratch(spark, "landed")
     months.land_months(spark, source, target)
     months.land_months(spark, source, target)
-    landed = months.read_landed(spark, target)
-    per_month = landed.groupBy("year", "month").agg(
-        F.count("*").alias("trips"), F.round(F.sum("trip_distance"), 3).alias("miles"))
-    kept = (clean.clean_trips(landed, "year", "month").groupBy("year", "month")
-            .agg(F.count("*").alias("clean_trips")))
-    return per_month.join(kept, ["year", "month"], "left")
+    return clean.clean_audit(months.read_landed(spark, target), "year", "month")
 
 
 @query
@@ -367,7 +362,18 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = scratch(spark, "ingested")
-    jobs.stream_ingest(adapters.trips_from_events(_event_stream(spark, sf_dir)), KEY,
+    jobs.stream_ingest(adapters.trips_from_events(_event_stream(spark, sf_dir)), [KEY],
                        target, f"{target}-checkpoint").awaitTermination()
     landed = spark.read.schema(_clean(spark, sf_dir, KEY).schema).parquet(target)
     return _rounded(landed, 4, "trip_distance", LABEL)
+
+
+@query
+def stream_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly files cleaned by a stream that runs twice: the second adds nothing."""
+    source, target = _month_files(spark, sf_dir), scratch(spark, "cleaned-months")
+    for _ in range(2):
+        jobs.stream_months(spark, source, target, f"{target}-checkpoint").awaitTermination()
+    return (spark.read.parquet(target).groupBy("year", "month")
+            .agg(F.count("*").alias("trips"), F.round(F.sum("trip_distance"), 3).alias("miles"),
+                 F.round(F.sum(LABEL), 3).alias("minutes")))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tripline.sources.schemas import ZONES
@@ -14,28 +15,21 @@ class MissingArtefact(FileNotFoundError):
     """An input that an earlier job should have written is not there."""
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+@contextmanager
+def written_by(job: str, path: str):
+    """Turn a missing path into an error that names the job to run."""
     try:
-        # path listing only; no file is opened
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        yield
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
-
-
-def require(spark: SparkSession, path: str, made_by: str) -> str:
-    """Return ``path`` or raise, naming the job that writes it."""
-    if not exists(spark, path):
-        raise MissingArtefact(f"{path} not found; run {made_by} first")
-    return path
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise MissingArtefact(f"{path} not found; run {job} first") from error
 
 
 def read_zones(spark: SparkSession, path: str) -> DataFrame:
     """Zone table from CSV with a header line."""
-    require(spark, path, "the zone export")
-    return spark.read.schema(ZONES).option("header", True).csv(path)
+    with written_by("the zone export", path):
+        return spark.read.schema(ZONES).option("header", True).csv(path)
 
 
 def write_zones(zones: DataFrame, path: str) -> None:
@@ -54,16 +48,11 @@ def read_records(spark: SparkSession, path: str, schema: StructType, made_by: st
 
     Malformed input raises instead of turning into null rows.
     """
-    require(spark, path, made_by)
-    return (spark.read.schema(schema).option("mode", "FAILFAST")
-            .option("multiLine", array_file).json(path))
+    with written_by(made_by, path):
+        return (spark.read.schema(schema).option("mode", "FAILFAST")
+                .option("multiLine", array_file).json(path))
 
 
 def literal_rows(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
     """A few rows from the caller, e.g. one interactive request."""
     return spark.createDataFrame(rows, schema)
-
-
-def row_count(df: DataFrame) -> DataFrame:
-    """One row, one column: the number of rows."""
-    return df.agg(F.count("*").alias("rows"))

@@ -19,24 +19,27 @@ def month_fields(path: Column) -> tuple[Column, Column]:
     return (F.regexp_extract(path, MONTH_NAME, 1), F.regexp_extract(path, MONTH_NAME, 2))
 
 
-def read_months(spark: SparkSession, *paths: str, schema: StructType = TRIP_FILES) -> DataFrame:
-    """All given trip files with ``trip_id``, ``year`` and ``month`` added.
+def month_rows(files: DataFrame, schema: StructType = TRIP_FILES) -> DataFrame:
+    """Add ``trip_id``, ``year`` and ``month`` to a scan, batch or stream.
 
     ``trip_id`` is the row's address, so exact copies keep separate ids.
     """
     year, month = month_fields(F.col("_metadata.file_path"))
-    return (
-        spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*paths)
-        .select(
-            row_address().alias("trip_id"),
-            *[F.col(c).cast("int").alias(c) if c.endswith("LocationID") else F.col(c)
-              for c in schema.fieldNames()],
-            year.try_cast("int").alias("year"),
-            month.try_cast("int").alias("month"),
-        )
+    return files.select(
+        row_address().alias("trip_id"),
+        *[F.col(c).cast("int").alias(c) if c.endswith("LocationID") else F.col(c)
+          for c in schema.fieldNames()],
+        year.try_cast("int").alias("year"),
+        month.try_cast("int").alias("month"),
     )
 
 
+def read_months(spark: SparkSession, *paths: str, schema: StructType = TRIP_FILES) -> DataFrame:
+    """All trip files below the given paths, any number of months."""
+    return month_rows(
+        spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*paths), schema)
+
+
 def months_in(spark: SparkSession, source: str) -> DataFrame:
     """Distinct (year, month) of the files below ``source``, from names alone."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)

@@ -15,6 +15,8 @@ from pyspark.sql.types import StructType
 from tripline.operators.clean import clean_trips
 from tripline.operators.model import score_requests
 from tripline.operators.requests import replies
+from tripline.sources.months import month_rows
+from tripline.sources.schemas import TRIP_FILES
 
 FILES_PER_BATCH = 1000
 
@@ -50,8 +52,19 @@ def stream_scores(model: PipelineModel, requests: DataFrame, key: str, target: s
                        drain=drain)
 
 
-def stream_ingest(trips: DataFrame, key: str, target: str, checkpoint: str,
+def stream_ingest(trips: DataFrame, keep: list[str], target: str, checkpoint: str,
+                  partitions: tuple[str, ...] = (), drain: bool = True) -> StreamingQuery:
+    """Clean a stream of trips into Parquet, keeping the columns ``keep`` as well.
+
+    A file changed in place is not read again; corrections go through
+    ``sources.months.land_months``.
+    """
+    return _to_parquet(clean_trips(trips, *keep), target, checkpoint, *partitions, drain=drain)
+
+
+def stream_months(spark: SparkSession, source: str, target: str, checkpoint: str,
                   drain: bool = True) -> StreamingQuery:
-    """Clean a stream of trip files into Parquet. A file changed in place is not
-    read again; corrections go through ``sources.months.land_months``."""
-    return _to_parquet(clean_trips(trips, key), target, checkpoint, drain=drain)
+    """Clean monthly trip files as they arrive, partitioned by year and month."""
+    trips = month_rows(file_stream(spark, source, TRIP_FILES))
+    return stream_ingest(trips, ["trip_id", "year", "month"], target, checkpoint,
+                         ("year", "month"), drain)
