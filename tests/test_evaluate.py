@@ -1,0 +1,99 @@
+from __future__ import annotations
+
+import math
+import random
+
+import pytest
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.sql import functions as F
+
+from tripline.operators import bands, evaluate
+from tripline.sources.schemas import LABEL, SAMPLES
+
+
+@pytest.fixture(scope="module")
+def predictions(spark):
+    rng = random.Random(3)
+    rows = [(i, float(rng.choice([3.0, 4.0, 5.0, 6.0, 8.0, 10.0, 12.0])), 1, 2, 3, 4,
+             rng.uniform(3, 60)) for i in range(400)]
+    df = spark.createDataFrame(rows, "trip_id long, trip_distance double, PULocationID int, "
+                                     f"DOLocationID int, pickup_hour int, pickup_dow int, {LABEL} double")
+    return df.withColumn("prediction", F.col(LABEL) + (F.col("trip_id") % 7 - 3) * 0.6)
+
+
+@pytest.mark.parametrize("metric, column", [("rmse", "RMSE"), ("r2", "R2_Score"), ("mae", "MAE")])
+def test_metrics_equal_the_evaluator(predictions, metric, column):
+    theirs = RegressionEvaluator(labelCol=LABEL, predictionCol="prediction",
+                                 metricName=metric).evaluate(predictions)
+    assert evaluate.regression_metrics(predictions).first()[column] == pytest.approx(theirs, rel=1e-9)
+
+
+def test_constant_label_has_no_r2(spark):
+    df = spark.createDataFrame([(5.0, 4.0), (5.0, 6.0)], f"{LABEL} double, prediction double")
+    got = evaluate.regression_metrics(df).first()
+    assert (got.RMSE, got.R2_Score, got.MAE) == (1.0, None, 1.0)
+
+
+def test_metrics_record(spark):
+    df = spark.createDataFrame([(4.8234, 0.80114, 3.2061)], "RMSE double, R2_Score double, MAE double")
+    got = evaluate.metrics_display(evaluate.metrics_record(df)).first()
+    assert tuple(got) == (4.82, 0.8011, 3.21, "80.1%")
+
+
+def brute_bands(rows, per_band=5):
+    picked = []
+    for band, lo, hi in bands.BANDS:
+        good = [r for r in rows if lo <= r.trip_distance <= hi and r.abs_error < 1.5]
+        good.sort(key=lambda r: (r.trip_distance, r.trip_id))
+        picked += [(band, n + 1, r.trip_id) for n, r in enumerate(good[:per_band])]
+    return picked
+
+
+def test_banded_samples_and_union_equal_brute_force(predictions):
+    errors = evaluate.with_abs_error(predictions)
+    expected = brute_bands(errors.collect())
+    got = bands.banded_samples(errors, "trip_id").orderBy("band", "rn").collect()
+    assert [(r.band, r.rn, r.trip_id) for r in got] == expected
+    union = bands.banded_samples_union(errors, "trip_id").collect()
+    assert sorted((r.band, r.trip_id) for r in union) == sorted((b, t) for b, _, t in expected)
+
+
+def test_shared_edge_belongs_to_two_bands(spark):
+    df = spark.createDataFrame([(2.999,), (3.0,), (4.0,), (6.0,), (10.0,), (10.001,)],
+                               "trip_distance double")
+    expected = [(3.0, 1), (4.0, 1), (4.0, 2), (6.0, 3), (6.0, 4), (10.0, 4)]
+    table = spark.createDataFrame(bands.BANDS, "band int, lo double, hi double")
+    for joined in (bands.assign_bands(df), bands.band_join(df, table),
+                   bands.band_join(df, table, cell=0.3)):
+        assert sorted((r.trip_distance, r.band) for r in joined.collect()) == expected
+
+
+def test_band_join_over_many_bands(spark):
+    rng = random.Random(5)
+    table = []
+    for b in range(200):
+        lo = rng.uniform(-20, 90)
+        table.append((b, lo, lo + rng.uniform(0, 30)))
+    values = [rng.uniform(-30, 130) for _ in range(300)]
+    df = spark.createDataFrame([(v,) for v in values], "trip_distance double")
+    got = bands.band_join(df, spark.createDataFrame(table, "band int, lo double, hi double"))
+    assert sorted((r.trip_distance, r.band) for r in got.collect()) == sorted(
+        (v, b) for v in values for b, lo, hi in table if lo <= v <= hi)
+
+
+def test_sample_columns_and_rounding(predictions):
+    got = bands.banded_samples(evaluate.with_abs_error(predictions), "trip_id")
+    assert set(SAMPLES.fieldNames()) <= set(got.columns)
+    assert all(math.isclose(r[LABEL] * 100, round(r[LABEL] * 100)) for r in got.collect())
+
+
+def test_chart_tables(predictions):
+    line = evaluate.chart_line(predictions, "trip_id", rows=10).orderBy("idx").collect()
+    assert [(r.idx, r.trip_id) for r in line] == [(i + 1, i) for i in range(10)]
+    assert evaluate.chart_scatter(predictions, "trip_id", rows=50).count() == 50
+    assert evaluate.chart_scatter(predictions, "trip_id").count() == 400
+
+
+def test_error_margin(spark):
+    df = spark.createDataFrame([(1, 10.0, 12.3456)], f"trip_id int, {LABEL} double, prediction double")
+    assert tuple(evaluate.error_margin(df, "trip_id").first()) == (1, 10.0, 12.35, 2.35)

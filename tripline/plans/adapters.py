@@ -7,11 +7,11 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripline.sources.schemas import RINGS
+from tripline.sources.schemas import RINGS, TABLES
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def trips_from_events(events: DataFrame) -> DataFrame:

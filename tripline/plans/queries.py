@@ -20,7 +20,9 @@ from tripline.operators import (
 from tripline.operators import hotspots as spots
 from tripline.plans import adapters
 from tripline.sources import files, months
-from tripline.sources.schemas import FEATURES, HOTSPOTS, LABEL, METRICS, REQUEST, SAMPLES
+from tripline.sources.schemas import (
+    FEATURES, HOTSPOTS, LABEL, METRICS, REQUEST, SAMPLES, TABLES,
+)
 from tripline.sources.session import pin, scratch, settle
 from tripline.streaming import jobs
 
@@ -344,7 +346,7 @@ def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams --------------------------------------------------------------
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.file_stream(spark, sf_dir, _events(spark, sf_dir).schema, "events.parquet")
+    return jobs.file_stream(spark, f"{sf_dir}/events.parquet", TABLES["events"])
 
 
 @query

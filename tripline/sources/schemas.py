@@ -53,6 +53,15 @@ HOTSPOTS = _struct(
 
 METRICS = _struct(RMSE=DoubleType(), R2_Score=DoubleType(), MAE=DoubleType())
 
+# The columns read from the test tables.
+TABLES = {
+    "events": _struct(event_id=LongType(), ts=TimestampNTZType(), user_id=LongType(),
+                      value=DoubleType()),
+    "orders": _struct(o_orderkey=LongType(), o_custkey=LongType(), o_totalprice=DoubleType(),
+                      o_orderdate=TimestampNTZType()),
+    "customer": _struct(c_custkey=LongType()),
+}
+
 RINGS = _struct(
     LocationID=IntegerType(),
     part_id=IntegerType(),

@@ -21,14 +21,12 @@ from tripline.sources.schemas import TRIP_FILES
 FILES_PER_BATCH = 1000
 
 
-def file_stream(spark: SparkSession, path: str, schema: StructType, name_glob: str | None = None,
+def file_stream(spark: SparkSession, path: str, schema: StructType,
                 files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
-    """Parquet files as a stream; batches are bounded by the number of files."""
-    reader = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-              .option("recursiveFileLookup", True))
-    if name_glob:
-        reader = reader.option("pathGlobFilter", name_glob)
-    return reader.parquet(path)
+    """Parquet files at or below ``path`` as a stream; batches are bounded by the
+    number of files."""
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+            .option("recursiveFileLookup", True).parquet(path))
 
 
 def _to_parquet(rows: DataFrame, target: str, checkpoint: str, *partitions: str,
