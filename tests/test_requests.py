@@ -46,4 +46,4 @@ def test_reply_echoes_the_request(spark):
 
 def test_literal_rows_check_types(spark):
     with pytest.raises(Exception):
-        literal_rows(spark, [("far", 1, 1, 1, 1)], REQUEST)
+        literal_rows(spark, [("far", 1, 1, 1, 1)], REQUEST).collect()

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripline.operators.requests import valid_requests
-from tripline.sources.files import written_by
-from tripline.sources.schemas import FEATURES, LABEL
+from tripline.sources.files import literal_rows, written_by
+from tripline.sources.schemas import FEATURES, IMPORTANCES, LABEL
 
 # Size of the forest.
 TREES = 20
@@ -57,5 +57,4 @@ def feature_importances(spark: SparkSession, model: PipelineModel) -> DataFrame:
     """One row per feature, from the fitted forest."""
     scores = model.stages[-1].featureImportances.toArray()
     rows = [(name, float(score)) for name, score in zip(FEATURES, scores, strict=True)]
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(
-        F.desc("importance"), "feature")
+    return literal_rows(spark, rows, IMPORTANCES).orderBy(F.desc("importance"), "feature")

@@ -21,7 +21,7 @@ from tripline.operators import hotspots as spots
 from tripline.plans import adapters
 from tripline.sources import files, months
 from tripline.sources.schemas import (
-    FEATURES, HOTSPOTS, LABEL, METRICS, REQUEST, SAMPLES, TABLES,
+    BANDS, FEATURES, HOTSPOTS, LABEL, METRICS, REQUEST, SAMPLES, TABLES,
 )
 from tripline.sources.session import pin, scratch, settle
 from tripline.streaming import jobs
@@ -168,7 +168,7 @@ def banded_samples_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def band_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Band table joined by range: trips and mean error per band, all trips."""
-    table = files.literal_rows(spark, bands.BANDS, "band int, lo double, hi double")
+    table = files.literal_rows(spark, bands.BANDS, BANDS)
     errors = evaluate.with_abs_error(_predicted(spark, sf_dir))
     return bands.band_join(errors, table).groupBy("band").agg(
         F.count("*").alias("trips"),

@@ -6,6 +6,7 @@ from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tripline.sources.schemas import ZONES
@@ -54,5 +55,13 @@ def read_records(spark: SparkSession, path: str, schema: StructType, made_by: st
 
 
 def literal_rows(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
-    """A few rows from the caller, e.g. one interactive request."""
-    return spark.createDataFrame(rows, schema)
+    """A few rows from the caller, e.g. one interactive request or the bands.
+
+    Built from literals, so Catalyst knows the size and can broadcast them;
+    rows shipped from Python would be a scan of unknown size.
+    """
+    structs = [F.struct(*[F.lit(value).cast(f.dataType).alias(f.name)
+                          for value, f in zip(row, schema.fields, strict=True)]) for row in rows]
+    if not structs:
+        return spark.createDataFrame([], schema)
+    return spark.range(1).select(F.inline(F.array(*structs)))

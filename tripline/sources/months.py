@@ -58,7 +58,7 @@ def months_landed(spark: SparkSession, target: str) -> DataFrame:
             raise
         files = None
     if files is None or not {"year", "month"} <= set(files.columns):
-        return spark.createDataFrame([], "year int, month int")
+        return spark.range(0).selectExpr("CAST(id AS int) AS year", "CAST(id AS int) AS month")
     return files.select(F.col("year").cast("int"), F.col("month").cast("int")).distinct()
 
 

@@ -62,6 +62,10 @@ TABLES = {
     "customer": _struct(c_custkey=LongType()),
 }
 
+BANDS = _struct(band=IntegerType(), lo=DoubleType(), hi=DoubleType())
+
+IMPORTANCES = _struct(feature=StringType(), importance=DoubleType())
+
 RINGS = _struct(
     LocationID=IntegerType(),
     part_id=IntegerType(),
