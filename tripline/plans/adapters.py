@@ -110,6 +110,19 @@ def rings_from_customers(customers: DataFrame) -> DataFrame:
                     (F.col("v.y") + F.col("k") * 2).alias("y")))
 
 
+def projected_rings_from_customers(customers: DataFrame) -> DataFrame:
+    """The same shapes as zone polygons in projected feet."""
+    return rings_from_customers(customers).withColumns({
+        "x": F.col("x") * 1000 + 930000.0, "y": F.col("y") * 500 + 130000.0})
+
+
+def zone_names_from_customers(customers: DataFrame) -> DataFrame:
+    return customers.selectExpr(
+        "CAST(c_custkey AS int) AS LocationID",
+        "concat('Zone_', CAST(c_custkey AS string)) AS zone",
+        "concat('Borough_', CAST(c_custkey % 6 AS string)) AS borough")
+
+
 def rings_from_events(events: DataFrame) -> DataFrame:
     """One open ring per zone with a vertex per event; zone 1 has a third of all."""
     turn = ("(unix_timestamp(ts) - unix_timestamp(TIMESTAMP_NTZ'2024-01-01 00:00:00'))"

@@ -145,20 +145,16 @@ FROM sums"""
 
 
 def _projection() -> str:
-    """Inverse Lambert conformal conic; constants derived in SQL from the
-    system's parameters, latitude iterated in six steps."""
+    """Inverse Lambert conformal conic of ``vertices`` into ``lonlat``; constants
+    derived in SQL from the system's parameters, latitude iterated in six steps."""
     ratio = "power((1 - e * sin({p})) / (1 + e * sin({p})), e / 2)"
     t = "tan(pi() / 4 - {p} / 2) / " + ratio
     m = "cos({p}) / sqrt(1 - e * e * sin({p}) * sin({p}))"
     steps = "".join(
         f""",
-s{i + 1} AS (SELECT seq, lon, tt, e,
-  pi() / 2 - 2 * atan(tt * {ratio.format(p='phi')}) AS phi FROM s{i})""" for i in range(6))
-    return f"""WITH vertices AS (
-  SELECT event_id AS seq, 913000.0::double + (event_id * 7919) % 160000 + value AS x,
-         120000.0::double + (event_id * 104729) % 160000 + value AS y
-  FROM events),
-c0 AS (
+s{i + 1} AS (SELECT * REPLACE (
+  pi() / 2 - 2 * atan(tt * {ratio.format(p='phi')}) AS phi) FROM s{i})""" for i in range(6))
+    return f"""c0 AS (
   SELECT sqrt(2 / 298.257222101::double - 1 / (298.257222101::double * 298.257222101::double)) AS e,
          6378137.0::double / 0.304800609601219::double AS a,
          radians(41.0333333333333::double) AS p1, radians(40.6666666666667::double) AS p2,
@@ -171,13 +167,40 @@ c2 AS (SELECT *, ln(m1 / m2) / ln(t1 / t2) AS n FROM c1),
 c3 AS (SELECT *, a * m1 / (n * power(t1, n)) AS af FROM c2),
 c4 AS (SELECT *, af * power(t0, n) AS rho0 FROM c3),
 polar AS (
-  SELECT seq, x - 984250.0::double AS dx, rho0 - y AS dy, e, n, af FROM vertices, c4),
+  SELECT v.*, x - 984250.0::double AS dx, rho0 - y AS dy, e, n, af FROM vertices v, c4),
 cone AS (
-  SELECT seq, e, degrees(atan2(dx, dy) / n) - 74.0::double AS lon,
+  SELECT *, degrees(atan2(dx, dy) / n) - 74.0::double AS lon,
          power(sqrt(dx * dx + dy * dy) / af, 1 / n) AS tt
   FROM polar),
-s0 AS (SELECT seq, lon, tt, e, pi() / 2 - 2 * atan(tt) AS phi FROM cone){steps}
-SELECT seq, round(lon, 7) AS longitude, round(degrees(phi), 7) AS latitude FROM s6"""
+s0 AS (SELECT *, pi() / 2 - 2 * atan(tt) AS phi FROM cone){steps},
+lonlat AS (SELECT *, degrees(phi) AS lat FROM s6)"""
+
+
+EVENT_VERTICES = """vertices AS (
+  SELECT event_id AS seq, 913000.0::double + (event_id * 7919) % 160000 + value AS x,
+         120000.0::double + (event_id * 104729) % 160000 + value AS y
+  FROM events)"""
+
+ZONE_TABLE = f"""WITH {CUSTOMER_RINGS},
+vertices AS (
+  SELECT * REPLACE (x * 1000 + 930000.0::double AS x, y * 500 + 130000.0::double AS y) FROM rings),
+{_projection()},
+local AS (
+  SELECT *, first_value(lon) OVER z AS lon0, first_value(lat) OVER z AS lat0,
+         lead(lon) OVER r - lon0 AS u1, lead(lat) OVER r - lat0 AS v1,
+         lon - lon0 AS u, lat - lat0 AS v
+  FROM lonlat
+  WINDOW z AS (PARTITION BY LocationID ORDER BY part_id, ring_id, seq),
+         r AS (PARTITION BY LocationID, part_id, ring_id ORDER BY seq)),
+sums AS (
+  SELECT LocationID, any_value(lon0) AS lon0, any_value(lat0) AS lat0,
+         sum(u * v1 - u1 * v) AS c2, sum((u + u1) * (u * v1 - u1 * v)) AS su,
+         sum((v + v1) * (u * v1 - u1 * v)) AS sv
+  FROM local WHERE u1 IS NOT NULL GROUP BY LocationID)
+SELECT LocationID, 'Zone_' || LocationID::varchar AS zone,
+       'Borough_' || (LocationID % 6)::varchar AS borough,
+       round(lon0 + su / (3 * c2), 6) AS longitude, round(lat0 + sv / (3 * c2), 6) AS latitude
+FROM sums"""
 
 
 def _distance(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
@@ -303,7 +326,9 @@ FROM valid""",
 SELECT LocationID, part_id, ring_id, seq, x, y, x1, y1 FROM edges""",
     "polygon_centroids": f"WITH {CUSTOMER_RINGS}, {CENTROIDS}",
     "large_ring_centroids": f"WITH {EVENT_RINGS}, {CENTROIDS}",
-    "project_vertices": _projection(),
+    "project_vertices": f"""WITH {EVENT_VERTICES}, {_projection()}
+SELECT seq, round(lon, 7) AS longitude, round(lat, 7) AS latitude FROM lonlat""",
+    "zone_table": ZONE_TABLE,
     "month_of_file": """SELECT CAST(year(o_orderdate) AS integer) AS year,
   CAST(month(o_orderdate) AS integer) AS month, count(*) AS trips,
   CAST(0 AS bigint) AS other_month

@@ -244,6 +244,15 @@ def project_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
                             F.round("y", 7).alias("latitude"))
 
 
+@query
+def zone_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zone dimension from projected polygons: reproject, then centroids."""
+    customers = adapters.table(spark, sf_dir, "customer")
+    table = polygons.zone_table(adapters.projected_rings_from_customers(customers),
+                                adapters.zone_names_from_customers(customers))
+    return _rounded(table, 6, "longitude", "latitude")
+
+
 # --- files ----------------------------------------------------------------
 
 def _month_files(spark: SparkSession, sf_dir: str) -> str:
@@ -304,18 +313,18 @@ def samples_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- model ----------------------------------------------------------------
 
-_models: dict[tuple[str, str], str] = {}
+_models: dict[tuple[str, str], PipelineModel] = {}
 
 
 def _model_and_test(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataFrame]:
-    """The fitted forest, trained once per application and scale, and the test side."""
+    """The test side, and the forest: trained, saved and loaded once per application."""
     train, test = sampling.train_test_split(_clean(spark, sf_dir, KEY), KEY)
     at = (spark.sparkContext.applicationId, sf_dir)
     if at not in _models:
         path = scratch(spark, "model")
         model.save(model.fit(settle(train, "train")), path)
-        _models[at] = path
-    return model.load(spark, _models[at]), test
+        _models[at] = model.load(spark, path)
+    return _models[at], test
 
 
 @query

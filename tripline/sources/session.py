@@ -18,6 +18,9 @@ SETTINGS = {
 }
 
 
+_own_dirs: dict[str, str] = {}
+
+
 def pin(spark: SparkSession) -> SparkSession:
     """Apply the settings every job relies on; all of them are runtime settings."""
     for key, value in SETTINGS.items():
@@ -38,9 +41,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="tripline-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    application = spark.sparkContext.applicationId
+    if application not in _own_dirs:
+        _own_dirs[application] = tempfile.mkdtemp(prefix="tripline-")
+    return _own_dirs[application]
 
 
 def scratch(spark: SparkSession, name: str) -> str:
