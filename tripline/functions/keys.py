@@ -17,8 +17,11 @@ def content_key(*columns: str) -> Column:
 
 
 def row_address() -> Column:
-    """File name and row position: unique per source row, copies included."""
-    return F.concat_ws("#", F.col("_metadata.file_path"),
+    """File and row position, ``<file hash>#<row>``: tells copies of a row apart.
+
+    The path is hashed to keep the id short; equal prefixes compress well.
+    """
+    return F.concat_ws("#", F.hex(F.xxhash64("_metadata.file_path")),
                        F.col("_metadata.row_index").cast("string"))
 
 

@@ -1,4 +1,7 @@
-"""Distance estimate between the pickup and dropoff zones of each trip."""
+"""Distance estimate between the pickup and dropoff zones of each trip.
+
+``zones`` has one row per LocationID; ``zones.zone_map`` settles repeated ids.
+"""
 
 from __future__ import annotations
 

@@ -29,12 +29,13 @@ def zone_map_of_table(zones: DataFrame) -> DataFrame:
 
 
 def zone_map_column(zone_rows: DataFrame, limit: int = MAP_LIMIT) -> DataFrame:
-    """The map as one value, ``{id: {lat, lon}}``, from the rows of ``zone_map``.
+    """The map as one value, ``{id: {lat, lon}}``, from the rows of ``zone_map``,
+    ordered by the text of the id.
 
     Fit for a zone table only: more than ``limit`` zones is an error, and the
     limit keeps the surplus from being collected first.
     """
-    entries = F.collect_list(F.struct("zone_id", F.struct("lat", "lon")))
+    entries = F.array_sort(F.collect_list(F.struct("zone_id", F.struct("lat", "lon"))))
     return zone_rows.limit(limit + 1).agg(
         F.when(F.count("*") > limit, F.raise_error(F.lit(f"more than {limit} zones")))
         .otherwise(F.map_from_entries(entries)).alias("zones"))

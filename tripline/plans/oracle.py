@@ -209,6 +209,20 @@ def _distance(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     return f"round(3958.8::double * 2 * atan2(sqrt({a}), sqrt(1 - {a})) * 1.35::double, 2)"
 
 
+ZONE_MAP = """records AS (
+  SELECT event_id, CAST((user_id * 7) % 265 + 1 AS integer) AS id,
+         round(40.53::double + value * 0.001::double, 6) AS lat,
+         round(-74.23::double + (event_id % 263) * 0.002::double, 6) AS lon
+  FROM events),
+zone_rows AS (
+  SELECT id::varchar AS zone_id, lat, lon FROM records
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY event_id DESC) = 1)"""
+
+REJECTED = f"""WITH {REQUESTS}
+SELECT trip_id, trip_distance, PULocationID, DOLocationID, pickup_hour, pickup_dow,
+       first_invalid, concat_ws(',', bad1, bad2, bad3, bad4, bad5) AS all_invalid
+FROM checked WHERE first_invalid IS NOT NULL"""
+
 ESTIMATE = _distance("pu.latitude", "pu.longitude", '"do".latitude', '"do".longitude')
 
 ROUNDED_CLEAN = """SELECT trip_id, round(trip_distance, 4) AS trip_distance, PULocationID,
@@ -260,13 +274,11 @@ SELECT LocationID, zone, round(latitude, 6) AS latitude, round(longitude, 6) AS
        format('{{:,}}', trip_count) || ' Trips' AS trips_text
 FROM hot
 WHERE latitude IS NOT NULL AND latitude <> 0 AND longitude IS NOT NULL AND longitude <> 0""",
-    "zone_map": """WITH records AS (
-  SELECT event_id, CAST((user_id * 7) % 265 + 1 AS integer) AS id,
-         round(40.53::double + value * 0.001::double, 6) AS lat,
-         round(-74.23::double + (event_id % 263) * 0.002::double, 6) AS lon
-  FROM events)
-SELECT id::varchar AS zone_id, lat, lon FROM records
-QUALIFY row_number() OVER (PARTITION BY id ORDER BY event_id DESC) = 1""",
+    "zone_map": f"WITH {ZONE_MAP} SELECT * FROM zone_rows",
+    "zone_map_json": f"""WITH {ZONE_MAP}
+SELECT '{{' || string_agg('"' || zone_id || '":' || json_object('lat', lat, 'lon', lon)::varchar,
+                         ',' ORDER BY zone_id) || '}}' AS zones
+FROM zone_rows""",
     "zone_distance": f"""WITH {CLEAN}, {ZONES}
 SELECT c.trip_id, c.PULocationID, c.DOLocationID, round(c.trip_distance, 4) AS trip_distance,
        {ESTIMATE} AS estimated_miles
@@ -283,6 +295,12 @@ SELECT CASE WHEN ('0x' || substr(md5(trip_id::varchar), 1, 8))::bigint % 100 < 8
             THEN 'train' ELSE 'test' END AS side,
        count(*) AS trips, CAST(sum(trip_id) AS bigint) AS key_sum
 FROM clean GROUP BY side""",
+    "content_split": f"""WITH {CLEAN}, keyed AS (
+  SELECT *, md5(concat_ws('|', PULocationID, DOLocationID, pickup_hour, pickup_dow)) AS content
+  FROM clean)
+SELECT CASE WHEN ('0x' || substr(md5(content), 1, 8))::bigint % 100 < 80
+            THEN 'train' ELSE 'test' END AS side, pickup_dow, count(*) AS trips
+FROM keyed GROUP BY ALL""",
     "exact_sample": f"""WITH {TRIPS}
 SELECT trip_id, PULocationID, DOLocationID, round(trip_distance, 4) AS trip_distance
 FROM trips ORDER BY md5('42' || trip_id::varchar), trip_id LIMIT 500""",
@@ -312,10 +330,12 @@ FROM firsts""",
     "actual_vs_predicted_scatter": f"""WITH {PREDICTED}
 SELECT trip_id, {PAIR} FROM predicted ORDER BY md5(trip_id::varchar), trip_id LIMIT 2000""",
     "validate_requests": f"WITH {REQUESTS} SELECT * FROM valid",
-    "rejected_requests": f"""WITH {REQUESTS}
-SELECT trip_id, trip_distance, PULocationID, DOLocationID, pickup_hour, pickup_dow,
-       first_invalid, concat_ws(',', bad1, bad2, bad3, bad4, bad5) AS all_invalid
-FROM checked WHERE first_invalid IS NOT NULL""",
+    "rejected_requests": REJECTED,
+    "stream_rejected": REJECTED,
+    "stream_replies": f"""WITH {REQUESTS}
+SELECT trip_id, round(trip_distance + 4, 2) AS predicted_duration_mins, trip_distance,
+       PULocationID, DOLocationID, pickup_hour, pickup_dow
+FROM valid""",
     "request_replies": f"""WITH {REQUESTS}
 SELECT trip_id, CAST(json_object('predicted_duration_mins', round(trip_distance + 4, 2),
   'inputs', json_object('trip_distance', trip_distance, 'PULocationID', PULocationID,

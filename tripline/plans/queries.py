@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripline.functions.display import trip_label
+from tripline.functions.keys import content_key
 from tripline.operators import (
     bands, clean, distance, evaluate, model, polygons, requests, sampling, zones,
 )
@@ -102,6 +103,12 @@ def zone_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zones.zone_map(adapters.zone_records(_events(spark, sf_dir)), "record_id")
 
 
+@query
+def zone_map_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = zones.zone_map(adapters.zone_records(_events(spark, sf_dir)), "record_id")
+    return zones.zone_map_column(rows).select(F.to_json("zones").alias("zones"))
+
+
 # --- distance -------------------------------------------------------------
 
 @query
@@ -127,6 +134,15 @@ def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.count("*").alias("trips"), F.sum(KEY).alias("key_sum")))
 
 
+@query
+def content_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A split on content: trips alike in zones, hour and day share a side."""
+    trips = _clean(spark, sf_dir)
+    keyed = trips.withColumn("content", content_key(*FEATURES[1:]))
+    return (sampling.split(keyed, "content").groupBy("side", "pickup_dow")
+            .agg(F.count("*").alias("trips")))
+
+
 @query
 def exact_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     sample = sampling.first_by_hash(_trips(spark, sf_dir), KEY, SAMPLE_ROWS, seed="42")
@@ -358,16 +374,40 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.file_stream(spark, f"{sf_dir}/events.parquet", TABLES["events"])
 
 
+def _read_replies(spark: SparkSession, target: str) -> DataFrame:
+    inputs = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in REQUEST.fields)
+    return (spark.read.schema(f"{KEY} bigint, predicted_duration_mins double, "
+                              f"inputs struct<{inputs}>").parquet(target)
+            .select(KEY, "predicted_duration_mins", *[f"inputs.{c}" for c in FEATURES]))
+
+
+@query
+def stream_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streamed replies from the closed-form predictor."""
+    target = scratch(spark, "replies")
+    valid = requests.valid_requests(
+        adapters.requests_from_events(_event_stream(spark, sf_dir)), KEY)
+    jobs.stream_replies(adapters.closed_form(valid), KEY, target,
+                        f"{target}-checkpoint").awaitTermination()
+    return _read_replies(spark, target)
+
+
+@query
+def stream_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = scratch(spark, "rejected")
+    jobs.stream_rejected(adapters.requests_from_events(_event_stream(spark, sf_dir)), KEY,
+                         target, f"{target}-checkpoint").awaitTermination()
+    schema = requests.rejected_requests(_requests(spark, sf_dir), KEY).schema
+    return spark.read.schema(schema).parquet(target)
+
+
 @query
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     fitted, _ = _model_and_test(spark, sf_dir)
     target = scratch(spark, "scores")
     jobs.stream_scores(fitted, adapters.requests_from_events(_event_stream(spark, sf_dir)), KEY,
                        target, f"{target}-checkpoint").awaitTermination()
-    inputs = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in REQUEST.fields)
-    return (spark.read.schema(f"{KEY} bigint, predicted_duration_mins double, "
-                              f"inputs struct<{inputs}>").parquet(target)
-            .select(KEY, "predicted_duration_mins", *[f"inputs.{c}" for c in FEATURES]))
+    return _read_replies(spark, target)
 
 
 @query

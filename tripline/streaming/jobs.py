@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from tripline.operators.clean import clean_trips
 from tripline.operators.model import score_requests
-from tripline.operators.requests import replies
+from tripline.operators.requests import rejected_requests, replies
 from tripline.sources.months import month_rows
 from tripline.sources.schemas import TRIP_FILES
 
@@ -40,14 +40,25 @@ def _to_parquet(rows: DataFrame, target: str, checkpoint: str, *partitions: str,
     return writer.start()
 
 
-def stream_scores(model: PipelineModel, requests: DataFrame, key: str, target: str,
-                  checkpoint: str, drain: bool = True) -> StreamingQuery:
-    """Score a stream of text requests; invalid ones go no further.
+def stream_replies(scored: DataFrame, key: str, target: str, checkpoint: str,
+                   drain: bool = True) -> StreamingQuery:
+    """Write the replies to a stream of scored requests.
 
     With ``drain`` the query ends once the present files are done.
     """
-    return _to_parquet(replies(score_requests(model, requests, key), key), target, checkpoint,
-                       drain=drain)
+    return _to_parquet(replies(scored, key), target, checkpoint, drain=drain)
+
+
+def stream_rejected(requests: DataFrame, key: str, target: str, checkpoint: str,
+                    drain: bool = True) -> StreamingQuery:
+    """Write the invalid ones among a stream of text requests, with reasons."""
+    return _to_parquet(rejected_requests(requests, key), target, checkpoint, drain=drain)
+
+
+def stream_scores(model: PipelineModel, requests: DataFrame, key: str, target: str,
+                  checkpoint: str, drain: bool = True) -> StreamingQuery:
+    """Score the valid ones among a stream of text requests."""
+    return stream_replies(score_requests(model, requests, key), key, target, checkpoint, drain)
 
 
 def stream_ingest(trips: DataFrame, keep: list[str], target: str, checkpoint: str,
