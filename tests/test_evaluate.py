@@ -81,6 +81,18 @@ def test_band_join_over_many_bands(spark):
         (v, b) for v in values for b, lo, hi in table if lo <= v <= hi)
 
 
+@pytest.mark.parametrize("n", [1, 1000, 1001, 2500])
+def test_first_per_group_of_any_size(spark, n):
+    df = spark.range(4000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('g', id % 5) END AS g",
+                                      "(id * 7919) % 4001 AS v", "id")
+    got = bands.first_per_group(df, "g", ["v", "id"], n).collect()
+    groups = {}
+    for r in df.collect():
+        groups.setdefault(r.g, []).append((r.v, r.id))
+    assert sorted((r.g, r.rn, r.id) for r in got) == sorted(
+        (g, i + 1, row[1]) for g, rows in groups.items() for i, row in enumerate(sorted(rows)[:n]))
+
+
 def test_sample_columns_and_rounding(predictions):
     got = bands.banded_samples(evaluate.with_abs_error(predictions), "trip_id")
     assert set(SAMPLES.fieldNames()) <= set(got.columns)

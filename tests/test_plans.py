@@ -85,6 +85,29 @@ def test_banded_samples_cut_groups_before_the_shuffle(trips):
     assert len(re.findall(r"\d+\) Exchange", text)) == 1
 
 
+def test_hot_zone_is_split_when_the_lookup_shuffles(spark):
+    """A third of all trips start in one zone; past broadcast size the join splits it."""
+    trips = spark.range(0, 600_000, 1, 24).selectExpr(
+        "id AS trip_id", "CASE WHEN id % 3 = 0 THEN 7 ELSE CAST(id % 263 + 1 AS int) END AS PULocationID",
+        "CAST(id % 257 + 1 AS int) AS DOLocationID")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256KB"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = distance.zone_distance(trips, adapters.zones(spark))
+        assert joined.count() == 600_000
+        executed = joined.groupBy("PULocationID").count()
+        rows = {r.PULocationID: r["count"] for r in executed.collect()}
+        assert rows[7] >= 200_000 and "skew" in plan(executed).lower()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_band_table_is_broadcast(spark, trips):
     table = literal_rows(spark, bands.BANDS, BANDS)
     text = plan(bands.band_join(clean_trips(trips), table))

@@ -60,6 +60,13 @@ def test_split_is_disjoint_complete_and_independent_of_partitions(spark):
     assert sides[0] == sides[1] == sides[2]
 
 
+def test_rows_without_a_key_count(spark):
+    df = spark.range(100).select(F.when(F.col("id") > 4, F.col("id")).alias("id"), "id")
+    df = df.toDF("id", "n")
+    assert first_by_hash(df, "id", 100).count() == 100
+    assert len({r.n for r in first_by_hash(df, "id", 97).collect()}) == 97
+
+
 def test_split_percent_and_seed(spark):
     df = spark.range(2000)
     assert split(df, "id", 100).filter("side = 'test'").count() == 0

@@ -26,9 +26,9 @@ def row_address() -> Column:
 
 
 def key_hash(key: Column | str, seed: str = "") -> Column:
-    """32 hex digits; ordering rows by them is a repeatable shuffle."""
+    """32 hex digits, never null; ordering rows by them is a repeatable shuffle."""
     key = F.col(key) if isinstance(key, str) else key
-    return F.md5(F.concat(F.lit(seed), key.cast("string")))
+    return F.md5(F.concat(F.lit(seed), F.coalesce(key.cast("string"), F.lit(NULL_MARK))))
 
 
 def percentile_bucket(key: Column | str, seed: str = "") -> Column:

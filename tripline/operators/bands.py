@@ -14,6 +14,10 @@ BANDS = [(1, 3.0, 4.0), (2, 4.0, 5.0), (3, 5.0, 6.0), (4, 6.0, 10.0)]
 MAX_SAMPLE_ERROR = 1.5
 PER_BAND = 5
 
+# spark.sql.optimizer.windowGroupLimitThreshold
+GROUP_LIMIT = 1000
+SALTS = 256
+
 
 def assign_bands(df: DataFrame, column: str = "trip_distance",
                  bands: list[tuple[int, float, float]] = BANDS) -> DataFrame:
@@ -50,7 +54,17 @@ def first_per_group(df: DataFrame, group: str, order: list[str], n: int,
                     rank: str = "rn") -> DataFrame:
     """The first ``n`` rows per group. Catalyst turns the rank filter into a
     window group limit: each task passes on at most n rows per group, so a
-    group of any size is cut before the shuffle."""
+    group of any size is cut before the shuffle.
+
+    Catalyst does so for n up to its threshold only. A larger n takes a round
+    over salted groups first: the first n of a group are among the first n of
+    its salts.
+    """
+    if n > GROUP_LIMIT:
+        salted = Window.partitionBy(group, "__salt").orderBy(*order)
+        df = (df.withColumn("__salt", F.pmod(F.xxhash64(*order), F.lit(SALTS)))
+              .withColumn("__rank", F.row_number().over(salted))
+              .filter(F.col("__rank") <= n).drop("__salt", "__rank"))
     w = Window.partitionBy(group).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= n)
 
