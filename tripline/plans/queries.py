@@ -332,7 +332,7 @@ def samples_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 _models: dict[tuple[str, str], PipelineModel] = {}
 
 
-def _model_and_test(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataFrame]:
+def trained(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataFrame]:
     """The test side, and the forest: trained, saved and loaded once per application."""
     train, test = sampling.train_test_split(_clean(spark, sf_dir, KEY), KEY)
     at = (spark.sparkContext.applicationId, sf_dir)
@@ -345,25 +345,25 @@ def _model_and_test(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, Da
 
 @query
 def model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fitted, test = _model_and_test(spark, sf_dir)
+    fitted, test = trained(spark, sf_dir)
     return evaluate.metrics_record(evaluate.regression_metrics(model.predict(fitted, test)))
 
 
 @query
 def model_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fitted, test = _model_and_test(spark, sf_dir)
+    fitted, test = trained(spark, sf_dir)
     return bands.banded_samples(evaluate.with_abs_error(model.predict(fitted, test)), KEY)
 
 
 @query
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fitted, _ = _model_and_test(spark, sf_dir)
+    fitted, _ = trained(spark, sf_dir)
     return model.feature_importances(spark, fitted)
 
 
 @query
 def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fitted, _ = _model_and_test(spark, sf_dir)
+    fitted, _ = trained(spark, sf_dir)
     return requests.replies_json(
         model.score_requests(fitted, _requests(spark, sf_dir), KEY), KEY)
 
@@ -403,7 +403,7 @@ def stream_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fitted, _ = _model_and_test(spark, sf_dir)
+    fitted, _ = trained(spark, sf_dir)
     target = scratch(spark, "scores")
     jobs.stream_scores(fitted, adapters.requests_from_events(_event_stream(spark, sf_dir)), KEY,
                        target, f"{target}-checkpoint").awaitTermination()
