@@ -23,7 +23,7 @@ def events(spark, sf_dir):
 def sides(events):
     cleaned = clean_trips(adapters.trips_from_events(events), "trip_id")
     train, test = sampling.train_test_split(cleaned, "trip_id")
-    return settle(train, "train"), settle(test, "test")
+    return model.training_table(train, "trip_id"), settle(test, "test")
 
 
 @pytest.fixture(scope="module")
@@ -31,6 +31,17 @@ def forest(sides):
     return model.fit(sides[0], trees=5, depth=6)
 
 
+def test_training_table_does_not_depend_on_the_input_layout(sides):
+    layouts = [model.training_table(sides[0].repartition(p), "trip_id", 5) for p in (1, 3)]
+    placed = [sorted((r.p, r.trip_id) for r in t.select(
+        F.element_at(F.split(F.input_file_name(), "part-"), -1).substr(1, 5).alias("p"), "trip_id")
+        .collect()) for t in layouts]
+    assert placed[0] == placed[1] and len({p for p, _ in placed[0]}) == 5
+    a, b = (model.fit(t, trees=3, depth=4) for t in layouts)
+    mean = [evaluate.regression_metrics(model.predict(m, sides[1])).first().MAE for m in (a, b)]
+    assert mean[0] == pytest.approx(mean[1], rel=0.01)
+
+
 def test_better_than_the_mean(forest, sides):
     metrics = evaluate.regression_metrics(model.predict(forest, sides[1])).first()
     assert metrics.R2_Score > 0.5

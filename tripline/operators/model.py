@@ -11,19 +11,32 @@ from pyspark.sql import functions as F
 from tripline.operators.requests import valid_requests
 from tripline.sources.files import literal_rows, written_by
 from tripline.sources.schemas import FEATURES, IMPORTANCES, LABEL
+from tripline.sources.session import settle
 
 # Size of the forest.
 TREES = 20
 DEPTH = 10
 
 
+def training_table(train: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """The training rows in even, sorted partitions, written to shared storage.
+
+    A fit reads its rows a dozen times, and bagging draws per partition. Placing
+    rows by key keeps all cores busy whatever the layout of the input, and puts
+    the same rows into the same partitions on every run. ``key`` must identify
+    a row; ``partitions`` defaults to the number of cores.
+    """
+    count = partitions or train.sparkSession.sparkContext.defaultParallelism
+    return settle(train.select(key, *FEATURES, LABEL).repartition(count, key)
+                  .sortWithinPartitions(key), "train")
+
+
 def fit(train: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = 42,
         memory_mb: int = 256) -> PipelineModel:
     """Random forest over the five numeric features.
 
-    A seed alone does not fix the forest: bagging draws per partition. Fit on a
-    settled table (``sources.session.settle``) so the splits stay the same.
-    ``memory_mb`` bounds the node statistics per pass; 256 holds one level of 20
+    A seed alone does not fix the forest, as bagging draws per partition: fit on
+    a ``training_table``. ``memory_mb`` bounds the node statistics per pass; 256 holds one level of 20
     trees of depth 10, deeper forests want more.
     """
     forest = RandomForestRegressor(

@@ -24,7 +24,7 @@ from tripline.sources import files, months
 from tripline.sources.schemas import (
     BANDS, FEATURES, HOTSPOTS, LABEL, METRICS, REQUEST, SAMPLES, TABLES,
 )
-from tripline.sources.session import pin, scratch, settle
+from tripline.sources.session import pin, scratch
 from tripline.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -338,7 +338,7 @@ def trained(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataFrame]
     at = (spark.sparkContext.applicationId, sf_dir)
     if at not in _models:
         path = scratch(spark, "model")
-        model.save(model.fit(settle(train, "train")), path)
+        model.save(model.fit(model.training_table(train, KEY)), path)
         _models[at] = model.load(spark, path)
     return _models[at], test
 

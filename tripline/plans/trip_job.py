@@ -30,7 +30,7 @@ def run(spark: SparkSession, trips: DataFrame, key: str, out: str,
     write_records(ranking, paths["hotspots"])
 
     train, test = sampling.train_test_split(cleaned, key)
-    fitted = model.fit(train, trees, depth, seed)
+    fitted = model.fit(model.training_table(train, key), trees, depth, seed)
     model.save(fitted, paths["model"])
 
     predictions = settle(
