@@ -59,6 +59,19 @@ def test_filters_and_columns_reach_the_scan(stored):
     assert "Exchange" not in text
 
 
+def test_landed_months_prune_partitions(spark, sf_dir, tmp_path):
+    source, target = str(tmp_path / "source"), str(tmp_path / "landed")
+    trips = adapters.trips_from_orders(adapters.table(spark, sf_dir, "orders"))
+    for month in ("1996-01", "1996-02"):
+        (trips.filter(F.date_format("tpep_pickup_datetime", "yyyy-MM") == month)
+         .write.parquet(f"{source}/trips_{month}.parquet"))
+    months.land_months(spark, source, target)
+    text = plan(months.read_landed(spark, target).filter("year = 1996 and month = 2")
+                .select("trip_distance"))
+    assert re.search(r"PartitionFilters: .*year.* = 1996.*month.* = 2", text)
+    assert re.search(r"ReadSchema: struct<trip_distance:double>", text)
+
+
 def test_hotspots_plan(spark, trips):
     text = plan(hotspots.hotspots(clean_trips(trips), adapters.zones(spark)))
     assert "BroadcastHashJoin" in text and text.count("TakeOrderedAndProject (") >= 2

@@ -41,9 +41,10 @@ def read_months(spark: SparkSession, *paths: str, schema: StructType = TRIP_FILE
 
 
 def months_in(spark: SparkSession, source: str) -> DataFrame:
-    """Distinct (year, month) of the files below ``source``, from names alone."""
+    """Distinct (year, month) of the month files or folders in ``source``, from
+    names alone: listed, not opened."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-             .load(source).select("path"))
+             .load(f"{source}/*.parquet").select("path"))
     year, month = month_fields(F.col("path"))
     return (files.select(year.try_cast("int").alias("year"), month.try_cast("int").alias("month"))
             .dropna().distinct())
