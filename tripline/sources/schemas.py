@@ -38,6 +38,10 @@ REQUEST = _struct(
     pickup_dow=IntegerType(),
 )
 
+# Requests as they arrive: text, to be checked.
+REQUEST_TEXT = _struct(request_id=StringType(),
+                       **{name: StringType() for name in REQUEST.fieldNames()})
+
 FEATURES = REQUEST.fieldNames()
 LABEL = "trip_duration_mins"
 

@@ -48,8 +48,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/tripline/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, grouped by application: once an
+    application has ended, its folder can go."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/tripline/{application}/{name}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:

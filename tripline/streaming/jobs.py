@@ -16,7 +16,7 @@ from tripline.operators.clean import clean_trips
 from tripline.operators.model import score_requests
 from tripline.operators.requests import rejected_requests, replies
 from tripline.sources.months import month_rows
-from tripline.sources.schemas import TRIP_FILES
+from tripline.sources.schemas import REQUEST_TEXT, TRIP_FILES
 
 FILES_PER_BATCH = 1000
 
@@ -29,6 +29,13 @@ def file_stream(spark: SparkSession, path: str, schema: StructType,
             .option("recursiveFileLookup", True).parquet(path))
 
 
+def request_stream(spark: SparkSession, path: str,
+                   files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """JSON-line requests as a stream of text fields with ``request_id``."""
+    return (spark.readStream.schema(REQUEST_TEXT)
+            .option("maxFilesPerTrigger", files_per_batch).json(path))
+
+
 def _to_parquet(rows: DataFrame, target: str, checkpoint: str, *partitions: str,
                 drain: bool = True) -> StreamingQuery:
     writer = (rows.writeStream.format("parquet").outputMode("append")
