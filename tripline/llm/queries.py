@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripline.llm import decontaminate, line_rules, pii, simhash
+from tripline.llm import decontaminate, line_rules, packing, pii, simhash, token_files
 from tripline.llm.common import table
-from tripline.sources.session import pin
+from tripline.sources.session import pin, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,6 +46,21 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "fingerprint", simhash.as_hex(F.col("fingerprint")))
 
 
+@query
+def op5_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "token-blocks")
+    token_files.write(table(spark, sf_dir, "documents"), path,
+                      public_tokenizers.path("word_bpe_49k.json"), end=2)
+    return token_files.digest(spark, path)
+
+
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pieces(table(spark, sf_dir, "documents"),
+                          public_tokenizers.path("byte_bpe_50k.json"),
+                          public_tokenizers.path("byte_bpe_50k.tiktoken"), end=1)
+
+
 @query
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"),
