@@ -49,34 +49,52 @@ def _winnowed(run: int) -> Column:
         lambda j: F.array_min(F.slice("packed", j + 1, run))))
 
 
-def _anchors(df: DataFrame, keep: list[str], window: int, gram: int) -> DataFrame:
+def _anchors(df: DataFrame, keep: list[str], window: int, gram: int,
+             with_rows: bool = False) -> DataFrame:
     """One row per kept k-gram: ``keep``, hash, pos and the words a window through it can hold.
 
-    ``around`` starts window - gram words before the k-gram; places outside
-    the text are null.
+    ``around`` has these words, a space between, from window - gram before the
+    k-gram on as far as the text goes. ``with_rows`` adds a row without a hash
+    for each row of ``df``, so that one pass gives both.
     """
     reach = window - gram
     df = df.withColumn("packed", _grams(gram))
     if reach:
         df = df.withColumn("packed", _winnowed(reach + 1))
-    pos = lambda p: p.bitwiseAND(long((1 << POSITION_BITS) - 1)).cast("int")
 
     def entry(p: Column) -> Column:
-        first = pos(p) - reach
-        before = F.greatest(F.lit(0), -first)
-        inside = F.slice("words", F.greatest(F.lit(0), first) + 1, gram + 2 * reach - before)
+        pos = p.bitwiseAND(long((1 << POSITION_BITS) - 1)).cast("int")
+        first = F.greatest(F.lit(0), pos - reach)
         return F.struct(
-            F.shiftright(p, POSITION_BITS).alias("hash"), pos(p).alias("pos"),
-            F.concat(F.array_repeat(F.lit(None).cast("string"), before), inside).alias("around"))
-
-    return df.select(*keep, F.explode(F.transform("packed", entry)).alias("a")).select(
+            F.shiftright(p, POSITION_BITS).alias("hash"), pos.alias("pos"),
+            F.array_join(F.slice("words", first + 1, pos - first + gram + reach), " ")
+            .alias("around"))
+
+    entries = F.transform("packed", entry)
+    if with_rows:
+        none = F.struct(F.lit(None).cast("long").alias("hash"),
+                        F.lit(None).cast("int").alias("pos"),
+                        F.lit(None).cast("string").alias("around"))
+        entries = F.concat(F.array(none), entries)
+    return df.select(*keep, F.explode(entries).alias("a")).select(
         *keep, "a.hash", "a.pos", "a.around")
 
 
-def _met(docs: DataFrame, items: DataFrame, window: int, gram: int) -> DataFrame:
-    """Document words [start, end) that an item's window covers, one row per meeting."""
+def _places(around: Column, pos: Column, reach: int, span: int) -> Column:
+    """The words of ``around`` at fixed places, the k-gram's first word at ``reach``."""
+    ahead = F.greatest(F.lit(0), F.lit(reach) - pos)
+    parts = F.split(around, " ")
+    return F.array(*(F.get(parts, F.lit(i) - ahead) for i in range(span)))
+
+
+def _met(anchors: DataFrame, items: DataFrame, window: int, gram: int) -> DataFrame:
+    """Document words [start, end) that an item's window covers, one row per meeting.
+
+    Rows without a hash stay, without an item.
+    """
     reach = window - gram
-    same = lambda i: F.get("around", F.lit(i)) == F.get("item_around", F.lit(i))
+    span = gram + 2 * reach
+    same = lambda i: F.get("own", F.lit(i)) == F.get("other", F.lit(i))
 
     def run(places: list[int]) -> Column:
         """How many of ``places`` agree, from the first on."""
@@ -85,43 +103,48 @@ def _met(docs: DataFrame, items: DataFrame, window: int, gram: int) -> DataFrame
             out = F.when(same(places[at]), out).otherwise(F.lit(at))
         return out
 
-    left = run(list(range(reach - 1, -1, -1)))
-    right = run(list(range(reach + gram, gram + 2 * reach)))
     core = reduce(lambda a, b: a & b, [same(i) for i in range(reach, reach + gram)])
-    met = docs.join(items, "hash").where(core)
-    return (met.withColumn("left", left).withColumn("right", right)
-            .where(F.col("left") + F.col("right") + gram >= window)
-            .select(*KEYS, "item_id", (F.col("pos") - F.col("left")).alias("start"),
-                    (F.col("pos") + gram + F.col("right")).alias("end")))
+    rest = [c for c in anchors.columns if c not in ("hash", "pos", "around")]
+    met = anchors.join(items, "hash", "left").where("hash IS NULL OR item_around IS NOT NULL")
+    met = (met.withColumn("own", _places(F.col("around"), F.col("pos"), reach, span))
+           .withColumn("other", _places(F.col("item_around"), F.col("item_pos"), reach, span))
+           .withColumn("left", run(list(range(reach - 1, -1, -1))))
+           .withColumn("right", run(list(range(reach + gram, span)))))
+    return met.where(F.col("hash").isNull() | (
+        core & (F.col("left") + F.col("right") + gram >= window))).select(
+        *rest, "item_id", (F.col("pos") - F.col("left")).alias("start"),
+        (F.col("pos") + gram + F.col("right")).alias("end"))
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
          gram: int = GRAM) -> DataFrame:
-    """doc_id, text_hash, item_id, start, end: word spans of documents found in items.
+    """doc_id, text_hash, n_words, item_id, start, end: word spans found in items.
 
-    Spans of one document may overlap. Null and empty texts have none. The
-    item anchors are written once, so Catalyst knows their size: it broadcasts
-    them below its threshold, and beyond it joins by shuffle with AQE
-    splitting a crowded hash.
+    Spans of one document may overlap; one row of each document has no span.
+    Null and empty texts have no others. The item anchors are written once, so
+    Catalyst knows their size: it broadcasts them below its threshold, and
+    beyond it joins by shuffle with AQE splitting a crowded hash.
     """
     source = docs.select("doc_id", text_key("text").alias("text_hash"),
-                         words(F.col("text")).alias("words"))
-    tests = settle(benchmark.select("item_id", words(F.col("text")).alias("words")).where(
-        F.size("words") > 0), "benchmark-words")
+                         words(F.col("text")).alias("words")).withColumn(
+        "n_words", F.size("words").cast("long"))
+    keep = [*KEYS, "n_words"]
+    tests = settle(benchmark.select(
+        "item_id", words(F.col("text")).alias("words")).where(F.size("words") > 0),
+        "benchmark-words")
     short = [r.n for r in tests.select(F.size("words").alias("n")).where(
         F.col("n") < window).distinct().collect()]  # at most window - 1 numbers
 
-    def meet(doc_rows: DataFrame, item_rows: DataFrame, window: int, gram: int) -> DataFrame:
+    def meet(items: Column, window: int, gram: int, with_rows: bool) -> DataFrame:
         anchors = settle(
-            _anchors(item_rows, ["item_id"], window, gram).select(
-                "item_id", "hash", F.col("around").alias("item_around")).distinct(),
-            "benchmark-anchors")
-        return _met(_anchors(doc_rows, list(KEYS), window, gram), anchors, window, gram)
+            _anchors(tests.where(items), ["item_id"], window, gram).select(
+                "item_id", "hash", F.least("pos", F.lit(window - gram)).alias("item_pos"),
+                F.col("around").alias("item_around")).distinct(), "benchmark-anchors")
+        return _met(_anchors(source, keep, window, gram, with_rows), anchors, window, gram)
 
-    found = meet(source, tests.where(F.size("words") >= window), window, gram)
+    found = meet(F.size("words") >= window, window, gram, True)
     for length in sorted(short):
-        found = found.union(
-            meet(source, tests.where(F.size("words") == length), length, length))
+        found = found.union(meet(F.size("words") == length, length, length, False))
     return settle(found, "hits")
 
 
@@ -129,7 +152,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                   gram: int = GRAM) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, items (sorted texts), contaminated.
 
-    Null or empty text: no words, not contaminated. Repeated rows get equal
+    Null or empty text: no words, not contaminated. An item without an id counts for hits, but has no place in items. Repeated rows get equal
     results each. Other columns are ignored.
     """
     found = hits(docs, benchmark, window, gram)
@@ -139,16 +162,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
             (acc["n"] + F.greatest(F.lit(0), s["end"] - F.greatest(s["start"], acc["reached"])))
             .alias("n"), F.greatest(acc["reached"], s["end"]).alias("reached")),
         lambda acc: acc["n"])
-    per_doc = found.groupBy(*KEYS).agg(
+    hit = found.where("start IS NOT NULL").groupBy(*KEYS).agg(
         F.collect_set(F.struct("start", "end")).alias("spans"),
         F.collect_set(F.col("item_id").cast("string")).alias("items"),
-    ).select(*KEYS, merged.cast("long").alias("n_hit"), F.array_sort("items").alias("items"))
-    base = docs.select("doc_id", text_key("text").alias("text_hash"),
-                       F.size(words(F.col("text"))).cast("long").alias("n_words"))
-    hit = per_doc.withColumnsRenamed({k: f"hit_{k}" for k in KEYS})
-    condition = (base["doc_id"].eqNullSafe(hit["hit_doc_id"])
-                 & (base["text_hash"] == hit["hit_text_hash"]))
-    joined = base.join(hit, condition, "left")
+    ).select(F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash"),
+             merged.cast("long").alias("n_hit"), F.array_sort("items").alias("items"))
+    base = found.where("start IS NULL").select(*KEYS, "n_words")
+    joined = base.join(hit, base["doc_id"].eqNullSafe(hit["hit_id"])
+                       & (base["text_hash"] == hit["hit_hash"]), "left")
     return joined.select(
         "doc_id", "n_words", F.coalesce("n_hit", long(0)).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
@@ -159,7 +180,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
           gram: int = GRAM) -> DataFrame:
     """The documents without a hit, with all their columns."""
     keyed = docs.withColumn("_text_hash", text_key("text"))
-    bad = hits(docs, benchmark, window, gram).select(
+    bad = hits(docs, benchmark, window, gram).where("start IS NOT NULL").select(
         F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct()
     condition = keyed["doc_id"].eqNullSafe(bad["_bad_id"]) & (
         keyed["_text_hash"] == bad["_bad_hash"])

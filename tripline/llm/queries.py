@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripline.llm import decontaminate, line_rules, packing, pii, simhash, token_files
+from tripline.llm import (
+    decontaminate, line_rules, packing, pii, quality, simhash, token_files, toxicity,
+)
 from tripline.llm.common import table
 from tripline.sources.session import pin, scratch
 
@@ -46,6 +48,19 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "fingerprint", simhash.as_hex(F.col("fingerprint")))
 
 
+def judged(scored: DataFrame, folds: int, held_out: int) -> DataFrame:
+    return scored.select(
+        "doc_id", F.coalesce(toxicity.fold(F.col("doc_id"), folds) == held_out, F.lit(False))
+        .alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    return judged(toxicity.fit(docs, labels).score(docs), 5, 0)
+
+
 @query
 def op5_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "token-blocks")
@@ -54,6 +69,12 @@ def op5_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(spark, path)
 
 
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    return judged(quality.score(table(spark, sf_dir, "documents"), labels), 3, 1)
+
+
 @query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces(table(spark, sf_dir, "documents"),
