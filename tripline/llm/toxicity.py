@@ -32,7 +32,7 @@ MAX_LABELLED = 12_000
 #: Log odds at which a grade of the lexicon begins, strongest first.
 GRADES = (4.0, 2.5, 1.5)
 #: Share of toxic texts that must hold an entry, and their least number.
-SUPPORT_SHARE, LEAST_SUPPORT = 0.01, 4
+SUPPORT_SHARE, LEAST_SUPPORT = 0.03, 4
 #: At most so many entries of a grade, the strongest.
 GRADE_SIZE = 500
 STEM_LENGTHS = (4, 5, 6)
