@@ -179,9 +179,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
           gram: int = GRAM) -> DataFrame:
     """The documents without a hit, with all their columns."""
-    keyed = docs.withColumn("_text_hash", text_key("text"))
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", text_key("text").alias("text_hash"))
     bad = hits(docs, benchmark, window, gram).where("start IS NOT NULL").select(
-        F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct()
-    condition = keyed["doc_id"].eqNullSafe(bad["_bad_id"]) & (
-        keyed["_text_hash"] == bad["_bad_hash"])
-    return keyed.join(bad, condition, "left_anti").drop("_text_hash")
+        F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct()
+    return rows.join(bad, rows["doc_id"].eqNullSafe(bad["bad_id"])
+                     & (rows["text_hash"] == bad["bad_hash"]), "left_anti").select("row.*")

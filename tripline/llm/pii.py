@@ -215,14 +215,16 @@ def masked(text: Column, all_spans: Column) -> Column:
 def sanitise(docs: DataFrame, **limits) -> DataFrame:
     """The documents with all spans masked; other columns stay, a null text stays null."""
     found = spans(docs, **limits).where(F.size("spans") > 0).dropDuplicates(_KEYS).select(
-        F.col("doc_id").alias("_span_id"), F.col("text_hash").alias("_span_hash"),
-        F.col("spans").alias("_spans"))
-    keyed = docs.withColumn("_text_hash", text_key("text"))
-    match = keyed["doc_id"].eqNullSafe(found["_span_id"]) & (
-        keyed["_text_hash"] == found["_span_hash"])
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(
-        masked(F.col("text"), F.col("_spans")))
-    return keyed.join(found, match, "left").withColumn("text", text).select(*docs.columns)
+        F.col("doc_id").alias("span_id"), F.col("text_hash").alias("span_hash"), "spans")
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text",
+                       text_key("text").alias("text_hash"))
+    match = rows["doc_id"].eqNullSafe(found["span_id"]) & (
+        rows["text_hash"] == found["span_hash"])
+    text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(
+        masked(F.col("text"), F.col("spans")))
+    return rows.join(found, match, "left").withColumn("masked", text).select(*(
+        F.col("masked").alias(c) if c == "text" else F.col("row")[c].alias(c)
+        for c in docs.columns))
 
 
 def digest(found: DataFrame) -> DataFrame:

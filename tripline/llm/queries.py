@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripline.llm import (
-    decontaminate, line_rules, packing, pii, quality, simhash, token_files, toxicity,
+    decontaminate, html_text, licences, line_rules, packing, pii, quality, simhash, token_files,
+    toxicity,
 )
 from tripline.llm.common import table
 from tripline.sources.session import pin, scratch
@@ -48,6 +49,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "fingerprint", simhash.as_hex(F.col("fingerprint")))
 
 
+@query
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages")).select("page_id", "text")
+
+
 def judged(scored: DataFrame, folds: int, held_out: int) -> DataFrame:
     return scored.select(
         "doc_id", F.coalesce(toxicity.fold(F.col("doc_id"), folds) == held_out, F.lit(False))
@@ -56,7 +62,7 @@ def judged(scored: DataFrame, folds: int, held_out: int) -> DataFrame:
 
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
     return judged(toxicity.fit(docs, labels).score(docs), 5, 0)
 
@@ -94,3 +100,8 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.digest(line_rules.judge(table(spark, sf_dir, "documents")))
+
+
+@query
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))

@@ -285,20 +285,18 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     Rows are numbered in a written copy, so repeated rows are told apart
     whatever is run again.
     """
-    numbered = settle(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    prints = settle(fingerprints(numbered, shingle, "_row"), "prints")
+    numbered = settle(docs.select(
+        F.struct("*").alias("row"), "doc_id", "text",
+        F.monotonically_increasing_id().alias("number")), "numbered")
+    prints = settle(fingerprints(numbered, shingle, "number"), "prints")
     rooted = settle(classes(prints, max_bits), "rooted")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"),
+                           "number"))  # a doc_id before none
     kept = settle(
-        prints.groupBy("fingerprint").agg(F.min(_order()).alias("first"))
+        prints.groupBy("fingerprint").agg(least.alias("first"))
         .join(rooted, "fingerprint").groupBy("root").agg(F.min("first").alias("first"))
-        .select(F.col("first.row").alias("_kept")), "kept")
-    return numbered.join(kept, numbered["_row"] == kept["_kept"], "left_semi").drop("_row")
-
-
-def _order() -> Column:
-    """Least first: a doc_id before none, small before large, then the row's number."""
-    return F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"),
-                    F.col("_row").alias("row"))
+        .select(F.col("first.number").alias("kept")), "kept")
+    return numbered.join(kept, numbered["number"] == kept["kept"], "left_semi").select("row.*")
 
 
 def as_hex(value: Column) -> Column:

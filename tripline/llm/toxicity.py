@@ -17,8 +17,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -94,7 +93,7 @@ def describe(text: str | None, lexicon: dict[str, int]) -> list[float]:
         dodged / n, sum(words[at].isupper() for at in hits) / n, math.log1p(n)]
 
 
-def with_features(docs: DataFrame, lexicon: dict[str, int], name: str = "_features") -> DataFrame:
+def with_features(docs: DataFrame, lexicon: dict[str, int], name: str = "features") -> DataFrame:
     """``docs`` with one more column, an array of the features of its text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,26 +141,27 @@ class Model:
     calibration: IsotonicRegressionModel | None
     rate: float
 
-    def score(self, docs: DataFrame, name: str = "score") -> DataFrame:
-        """``docs`` with one more column: a probability, also for null and empty texts.
-
-        Names of other columns may be anything but those of this module, which
-        begin with an underscore.
-        """
+    def _scored(self, docs: DataFrame) -> DataFrame:
+        """The documents as column ``row`` and their ``score``."""
+        rows = docs.select(F.struct("*").alias("row"), "text")
         if self.trees is None:
-            return docs.withColumn(name, F.lit(float(self.rate)))
-        rows = self.trees.transform(_assembled(with_features(docs, self.lexicon)))
-        rows = rows.withColumn("_raw_score", vector_to_array("_probability")[1])
-        rows = self.calibration.transform(rows)
-        return rows.withColumn(name, F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col(
-            "_calibrated")))).select(*docs.columns, name)
+            return rows.select("row", F.lit(float(self.rate)).alias("score"))
+        rows = self.trees.transform(_assembled(with_features(rows, self.lexicon))).withColumn(
+            "raw_score", vector_to_array("probability")[1])
+        return self.calibration.transform(rows).select("row", F.greatest(
+            F.lit(0.0), F.least(F.lit(1.0), F.col("calibrated"))).alias("score"))
+
+    def score(self, docs: DataFrame) -> DataFrame:
+        """doc_id and score, a probability, of every row, null and empty texts too."""
+        return self._scored(docs.select("doc_id", "text")).select("row.doc_id", "score")
+
+    def accept(self, docs: DataFrame, limit: float = 0.5) -> DataFrame:
+        """The documents that score below ``limit``, with all their columns."""
+        return self._scored(docs).where(F.col("score") < limit).select("row.*")
 
 
 def _assembled(rows: DataFrame) -> DataFrame:
-    columns = [f"_f{i}" for i in range(len(FEATURES))]
-    flat = rows.withColumns({c: F.col("_features")[i] for i, c in enumerate(columns)})
-    return VectorAssembler(inputCols=columns, outputCol="_vector").transform(flat).drop(
-        "_features", *columns)
+    return rows.withColumn("vector", array_to_vector("features")).drop("features")
 
 
 def fold(doc_id: Column, folds: int) -> Column:
@@ -194,12 +194,12 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0,
     described = settle(with_features(rows, lexicon).drop("text").coalesce(4), "described")
     ready = _assembled(described.withColumn("label", F.col("label").cast("double")))
     trees = GBTClassifier(
-        featuresCol="_vector", labelCol="label", predictionCol="_predicted", maxIter=TREES,
+        featuresCol="vector", labelCol="label", predictionCol="predicted", maxIter=TREES,
         maxDepth=DEPTH, stepSize=STEP, seed=42,
-    ).setRawPredictionCol("_margin").setProbabilityCol("_probability").fit(
+    ).setRawPredictionCol("margin").setProbabilityCol("probability").fit(
         ready.where(~F.col("calibrates")))
     judged = trees.transform(ready.where("calibrates")).withColumn(
-        "_raw_score", vector_to_array("_probability")[1])
+        "raw_score", vector_to_array("probability")[1])
     calibration = IsotonicRegression(
-        featuresCol="_raw_score", labelCol="label", predictionCol="_calibrated").fit(judged)
+        featuresCol="raw_score", labelCol="label", predictionCol="calibrated").fit(judged)
     return Model(lexicon, trees, calibration, sums["rate"])
