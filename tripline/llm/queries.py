@@ -14,11 +14,11 @@ from tripline.llm import (
     toxicity,
 )
 from tripline.llm.common import table
+from tripline.llm.oracle import ORACLE  # noqa: F401
 from tripline.sources.session import pin, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
 
 #: Whole texts go to Python in batches of so many rows, to bound a worker's memory.
 ARROW_ROWS = "500"

@@ -32,8 +32,8 @@ MAX_LABELLED = 12_000
 GRADES = (4.0, 2.5, 1.5)
 #: Share of toxic texts that must hold an entry, and their least number.
 SUPPORT_SHARE, LEAST_SUPPORT = 0.03, 4
-#: At most so many entries of a grade, the strongest.
-GRADE_SIZE = 500
+#: At most so many entries, the strongest.
+LEXICON_SIZE = 1500
 STEM_LENGTHS = (4, 5, 6)
 TREES, DEPTH, STEP = 20, 3, 0.3
 #: Words between a lexicon word and a word of address that still counts as near.
@@ -106,7 +106,7 @@ def with_features(docs: DataFrame, lexicon: dict[str, int], name: str = "feature
 
 
 def learn_lexicon(labelled: DataFrame) -> dict[str, int]:
-    """entry -> grade, from rows of text and ``label`` (0 or 1). Bounded by ``GRADE_SIZE``."""
+    """entry -> grade, from rows of text and ``label`` (0 or 1). The strongest ``LEXICON_SIZE``."""
     count = labelled.agg(F.coalesce(F.sum("label"), F.lit(0)).alias("toxic"),
                          F.count("*").alias("all")).first()
     toxic, clean = int(count["toxic"]), int(count["all"]) - int(count["toxic"])
@@ -124,12 +124,8 @@ def learn_lexicon(labelled: DataFrame) -> dict[str, int]:
     support = max(LEAST_SUPPORT, round(SUPPORT_SHARE * toxic))
     found = seen.where(F.col("t") >= support).withColumn("odds", odds).where(
         F.col("odds") >= GRADES[-1])
-    lexicon: dict[str, int] = {}
-    for grade, (least, most) in enumerate(zip(GRADES, (math.inf, *GRADES))):
-        rows = found.where((F.col("odds") >= least) & (F.col("odds") < most)).orderBy(
-            F.desc("odds"), F.desc("t"), "entry").limit(GRADE_SIZE).collect()
-        lexicon |= {r.entry: grade for r in rows}
-    return lexicon
+    rows = found.orderBy(F.desc("odds"), F.desc("t"), "entry").limit(LEXICON_SIZE).collect()
+    return {r.entry: next(g for g, least in enumerate(GRADES) if r.odds >= least) for r in rows}
 
 
 @dataclass
