@@ -138,8 +138,10 @@ def disclosing(docs: DataFrame, found: DataFrame, support: int = SUPPORT,
     """Spans of terms that give an entity away: doc_id, text_hash, start, end, disclosure.
 
     Counts cover all documents. Pairs are few (2 * ``reach`` code points a
-    mention) and combine before each shuffle; n_t is counted only for terms
-    that have the support, after an equality join on the term.
+    mention) and combine before each shuffle. A term is in no fewer documents
+    than hold it beside some mention, which bounds its disclosure from above:
+    pairs that fall short even so are out, and n_t is counted over the corpus
+    for the terms of the others, after an equality join.
     """
     mentions = settle(
         found.where(F.size("spans") > 0).select(
@@ -149,23 +151,30 @@ def disclosing(docs: DataFrame, found: DataFrame, support: int = SUPPORT,
         .select(*_KEYS, "m.entity", F.explode_outer("m.terms").alias("t"))
         .select(*_KEYS, "entity", F.col("t.value").alias("term"), F.col("t.start").alias("start"),
                 F.col("t.end").alias("end")), "mentions")
-    pairs = settle(
-        mentions.where("term IS NOT NULL").select(*_KEYS, "entity", "term").distinct()
-        .groupBy("entity", "term").agg(F.count("*").alias("n_et")).where(
-            F.col("n_et") >= support), "pairs")
-    wanted = settle(pairs.select("term").distinct(), "terms")
+    total = docs.count()
+
+    def disclosure(n_t: str) -> Column:
+        return (F.log(F.col("n_et") * total / (F.col("n_e") * F.col(n_t)))
+                / F.nullif(F.log(F.lit(total) / F.col("n_e")), F.lit(0.0)))
+
     entities = mentions.select(*_KEYS, "entity").distinct().groupBy("entity").agg(
         F.count("*").alias("n_e"))
+    with_term = mentions.where("term IS NOT NULL")
+    beside = with_term.select(*_KEYS, "term").distinct().groupBy("term").agg(
+        F.count("*").alias("n_beside"))
+    pairs = settle(
+        with_term.select(*_KEYS, "entity", "term").distinct()
+        .groupBy("entity", "term").agg(F.count("*").alias("n_et"))
+        .where(F.col("n_et") >= support).join(entities, "entity").join(beside, "term")
+        .where(disclosure("n_beside") >= generalise), "pairs")
+    wanted = settle(pairs.select("term").distinct(), "terms")
     terms = docs.select(F.explode(F.array_distinct(F.split(
         F.lower(empty_as(F.col("text"))), r"[^\p{L}\p{M}]+"))).alias("term")).join(
         wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
-    total = F.lit(docs.count())
-    scored = (pairs.join(entities, "entity").join(terms, "term")
-              .withColumn("disclosure",
-                          F.log(F.col("n_et") * total / (F.col("n_e") * F.col("n_t")))
-                          / F.nullif(F.log(total / F.col("n_e")), F.lit(0.0)))
-              .where(F.col("disclosure") >= generalise))
-    telling = settle(scored.select("entity", "term", "disclosure"), "disclosing")
+    telling = settle(
+        pairs.join(terms, "term").withColumn("disclosure", disclosure("n_t")).where(
+            F.col("disclosure") >= generalise).select("entity", "term", "disclosure"),
+        "disclosing")
     return mentions.join(telling, ["entity", "term"]).groupBy(*_KEYS, "start", "end").agg(
         F.max("disclosure").alias("disclosure"))
 
