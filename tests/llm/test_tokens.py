@@ -20,7 +20,8 @@ WORD = public_tokenizers.path("word_bpe_49k.json")
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 ODD = ["", "  ", "a\x1cb c", "É é ΑΣ x", "<|startoftext|>a <|endoftext|>", "日本 ‘x’",
-       "don't I'LL 123 4,5!!", "İstanbul ﬁ Ǆ", "é ́ a", "\x85\xa0a", "\x00b", "a" * 9000]
+       "don't I'LL 123 4,5!!", "İstanbul ﬁ Ǆ", "é ́ a", "\x85\xa0a", "\x00b", "a" * 9000,
+       "a's 's 'S 'lla 'reé x''t _a__b- 1,23.4'd", "Straße ÀÖ×÷ØÞßàÿ", "a\x0bb\x0cc\rd", "!!?? !"]
 
 
 def crc(ids) -> int:
@@ -33,13 +34,12 @@ def test_encoders_equal_the_library(text):
         assert encode(text).tolist() == encode.library.encode(text, add_special_tokens=False).ids
 
 
-def test_word_memory_may_overflow(monkeypatch, spark, sf_dir):
-    monkeypatch.setattr(tokens, "REMEMBERED", 50)
-    encode = tokens.WordEncoder(WORD)
-    texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60).collect()]
-    want = [e.ids for e in encode.library.encode_batch(texts, add_special_tokens=False)]
-    for at in range(0, 60, 7):
-        assert [x.tolist() for x in encode.encode_all(texts[at:at + 7])] == want[at:at + 7]
+def test_encoders_equal_the_library_on_every_text(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()
+    for encode in (tokens.word_encoder(WORD), tokens.byte_encoder(BYTE, RANKS)):
+        want = encode.library.encode_batch([r.text for r in rows], add_special_tokens=False)
+        assert all(encode(r.text).tolist() == w.ids for r, w in zip(rows, want))
+    assert tokens.word_encoder(WORD).merged is not None
 
 
 @settings(max_examples=40, deadline=None)

@@ -43,6 +43,10 @@ _LOW = np.uint64(0xFFFFFFFF)
 _WORD = np.uint64(32)
 _LIMIT = np.uint64(1 << 32)
 
+#: Change of confidence, when wrong and when right.
+_CHANGE = np.array([sure // 2 - sure for sure in range(LEVELS)]
+                   + [min(sure + 1, LEVELS - 1) - sure for sure in range(LEVELS)])
+
 
 class Corrupt(ValueError):
     """The bytes are no whole block."""
@@ -64,8 +68,8 @@ class _Model:
 
     def __init__(self, bound: int, decode: bool):
         self.bound, self.decode = bound, decode
-        self.one = np.zeros(bound, dtype=np.uint32)  # id and confidence in one number
-        self.two = np.zeros(SLOTS, dtype=np.uint32)
+        self.one = np.zeros(bound, dtype=np.int64)  # id and confidence in one number
+        self.two = np.zeros(SLOTS, dtype=np.int64)
         self.zero_counts = np.zeros(bound, dtype=np.int64)
         self.mix_counts = np.ones((2 * LEVELS * LEVELS, 3), dtype=np.int64)
         self.seen: list[np.ndarray] = []
@@ -77,7 +81,7 @@ class _Model:
         start, width = _shares(self.zero_counts, _ZERO)
         self.zero_start, self.zero_width = start.astype(np.uint64), width.astype(np.uint64)
         if self.decode:
-            self.zero_slot = np.repeat(np.arange(self.bound, dtype=np.uint32), width)
+            self.zero_slot = np.repeat(np.arange(self.bound), width)
 
     def _renew_mix(self) -> None:
         start, width = _shares(self.mix_counts, _MIX)
@@ -87,24 +91,27 @@ class _Model:
     def predict(self, before: np.ndarray, before2: np.ndarray) -> None:
         """Ids and table row for lanes whose last ids are ``before``."""
         self.before = before
-        self.slot = ((before * np.uint32(2654435761) ^ before2 * np.uint32(2246822519))
-                     >> np.uint32(14))
-        self.entry1, self.entry2 = self.one[before], self.two[self.slot]
+        self.slot = (before * 40503 ^ before2 * 30011) & (SLOTS - 1)
+        self.entry1, self.entry2 = self.one.take(before), self.two.take(self.slot)
         self.id1, self.id2 = self.entry1 >> 3, self.entry2 >> 3
-        self.row = ((((self.entry2 & 7) << 3 | self.entry1 & 7) << 1)
-                    | (self.id1 == self.id2)) * np.uint32(3)
+        self.sure1, self.sure2 = self.entry1 & 7, self.entry2 & 7
+        self.row = (((self.sure2 << 3 | self.sure1) << 1) | (self.id1 == self.id2)) * 3
+
+    def mix_part(self, outcome: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = self.row + outcome
+        return self.mix_start.take(at), self.mix_width.take(at)
 
     @staticmethod
-    def _learnt(entry: np.ndarray, ids: np.ndarray, right: np.ndarray) -> np.ndarray:
+    def _learnt(entry: np.ndarray, sure: np.ndarray, right: np.ndarray,
+                fresh: np.ndarray) -> np.ndarray:
         """Right: surer. Wrong: half as sure, and replaced when that is nothing."""
-        sure = entry & 7
-        less = sure >> 1
-        kept = np.where(less > 0, entry - sure + less, ids << np.uint32(3) | np.uint32(1))
-        return np.where(right, entry + (sure < 7), kept)
+        case = sure + right * LEVELS
+        return np.where(case < 2, fresh, entry + _CHANGE.take(case))
 
     def learn(self, ids: np.ndarray, outcome: np.ndarray, step: int) -> None:
-        self.two[self.slot] = self._learnt(self.entry2, ids, self.id2 == ids)
-        self.one[self.before] = self._learnt(self.entry1, ids, self.id1 == ids)
+        fresh = ids << 3 | 1
+        self.two[self.slot] = self._learnt(self.entry2, self.sure2, self.id2 == ids, fresh)
+        self.one[self.before] = self._learnt(self.entry1, self.sure1, self.id1 == ids, fresh)
         self.mixed.append(self.row + outcome)
         self.seen.append(ids)
         done = step + 1
@@ -119,11 +126,11 @@ class _Model:
             self._renew_zero()
 
 
-def _narrow(low: np.ndarray, span: np.ndarray, start, width, bits: int) -> np.ndarray:
-    """Move ``low`` in place into a part of the interval; the new span."""
-    unit = span >> np.uint64(bits)
-    low += unit * start
-    return unit * width
+def _narrow(low: np.ndarray, span: np.ndarray, start, width, bits: int) -> None:
+    """Move an interval, in place, into the part of it from ``start``, ``width`` wide."""
+    span >>= np.uint64(bits)
+    low += span * start
+    span *= width
 
 
 def _due(low: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -148,19 +155,19 @@ def _plan(count: int) -> tuple[int, int]:
 
 def encode(ids: np.ndarray) -> bytes:
     """The block of ``ids``, numbers below 2**19; an empty list has a block too."""
-    ids = np.ascontiguousarray(ids, dtype=np.uint32)
+    ids = np.ascontiguousarray(ids, dtype=np.int64)
     count = len(ids)
     bound = int(ids.max()) + 1 if count else 1
     if bound > MOST_IDS:
         raise ValueError(f"ids must be below {MOST_IDS}")
     steps, lanes = _plan(count)
-    grid = np.zeros(steps * lanes, dtype=np.uint32)
+    grid = np.zeros(steps * lanes, dtype=np.int64)
     grid[:count] = ids
     grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
     model = _Model(bound, decode=False)
     low = np.zeros(lanes, dtype=np.uint64)
     span = np.full(lanes, np.iinfo(np.uint64).max, dtype=np.uint64)
-    one_back = two_back = np.zeros(lanes, dtype=np.uint32)
+    one_back = two_back = np.zeros(lanes, dtype=np.int64)
     out_lanes, out_words = [], []
     for step in range(steps):
         live = lanes if (lanes - 1) * steps + step < count else lanes - 1
@@ -168,13 +175,12 @@ def encode(ids: np.ndarray) -> bytes:
             break
         now = grid[step, :live]
         model.predict(one_back[:live], two_back[:live])
-        outcome = np.where(model.id2 == now, 0, 2 - (model.id1 == now)).astype(np.uint32)
-        at = model.row + outcome
+        outcome = np.where(model.id2 == now, 0, 2 - (model.id1 == now))
         part_low, part = low[:live], span[:live]
-        part[:] = _narrow(part_low, part, model.mix_start[at], model.mix_width[at], MIX_BITS)
+        _narrow(part_low, part, *model.mix_part(outcome), MIX_BITS)
         new = outcome == 2
-        part[:] = _narrow(part_low, part, np.where(new, model.zero_start[now], np.uint64(0)),
-                          np.where(new, model.zero_width[now], np.uint64(_ZERO)), ZERO_BITS)
+        _narrow(part_low, part, model.zero_start.take(now) * new,
+                np.where(new, model.zero_width.take(now), np.uint64(_ZERO)), ZERO_BITS)
         due, words = _due(part_low, part)
         out_lanes.append(due)
         out_words.append(words)
@@ -218,31 +224,30 @@ def decode(block: bytes) -> np.ndarray:
     span = np.full(lanes, np.iinfo(np.uint64).max, dtype=np.uint64)
     code = words[:lanes] << _WORD | words[lanes:2 * lanes]
     taken = 2 * lanes
-    grid = np.zeros((steps, lanes), dtype=np.uint32)
-    one_back = two_back = np.zeros(lanes, dtype=np.uint32)
+    grid = np.zeros((steps, lanes), dtype=np.int64)
+    one_back = two_back = np.zeros(lanes, dtype=np.int64)
     for step in range(steps):
         live = lanes if (lanes - 1) * steps + step < count else lanes - 1
         if not live:
             break
         model.predict(one_back[:live], two_back[:live])
         part_low, part, part_code = low[:live], span[:live], code[:live]
-        where = (part_code - part_low) // (part >> np.uint64(MIX_BITS))
-        outcome = ((where >= model.mix_start[model.row + 1]).astype(np.uint32)
-                   + (where >= model.mix_start[model.row + 2]))
-        at = model.row + outcome
-        part[:] = _narrow(part_low, part, model.mix_start[at], model.mix_width[at], MIX_BITS)
+        unit, offset = part >> np.uint64(MIX_BITS), part_code - part_low
+        outcome = ((offset >= unit * model.mix_start.take(model.row + 1)).astype(np.int64)
+                   + (offset >= unit * model.mix_start.take(model.row + 2)))
+        _narrow(part_low, part, *model.mix_part(outcome), MIX_BITS)
         now = np.where(outcome == 0, model.id2, model.id1)
         new = np.flatnonzero(outcome == 2)
         where = (part_code[new] - part_low[new]) // (part[new] >> np.uint64(ZERO_BITS))
-        found = model.zero_slot[where]
+        found = model.zero_slot.take(where.astype(np.int64))
         now[new] = found
         start, width = np.zeros(live, np.uint64), np.full(live, _ZERO, np.uint64)
-        start[new], width[new] = model.zero_start[found], model.zero_width[found]
-        part[:] = _narrow(part_low, part, start, width, ZERO_BITS)
+        start[new], width[new] = model.zero_start.take(found), model.zero_width.take(found)
+        _narrow(part_low, part, start, width, ZERO_BITS)
         due, _ = _due(part_low, part)
         part_code[due] = part_code[due] << _WORD | words[taken:taken + len(due)]
         taken += len(due)
         grid[step, :live] = now
-        model.learn(now, outcome.astype(np.uint32), step)
+        model.learn(now, outcome, step)
         two_back, one_back = one_back, now
     return np.ascontiguousarray(grid.T).reshape(-1)[:count]

@@ -40,7 +40,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, end: int,
     writes no block; other columns are ignored.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokens.word_encoder(vocabulary).encode_all
+        encode = tokens.word_encoder(vocabulary)
         file_no, block_no, before = TaskContext.get().partitionId(), 0, 0
         doc_ids, parts, held = [], [], 0
 
@@ -51,11 +51,11 @@ def write(docs: DataFrame, path: str, vocabulary: str, end: int,
                      [token_blocks.encode(np.concatenate(parts))]), _ARROW)], schema=_ARROW)
 
         for batch in batches:
-            texts = [t or "" for t in batch["text"].to_pylist()]
-            for doc_id, ids in zip(batch["doc_id"].to_pylist(), encode(texts)):
+            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
+                ids = np.append(encode(text.as_py() or ""), np.uint32(end))
                 doc_ids.append(doc_id)
-                parts.append(np.append(ids, np.uint32(end)))
-                held += len(ids) + 1
+                parts.append(ids)
+                held += len(ids)
                 if held >= block_ids:
                     yield block()
                     block_no, before = block_no + 1, before + held

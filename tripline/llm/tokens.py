@@ -13,9 +13,6 @@ from array import array
 
 import numpy as np
 
-#: Distinct words whose ids a worker remembers, before it starts anew.
-REMEMBERED = 500_000
-
 _encoders: dict[tuple, object] = {}
 
 
@@ -53,27 +50,24 @@ class ByteEncoder:
             ids = self.library.encode(text, add_special_tokens=False).ids
         else:
             ids = self.fast.encode_ordinary(text)
-        return np.array(ids, dtype="<u4")
+        return np.frombuffer(array("I", ids), dtype="<u4")
 
 
 class WordEncoder:
-    """Ids of a vocabulary that drops white space and never merges across it.
+    """Ids of a vocabulary that drops white space, with marks for the end of a word.
 
-    The ids of a text are then those of its words, and words recur: each
-    distinct one is encoded once and remembered as bytes. Plain Latin words
-    are merged by rank, in which a byte that no text has stands for the end of
-    a word; all others go to the library.
+    Texts of Latin letters are cut into words here, each followed by a space,
+    and merged by rank: in the rank table a space stands for the end of a word,
+    since no token holds one. All other texts go to the library.
     """
 
-    #: Python counts these as white space; the library does not.
-    _odd = re.compile("[\x1c-\x1f]")
-    _plain = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]?)")
-    _end = b"\xff"
+    _other = re.compile(r"[^\t-\r -~À-ÖØ-öø-ÿ]|<\|")
+    #: What the library cuts out beside runs of letters, in its order.
+    _cut = re.compile(r"('s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\sa-zß-öø-ÿ0-9]+)")
 
     def __init__(self, path: str):
         self.library = _library(path)
-        self.known: dict[str, bytes] = {}
-        self.merge = self._by_rank()
+        self.merged = self._by_rank()
 
     def _by_rank(self):
         """The library's merges as ranks; None where ids don't follow the merges."""
@@ -87,45 +81,23 @@ class WordEncoder:
         ranks = {}
         for token, number in self.library.get_vocab(with_added_tokens=False).items():
             body = token.removesuffix("</w>")
-            if not all(c in byte_of for c in body):
-                continue
-            raw = bytes(byte_of[c] for c in body)
-            ranks[raw + self._end if body != token else raw] = number
-        if any(bytes([b]) not in ranks or bytes([b]) + self._end not in ranks
-               for b in range(255)):
+            if all(c in byte_of for c in body):
+                raw = bytes(byte_of[c] for c in body)
+                ranks[raw + b" " if body != token else raw] = number
+        merges = min((n for raw, n in ranks.items() if len(raw.rstrip(b" ")) > 1), default=0)
+        if any(ranks.get(bytes([b]) + end, merges) >= merges
+               for b in range(256) for end in (b"", b" ")):
             return None
-        return tiktoken.Encoding("merges", pat_str=r"\S+", mergeable_ranks=ranks,
-                                 special_tokens={})._core_bpe.encode_single_piece
-
-    def _learn(self, words: set[str]) -> None:
-        other, known, plain, merge = [], self.known, self._plain.fullmatch, self.merge
-        for word in words:
-            found = merge and plain(word)
-            if not found:
-                other.append(word)
-                continue
-            ids = merge(found[1].lower().encode() + self._end)
-            if found[2]:
-                ids += merge(found[2].encode() + self._end)
-            known[word] = array("I", ids).tobytes()
-        for word, found in zip(other, self.library.encode_batch(other, add_special_tokens=False)):
-            known[word] = array("I", found.ids).tobytes()
-
-    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of some texts; what is new in all of them is learned in one go."""
-        split = [None if self._odd.search(text) else text.split() for text in texts]
-        words = set().union(*filter(None, split))
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        self._learn(words.difference(self.known))
-        known = self.known
-        return [np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4")
-                if words is None
-                else np.frombuffer(b"".join([known[w] for w in words]), dtype="<u4")
-                for text, words in zip(texts, split)]
+        return tiktoken.Encoding("merges", pat_str=r"\S++ ", mergeable_ranks=ranks,
+                                 special_tokens={}).encode_ordinary
 
     def __call__(self, text: str) -> np.ndarray:
-        return self.encode_all([text])[0]
+        if self.merged is None or self._other.search(text):
+            ids = self.library.encode(text, add_special_tokens=False).ids
+        else:
+            words = " ".join(self._cut.split(text.lower())).split()
+            ids = self.merged(" ".join(words) + " ") if words else []
+        return np.frombuffer(array("I", ids), dtype="<u4")
 
 
 def byte_encoder(path: str, ranks: str) -> ByteEncoder:
