@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tripline.__main__ import main
 from tripline.plans import adapters
-from tripline.sources.files import write_zones
+from tripline.sources.files import read_zones, write_zones
 
 
 def lines(folder):
@@ -39,6 +39,30 @@ def test_from_months_to_replies(spark, sf_dir, tmp_path, capsys):
     bad = {**good, "request_id": "b", "pickup_hour": "late"}
     (asked / "1.json").write_text(json.dumps(good) + "\n" + json.dumps(bad) + "\n")
 
+    rings = adapters.projected_rings_from_customers(adapters.table(spark, sf_dir, "customer"))
+    rings.write.parquet(str(tmp_path / "rings"))
+    adapters.zone_names_from_customers(adapters.table(spark, sf_dir, "customer")).write.parquet(
+        str(tmp_path / "names"))
+    main(["zones", str(tmp_path / "rings"), str(tmp_path / "names"), str(tmp_path / "table")])
+    table = {r.LocationID: r for r in read_zones(spark, str(tmp_path / "table")).collect()}
+    assert 40 < table[1].latitude < 41 and table[1].zone == "Zone_1"
+
+    estimate = tmp_path / "estimate"
+    estimate.mkdir()
+    (estimate / "1.json").write_text("".join(json.dumps(
+        {**good, "request_id": i, "trip_distance": None, "PULocationID": 1, "DOLocationID": do})
+        + "\n" for i, do in (("c", 2), ("d", 10**6))))
+    main(["score", f"{out}/model", str(estimate), str(tmp_path / "est"), "--zones",
+          str(tmp_path / "table")])
+    main(["stream-score", f"{out}/model", str(estimate), str(tmp_path / "est-stream"), "--zones",
+          str(tmp_path / "table")])
+    reply, = lines(tmp_path / "est" / "replies")
+    streamed, = spark.read.parquet(str(tmp_path / "est-stream" / "replies")).collect()
+    assert reply["inputs"]["trip_distance"] > 0
+    assert streamed.inputs.trip_distance == reply["inputs"]["trip_distance"]
+    rejected, = lines(tmp_path / "est" / "rejected")
+    assert (rejected["request_id"], rejected["first_invalid"]) == ("d", "DOLocationID unknown")
+
     main(["score", f"{out}/model", str(asked), str(tmp_path / "scored")])
     reply, = lines(tmp_path / "scored" / "replies")
     rejected, = lines(tmp_path / "scored" / "rejected")

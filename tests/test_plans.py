@@ -9,10 +9,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from tripline.operators import bands, distance, evaluate, hotspots, polygons, sampling
 from tripline.operators.clean import clean_trips
 from tripline.plans import adapters
+from tripline.plans.queries import QUERIES
 from tripline.sources import months
 from tripline.sources.files import literal_rows
 from tripline.sources.schemas import BANDS, RINGS
@@ -42,9 +42,9 @@ def stored(spark, sf_dir, tmp_path_factory):
     return months.read_months(spark, path)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_and_no_products(spark, sf_dir, name):
-    text = plan(entry.queries()[name](spark, sf_dir))
+    text = plan(QUERIES[name](spark, sf_dir))
     for node in ("Python", "Pandas", "CartesianProduct", "NestedLoopJoin", "RDDScan"):
         assert node not in text, f"{node} in {name}"
 
@@ -74,8 +74,8 @@ def test_landed_months_prune_partitions(spark, sf_dir, tmp_path):
 
 def test_hotspots_plan(spark, trips):
     text = plan(hotspots.hotspots(clean_trips(trips), adapters.zones(spark)))
-    assert "BroadcastHashJoin" in text and text.count("TakeOrderedAndProject (") >= 2
-    assert "rangepartitioning" not in text and "partial_count" in text
+    assert "BroadcastHashJoin" in text and text.count("TakeOrderedAndProject (") == 1
+    assert "partial_count" in text and "partial_max_by" in text
 
 
 def test_zone_lookup_outgrows_broadcast(spark, trips):
@@ -98,6 +98,21 @@ def test_banded_samples_cut_groups_before_the_shuffle(trips):
     assert len(re.findall(r"\d+\) Exchange", text)) == 1
 
 
+@pytest.mark.parametrize("n", [5, 1000, 5000])
+def test_group_limit_for_any_n(spark, trips, n):
+    """Each task passes on at most n rows a group, whatever the session's default was."""
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "3")
+    pin(spark)
+    text = plan(bands.first_per_group(trips, "PULocationID", ["trip_distance", "trip_id"], n))
+    assert re.search(rf"row_number\(\), {n}, Partial", text)
+    assert len(re.findall(r"\d+\) Exchange", text)) == 1
+
+
+def test_union_of_bands_reads_once(spark, stored):
+    errors = evaluate.with_abs_error(adapters.closed_form(clean_trips(stored, "trip_id")))
+    assert plan(bands.banded_samples_union(errors, "trip_id")).count(") Scan parquet") == 1
+
+
 def test_hot_zone_is_split_when_the_lookup_shuffles(spark):
     """A third of all trips start in one zone; past broadcast size the join splits it."""
     trips = spark.range(0, 600_000, 1, 24).selectExpr(
@@ -132,18 +147,20 @@ def test_split_is_narrow(trips):
     assert "Exchange" not in plan(train) + plan(test)
 
 
-def test_sample_passes_few_rows_on(spark):
-    """Rows that reach the single-task top-n: n and about 1/65536 of the table."""
-    digest = F.md5(F.concat(F.lit(""), F.col("id").cast("string")))
-    df = spark.range(1_000_000)
-    kept = sampling.first_by_hash(df, "id", 1000).agg(F.max(digest)).first()[0]
-    assert df.filter(F.substring(digest, 1, 4) <= kept[:4]).count() < 1000 + 100
+def test_large_sample_stays_spread(spark):
+    """Rows below the cut pass as they are; only those at it are ranked."""
+    df = spark.range(0, 1_000_000, 1, 16)
+    sample = sampling.first_by_hash(df, "id", 150_000)
+    sizes = [r["count"] for r in
+             sample.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(sizes) == 150_000 and len(sizes) >= 16 and max(sizes) < 12_000
 
 
 def test_centroids_shuffle_vertices_once(spark):
     rings = spark.createDataFrame([(1, 1, 1, 0, 0.0, 0.0)], RINGS)
     text = plan(polygons.polygon_centroids(rings))
     assert "Join" not in text
+    # vertices by block, pieces by ring, rings by zone
     assert len(re.findall(r"\d+\) Exchange", text)) == 3
 
 

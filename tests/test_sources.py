@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import shutil
 from datetime import datetime
 
 import pyarrow as pa
@@ -11,6 +12,7 @@ from tripline.operators.clean import clean_trips
 from tripline.sources import files, months
 from tripline.sources.schemas import HOTSPOTS, METRICS, SAMPLES, ZONES
 from tripline.sources.session import settle, shared_dir
+from tripline.streaming import jobs
 
 
 def write_month(folder, year, month, rows=3, ids=pa.int64(), name=None):
@@ -107,6 +109,52 @@ def test_landed_months_skip_source_files(spark, source, tmp_path):
     assert months.land_months(spark, str(source), target) == {"2023-07": "landed"}
 
 
+def test_files_without_a_month_are_reported(spark, source, tmp_path):
+    write_month(source, 2023, 5, name="march.parquet")
+    write_month(source, 2023, 6, name="trips_2023-6.parquet")
+    state = months.land_months(spark, str(source), str(tmp_path / "landed"))
+    odd = {path.rsplit("/", 1)[1] for path, outcome in state.items() if outcome == months.NO_MONTH}
+    assert odd == {"march.parquet", "trips_2023-6.parquet"}
+    assert sorted(state.values()).count("landed") == 3
+
+
+def test_ids_stay_when_the_folder_moves(spark, source, tmp_path):
+    """Also between a batch read, a landing and a stream of the same folder."""
+    moved = tmp_path / "deeper" / "moved"
+    shutil.copytree(source, moved)
+    here, there = ({r.trip_id for r in months.read_months(spark, str(p)).collect()}
+                   for p in (source, moved))
+    assert here == there and len(here) == 12
+    months.land_months(spark, str(moved), str(tmp_path / "landed"))
+    assert {r.trip_id for r in months.read_landed(spark, str(tmp_path / "landed")).collect()} == here
+    streamed = str(tmp_path / "streamed")
+    jobs.stream_months(spark, str(source), streamed, str(tmp_path / "state")).awaitTermination()
+    assert {r.trip_id for r in spark.read.parquet(streamed).collect()} < here
+
+
+def test_landed_and_waiting_months_as_one(spark, source, tmp_path):
+    target = str(tmp_path / "landed")
+    months.land_months(spark, str(source), target)
+    write_month(source, 2024, 12, rows=7)
+    assert counts(months.read_all(spark, str(source), target)) == {
+        (2023, 1): 3, (2023, 2): 4, (2024, 11): 5, (2024, 12): 7}
+
+
+def test_zone_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "swapped.csv").write_text(
+        "zone,latitude,longitude,LocationID,extra,borough\nA,40.1,-74.1,1,x,B\n")
+    row = files.read_zones(spark, str(tmp_path / "swapped.csv")).first()
+    assert row.asDict() == {"LocationID": 1, "zone": "A", "borough": "B", "longitude": -74.1,
+                            "latitude": 40.1}
+    (tmp_path / "bad.csv").write_text(
+        "LocationID,zone,borough,longitude,latitude\n1,A,B,oops,40.1\n")
+    with pytest.raises(Exception, match="oops|MALFORMED"):
+        files.read_zones(spark, str(tmp_path / "bad.csv")).collect()
+    (tmp_path / "short.csv").write_text("LocationID,zone\n1,A\n")
+    with pytest.raises(ValueError, match="borough, latitude, longitude"):
+        files.read_zones(spark, str(tmp_path / "short.csv"))
+
+
 def test_zone_csv_round_trip(spark, tmp_path):
     zones = spark.createDataFrame([(1, 'A "quoted", name', "B", -74.174000272763, 40.69183120640153),
                                    (2, None, "C", None, 40.6)], ZONES)

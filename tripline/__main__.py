@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from tripline.operators import model, requests
+from tripline.operators import distance, model, polygons, requests
 from tripline.plans import trip_job
 from tripline.sources import files, months
-from tripline.sources.schemas import REQUEST_TEXT
-from tripline.sources.session import pin
+from tripline.sources.schemas import RINGS, ZONE_NAMES
+from tripline.sources.session import pin, settle
 from tripline.streaming import jobs
 
 
@@ -20,16 +20,31 @@ def land(spark: SparkSession, args: argparse.Namespace) -> None:
     for month, outcome in state.items():
         print(month, outcome)
     if any(outcome != "landed" for outcome in state.values()):
-        raise SystemExit("some months failed")
+        raise SystemExit("some months failed, or files could not be placed")
+
+
+def zones(spark: SparkSession, args: argparse.Namespace) -> None:
+    vertices = spark.read.schema(RINGS).parquet(args.vertices)
+    names = spark.read.schema(ZONE_NAMES).parquet(args.names)
+    files.write_zones(polygons.zone_table(vertices, names), args.out)
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
-    zones = files.read_zones(spark, args.zones) if args.zones else None
-    trip_job.run(spark, months.read_landed(spark, args.trips), "trip_id", args.out, zones)
+    table = files.read_zones(spark, args.zones) if args.zones else None
+    trip_job.run(spark, months.read_landed(spark, args.trips), "trip_id", args.out, table)
+
+
+def estimated(spark: SparkSession, received: DataFrame, args: argparse.Namespace) -> DataFrame:
+    """With a zone table, requests without a distance get the estimate. The table is
+    settled first: a stream takes no numbered lines."""
+    if not args.zones:
+        return received
+    return distance.estimated_requests(
+        received, settle(files.read_zones(spark, args.zones), "zones"))
 
 
 def score(spark: SparkSession, args: argparse.Namespace) -> None:
-    received = files.read_records(spark, args.requests, REQUEST_TEXT, "the request export")
+    received = estimated(spark, files.read_requests(spark, args.requests), args)
     scored = model.score_requests(model.load(spark, args.model), received, "request_id")
     files.write_records(requests.replies(scored, "request_id"), f"{args.out}/replies")
     files.write_records(requests.rejected_requests(received, "request_id"), f"{args.out}/rejected")
@@ -37,7 +52,7 @@ def score(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def stream_score(spark: SparkSession, args: argparse.Namespace) -> None:
     forest, key = model.load(spark, args.model), "request_id"
-    received = jobs.request_stream(spark, args.requests)
+    received = estimated(spark, jobs.request_stream(spark, args.requests), args)
     running = [
         jobs.stream_scores(forest, received, key, f"{args.out}/replies",
                            f"{args.out}/state/replies"),
@@ -67,8 +82,9 @@ def parser() -> argparse.ArgumentParser:
     landing.add_argument("--replace", action="store_true")
     landing.add_argument("--isolate", action="store_true")
     command(run, "run", "trips", "out").add_argument("--zones")
-    command(score, "score", "model", "requests", "out")
-    command(stream_score, "stream-score", "model", "requests", "out")
+    command(zones, "zones", "vertices", "names", "out")
+    command(score, "score", "model", "requests", "out").add_argument("--zones")
+    command(stream_score, "stream-score", "model", "requests", "out").add_argument("--zones")
     command(stream_ingest, "stream-ingest", "source", "out")
     return top
 

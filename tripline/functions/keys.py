@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,13 +18,18 @@ def content_key(*columns: str) -> Column:
                                     for c in columns]))
 
 
-def row_address() -> Column:
+def row_address(*roots: str) -> Column:
     """File and row position, ``<file hash>#<row>``: tells copies of a row apart.
 
-    The path is hashed to keep the id short; equal prefixes compress well.
+    The path counts from the folders ``roots`` on, so a folder that moves or is
+    mounted elsewhere keeps its ids. It is hashed to keep the id short; equal
+    prefixes compress well.
     """
-    return F.concat_ws("#", F.hex(F.xxhash64("_metadata.file_path")),
-                       F.col("_metadata.row_index").cast("string"))
+    path = F.col("_metadata.file_path")
+    for root in roots:
+        bare = re.sub(r"^[a-z0-9]+:(//[^/]*)?", "", root).strip("/")
+        path = F.regexp_replace(path, f"^[a-z0-9]+:/(.*?/)??{re.escape(bare)}/+", "")
+    return F.concat_ws("#", F.hex(F.xxhash64(path)), F.col("_metadata.row_index").cast("string"))
 
 
 def key_hash(key: Column | str, seed: str = "") -> Column:

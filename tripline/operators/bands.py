@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -14,10 +14,6 @@ BANDS = [(1, 3.0, 4.0), (2, 4.0, 5.0), (3, 5.0, 6.0), (4, 6.0, 10.0)]
 MAX_SAMPLE_ERROR = 1.5
 PER_BAND = 5
 
-# spark.sql.optimizer.windowGroupLimitThreshold
-GROUP_LIMIT = 1000
-SALTS = 256
-
 
 def assign_bands(df: DataFrame, column: str = "trip_distance",
                  bands: list[tuple[int, float, float]] = BANDS) -> DataFrame:
@@ -32,21 +28,31 @@ def assign_bands(df: DataFrame, column: str = "trip_distance",
 
 
 def band_join(df: DataFrame, bands: DataFrame, column: str = "trip_distance",
-              cell: float = 1.0) -> DataFrame:
+              cells: int = 256) -> DataFrame:
     """Join to a table ``(band, lo, hi)`` where ``column`` lies in [lo, hi].
 
-    The range condition rides on an equality over cells of width ``cell``, so
-    any number of bands joins by hash or sort-merge and never by nested loop.
-    Each band lists the cells it touches; a row has one cell, so no pair repeats.
+    The range condition rides on an equality over cells, so any number of bands
+    joins by hash or sort-merge and never by nested loop. The cells divide the
+    span of all finite ends, and one on each side holds all beyond: a band
+    lists at most ``cells`` + 3 of them, however wide or open it is. A row has
+    one cell, so no pair repeats.
     """
-    cells = bands.select(
-        "*", F.explode(F.sequence(F.floor(F.col("lo") / cell).cast("bigint"),
-                                  F.floor(F.col("hi") / cell).cast("bigint"))).alias("__cell"))
+    finite = [F.when(F.abs(c) < float("inf"), F.col(c)) for c in ("lo", "hi")]
+    ends = bands.agg(F.least(*map(F.min, finite)).alias("low"),
+                     F.greatest(*map(F.max, finite)).alias("high")).first()  # two numbers
+    low = ends["low"] if ends["low"] is not None else 0.0
+    width = ((ends["high"] - low) / cells if ends["high"] is not None else 0.0) or 1.0
+
+    def cell(value: Column) -> Column:
+        place = F.floor((value - low) / width)
+        return F.when(~F.isnan(value), F.when(place < 0, -1).when(place > cells, cells + 1)
+                      .otherwise(place.cast("int")))
+
+    listed = bands.select("*", F.explode(F.sequence(
+        cell(F.col("lo").cast("double")), cell(F.col("hi").cast("double")))).alias("__cell"))
     return (
-        df.withColumn("__cell", F.floor(F.col(column) / cell).cast("bigint"))
-        .join(cells, "__cell")
-        .filter(F.col(column).between(F.col("lo"), F.col("hi")))
-        .drop("__cell")
+        df.withColumn("__cell", cell(F.col(column).cast("double"))).join(listed, "__cell")
+        .filter(F.col(column).between(F.col("lo"), F.col("hi"))).drop("__cell")
     )
 
 
@@ -54,21 +60,25 @@ def first_per_group(df: DataFrame, group: str, order: list[str], n: int,
                     rank: str = "rn") -> DataFrame:
     """The first ``n`` rows per group. Catalyst turns the rank filter into a
     window group limit: each task passes on at most n rows per group, so a
-    group of any size is cut before the shuffle.
-
-    Catalyst does so for n up to its threshold only. A larger n takes a round
-    over salted groups first: the first n of a group are among the first n of
-    its salts.
+    group of any size is cut before the shuffle. ``session.pin`` lifts the
+    limit beyond which Catalyst would not do so.
     """
-    if n > GROUP_LIMIT:
-        salted = Window.partitionBy(group, "__salt").orderBy(*order)
-        df = (df.withColumn("__salt", F.pmod(F.xxhash64(*order), F.lit(SALTS)))
-              .withColumn("__rank", F.row_number().over(salted))
-              .filter(F.col("__rank") <= n).drop("__salt", "__rank"))
     w = Window.partitionBy(group).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= n)
 
 
+def first_rows(df: DataFrame, order: list[str], n: int, buckets: int = 256) -> DataFrame:
+    """The first ``n`` rows by ``order``, for a small n over any number of partitions.
+
+    A plain top-n brings n rows of every partition into one task. Here the
+    partitions meet in ``buckets`` first, and each bucket passes on n rows. How
+    rows fall into buckets has no say in the result.
+    """
+    bucketed = df.withColumn("__bucket", F.spark_partition_id() % buckets)
+    return (first_per_group(bucketed, "__bucket", order, n, "__rank")
+            .drop("__bucket", "__rank").orderBy(*order).limit(n))
+
+
 def banded_samples(errors: DataFrame, key: str, per_band: int = PER_BAND,
                    max_error: float = MAX_SAMPLE_ERROR,
                    bands: list[tuple[int, float, float]] = BANDS) -> DataFrame:
@@ -85,17 +95,9 @@ def banded_samples(errors: DataFrame, key: str, per_band: int = PER_BAND,
 def banded_samples_union(errors: DataFrame, key: str, per_band: int = PER_BAND,
                          max_error: float = MAX_SAMPLE_ERROR,
                          bands: list[tuple[int, float, float]] = BANDS) -> DataFrame:
-    """The same rows as the literal union of one top-k per band."""
-    parts = [
-        errors.filter(F.col("trip_distance").between(low, high) & (F.col("abs_error") < max_error))
-        .orderBy("trip_distance", key).limit(per_band)
-        .select(F.lit(band).alias("band"), key, *FEATURES, F.round(LABEL, 2).alias(LABEL))
-        for band, low, high in bands
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    """The rows of all bands as one table without ranks: the union of a top-k per
+    band, in one scan."""
+    return banded_samples(errors, key, per_band, max_error, bands).drop("rn")
 
 
 def numbered(rows: DataFrame, order: list[str], index: str = "idx") -> DataFrame:

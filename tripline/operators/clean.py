@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tripline.functions.calendar import duration_minutes, pickup_dow, pickup_hour
@@ -50,25 +50,46 @@ def clean_trips(trips: DataFrame, *keep: str,
     )
 
 
-def clean_audit(trips: DataFrame, *by: str,
-                minutes: tuple[float, float] = MINUTES,
-                miles: tuple[float, float] = MILES) -> DataFrame:
-    """Rows in, rows each rule drops, rows out; one row, or one per ``by`` group.
-    One pass.
-
-    Rules apply in order: duration, distance, missing values; a row counts for
-    the first rule it fails.
-    """
+def _audit(minutes: tuple[float, float], miles: tuple[float, float]) -> list[Column]:
+    """Counts over rows with duration and calendar; the rules apply in order."""
     columns = [*FEATURES, LABEL]
     duration_ok = F.coalesce(_within(F.col(LABEL), minutes), F.lit(False))
     distance_ok = F.coalesce(_within(F.col("trip_distance"), miles), F.lit(False))
     complete = F.lit(True)
     for c in columns:
         complete = complete & F.col(c).isNotNull()
-    return add_calendar(add_duration(trips)).groupBy(*by).agg(
+    return [
         F.count("*").alias("rows_in"),
         F.count_if(~duration_ok).alias("dropped_duration"),
         F.count_if(duration_ok & ~distance_ok).alias("dropped_distance"),
         F.count_if(duration_ok & distance_ok & ~complete).alias("dropped_missing"),
         F.count_if(duration_ok & distance_ok & complete).alias("rows_out"),
-    )
+    ]
+
+
+def clean_audit(trips: DataFrame, *by: str,
+                minutes: tuple[float, float] = MINUTES,
+                miles: tuple[float, float] = MILES) -> DataFrame:
+    """Rows in, rows each rule drops, rows out; one row, or one per ``by`` group.
+    One pass.
+
+    Rules apply in order: duration, distance, missing values; a row counts for
+    the first rule it fails.
+    """
+    return add_calendar(add_duration(trips)).groupBy(*by).agg(*_audit(minutes, miles))
+
+
+def clean_observed(trips: DataFrame, *keep: str,
+                   minutes: tuple[float, float] = MINUTES,
+                   miles: tuple[float, float] = MILES) -> tuple[DataFrame, Observation]:
+    """``clean_trips``, and the audit of the pass that computes it.
+
+    Every row is read for the audit, so no rule is pushed into the scan. The
+    counts are there once the rows have been written or counted.
+    """
+    audit = Observation("clean_audit")
+    seen = add_calendar(add_duration(trips)).observe(audit, *_audit(minutes, miles))
+    columns = [*FEATURES, LABEL]
+    rows = (seen.filter(_within(F.col("trip_distance"), miles) & _within(F.col(LABEL), minutes))
+            .select(*keep, *columns).dropna(how="any", subset=columns))
+    return rows, audit

@@ -44,3 +44,25 @@ def zone_distance_audit(trips: DataFrame, zones: DataFrame,
     return (_both_ends(trips, zones, "left")
             .select(*trips.columns, known.alias("is_estimable"),
                     F.when(known, _estimate(factor)).alias("estimated_miles")))
+
+
+def estimated_requests(requests: DataFrame, zones: DataFrame,
+                       factor: float = ROUTING_FACTOR) -> DataFrame:
+    """Text requests in which a missing distance is the estimate between the zones.
+
+    Null and blank count as missing; a distance that is given stays, also a bad
+    one. ``unknown_zone`` names the zone field that kept a request from its
+    estimate. Batch or stream: ``zones`` is a table and joins from the left.
+    """
+    ids = requests.withColumns({"__pu": F.col("PULocationID").try_cast("int"),
+                                "__do": F.col("DOLocationID").try_cast("int")})
+    joined = _lookup(_lookup(ids, zones, "__pu", "pu", "left"), zones, "__do", "do", "left")
+    missing = F.coalesce(F.trim("trip_distance"), F.lit("")) == ""
+    unknown = (F.when(F.col("__pu").isNotNull() & F.col("pu_id").isNull(), "PULocationID")
+               .when(F.col("__do").isNotNull() & F.col("do_id").isNull(), "DOLocationID"))
+    known = F.col("pu_id").isNotNull() & F.col("do_id").isNotNull()
+    distance = F.when(missing & known, _estimate(factor).cast("string")).otherwise(
+        F.col("trip_distance"))
+    return joined.select(*(distance.alias(c) if c == "trip_distance" else c
+                           for c in requests.columns),
+                         F.when(missing, unknown).alias("unknown_zone"))

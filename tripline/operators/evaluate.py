@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripline.functions.display import percent_text
-from tripline.operators.bands import numbered
+from tripline.operators.bands import first_rows, numbered
 from tripline.operators.sampling import first_by_hash
 from tripline.sources.schemas import LABEL
 
@@ -56,8 +56,7 @@ def metrics_display(record: DataFrame) -> DataFrame:
 def chart_line(predictions: DataFrame, key: str, rows: int = LINE_ROWS,
                label: str = LABEL) -> DataFrame:
     """Actual and predicted of the first trips by key, numbered for a line chart."""
-    first = predictions.orderBy(key).limit(rows)
-    return numbered(first, [key]).select(
+    return numbered(first_rows(predictions, [key], rows), [key]).select(
         "idx", key, F.round(label, 2).alias("actual_mins"),
         F.round("prediction", 2).alias("predicted_mins"))
 

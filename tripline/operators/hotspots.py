@@ -24,20 +24,23 @@ def hotspots_raw(trips: DataFrame, top: int = TOP_ZONES) -> DataFrame:
     return trips_per_zone(trips).orderBy(F.desc("trip_count"), "PULocationID").limit(top)
 
 
-def hotspots(trips: DataFrame, zones: DataFrame, top: int = TOP_ZONES) -> DataFrame:
-    """The top zones with name and coordinates.
+def hotspots(trips: DataFrame, zones: DataFrame, top: int = TOP_ZONES,
+             order: str | None = None) -> DataFrame:
+    """The top zones with name and coordinates, each once.
 
     The ranking comes first: a zone missing from the zone table takes its rank
     and then drops out, so the result can be shorter than ``top``. At most
-    ``top`` rows enter the join, and Catalyst broadcasts by size. The last sort
-    is again a top-k, which spares the range shuffle of a full sort.
+    ``top`` rows enter the join, and Catalyst broadcasts by size. Of a zone
+    with several records the last by ``order`` counts, or without it the last
+    of the frame; only records of ranked zones are compared.
     """
     top_zones = hotspots_raw(trips, top)
-    return (
-        top_zones.join(zones, top_zones.PULocationID == zones.LocationID, "inner")
-        .select(*HOTSPOTS.fieldNames())
-        .orderBy(F.desc("trip_count"), "LocationID").limit(top)
-    )
+    if order is None:
+        zones, order = zones.withColumn("__line", F.monotonically_increasing_id()), "__line"
+    matched = top_zones.join(zones, top_zones.PULocationID == zones.LocationID, "inner")
+    last = F.max_by(F.struct(*HOTSPOTS.fieldNames()), order).alias("spot")
+    return (matched.groupBy("LocationID").agg(last).select("spot.*")
+            .orderBy(F.desc("trip_count"), "LocationID"))
 
 
 def mappable(spots: DataFrame) -> DataFrame:

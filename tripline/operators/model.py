@@ -18,17 +18,23 @@ TREES = 20
 DEPTH = 10
 
 
-def training_table(train: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+# Rows of a training partition; set it higher for tables beyond some 10**9 rows.
+ROWS_PER_PARTITION = 10_000
+
+
+def training_table(train: DataFrame, key: str, rows: int = ROWS_PER_PARTITION,
+                   folder: str | None = None) -> DataFrame:
     """The training rows in even, sorted partitions, written to shared storage.
 
-    A fit reads its rows a dozen times, and bagging draws per partition. Placing
-    rows by key keeps all cores busy whatever the layout of the input, and puts
-    the same rows into the same partitions on every run. ``key`` must identify
-    a row; ``partitions`` defaults to the number of cores.
+    A fit reads its rows a dozen times, and bagging draws per partition. The
+    number of rows sets the number of partitions, and the key the place of a
+    row, so a forest is the same on any cluster and for any layout of the
+    input. ``key`` must identify a row.
     """
-    count = partitions or train.sparkSession.sparkContext.defaultParallelism
-    return settle(train.select(key, *FEATURES, LABEL).repartition(count, key)
-                  .sortWithinPartitions(key), "train")
+    count = max(1, -(-train.count() // rows))
+    placed = (train.select(key, *FEATURES, LABEL).repartition(count, key)
+              .sortWithinPartitions(key))
+    return settle(placed, "train", folder)
 
 
 def fit(train: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = 42,

@@ -2,27 +2,41 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
+from pyspark.sql import Window, WindowSpec
 
 from tripline.functions.geo import NY_LONG_ISLAND_FEET, LambertConic, conic_to_lonlat
 
 RING = ["LocationID", "part_id", "ring_id"]
+# Fixed value: the ring of a part that is its shell; all others are holes.
+SHELL = 1
 BLOCK = 4096
 
 
-def _in_blocks(vertices: DataFrame, block: int) -> DataFrame:
-    return vertices.withColumn("__block", F.expr(f"seq div {int(block)}"))
+def _levels(vertices: DataFrame, block: int) -> int:
+    """Rounds until the numbers of one ring fall into two blocks, on each side of 0."""
+    if block < 2:
+        raise ValueError(f"block must be 2 or more, not {block}")
+    top = vertices.agg(F.max(F.abs("seq")).alias("top")).first()["top"] or 0
+    levels = 0
+    while top:
+        top, levels = top // block, levels + 1
+    return max(1, levels)
+
+
+def _block_of(seq: str, block: int) -> Column:
+    """seq / block, rounded down for negative numbers too."""
+    return F.expr(f"({seq} - pmod({seq}, {int(block)}L)) div {int(block)}L")
 
 
-def _edge(x: str, y: str, x1: str, y1: str, ox: str, oy: str, suffix: str = "") -> list[Column]:
+def _edge(x: Column, y: Column, x1: Column, y1: Column, ox: Column, oy: Column) -> list[Column]:
     """Twice the signed area under an edge seen from (ox, oy), and its moments."""
-    u, v = F.col(x) - F.col(ox), F.col(y) - F.col(oy)
-    u1, v1 = F.col(x1) - F.col(ox), F.col(y1) - F.col(oy)
+    u, v, u1, v1 = x - ox, y - oy, x1 - ox, y1 - oy
     cross = u * v1 - u1 * v
-    return [cross.alias(f"cross{suffix}"), ((u + u1) * cross).alias(f"mx{suffix}"),
-            ((v + v1) * cross).alias(f"my{suffix}")]
+    return [cross, (u + u1) * cross, (v + v1) * cross]
 
 
 def ring_edges(vertices: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -30,80 +44,87 @@ def ring_edges(vertices: DataFrame, block: int = BLOCK) -> DataFrame:
     connects to the first.
 
     A window over whole rings would put a huge ring into one task. Here it runs
-    within blocks of ``block`` consecutive ``seq`` values; only the first vertex
-    of each block enters a window per ring, and comes back by a join on the
-    partitioning the vertices already have. ``seq`` may have gaps.
+    within blocks of ``block`` consecutive ``seq`` values; only the first and
+    the last vertex of a block go on to a round with larger blocks, in which
+    they are neighbours. ``seq`` may have gaps of any size: sparse blocks meet
+    in a later round.
     """
-    cut = _in_blocks(vertices, block)
-    within = Window.partitionBy(*RING, "__block").orderBy("seq")
-    edges = cut.withColumns({
-        "__x1": F.lead("x").over(within),
-        "__y1": F.lead("y").over(within),
-    })
-    heads = cut.groupBy(*RING, "__block").agg(
-        F.min_by("x", "seq").alias("__hx"), F.min_by("y", "seq").alias("__hy"))
-    along = Window.partitionBy(*RING).orderBy("__block")
-    heads = heads.select(
-        *RING, "__block",
-        F.coalesce(F.lead("__hx").over(along), F.first("__hx").over(along)).alias("__nx"),
-        F.coalesce(F.lead("__hy").over(along), F.first("__hy").over(along)).alias("__ny"),
-    )
-    return edges.join(heads, [*RING, "__block"]).select(
-        *RING, "seq", "x", "y",
-        F.coalesce("__x1", "__nx").alias("x1"),
-        F.coalesce("__y1", "__ny").alias("y1"),
-    )
+    none = F.lit(None)
+    rows = vertices.select(*RING, "seq", "x", "y", none.cast("long").alias("__next"),
+                           none.cast("double").alias("x1"), none.cast("double").alias("y1"))
+    found = []
+    for level in range(1, _levels(vertices, block) + 1):
+        size = min(block ** level, 2**62)
+        within = Window.partitionBy(*RING, "__block").orderBy("seq")
+        rows = rows.withColumn("__block", _block_of("seq", size)).withColumns(
+            _ahead(within) | {"__end": F.lag("seq").over(within).isNull()
+                              | F.lead("seq").over(within).isNull()})
+        found.append(rows.filter(~F.col("__end")))
+        rows = rows.filter("__end").drop("__block", "__end")
+    whole = Window.partitionBy(*RING).orderBy("seq")  # two vertices a block, a block a side of 0
+    found.append(rows.withColumns(_ahead(whole)).withColumns({
+        f"{c}1": F.coalesce(f"{c}1", F.first(c).over(whole)) for c in "xy"}))
+    return reduce(DataFrame.union, (f.select(*RING, "seq", "x", "y", "x1", "y1") for f in found))
+
+
+def _ahead(window: WindowSpec) -> dict[str, Column]:
+    """The next vertex, where none is known yet."""
+    fresh = F.col("__next").isNull()
+    return {name: F.when(fresh, F.lead(c).over(window)).otherwise(F.col(name))
+            for name, c in (("x1", "x"), ("y1", "y"), ("__next", "seq"))}
+
+
+def _fold(pieces: DataFrame, *group: str) -> DataFrame:
+    """Neighbouring pieces of a ring joined into one per ``group``.
+
+    A piece runs from (fx, fy) to (lx, ly); ``cross``, ``mx`` and ``my`` are
+    those of the piece closed on itself, seen from its first vertex. Seen from
+    the first vertex of the joined piece, what a piece adds is its own, moved,
+    the chord that closed it, and the link to the next piece.
+    """
+    along = Window.partitionBy(*RING, *group).orderBy("pos")
+    o = [F.first("fx").over(along), F.first("fy").over(along)]
+    ahead = [F.lead("fx").over(along), F.lead("fy").over(along)]
+    rows = pieces.withColumns({"ox": o[0], "oy": o[1], "nx": ahead[0], "ny": ahead[1]})
+    c = F.col
+    chord = _edge(c("fx"), c("fy"), c("lx"), c("ly"), c("ox"), c("oy"))
+    link = [F.coalesce(e, F.lit(0.0))  # the last piece has no next one
+            for e in _edge(c("lx"), c("ly"), c("nx"), c("ny"), c("ox"), c("oy"))]
+    moved = [c("cross"), c("mx") + 3 * (c("fx") - c("ox")) * c("cross"),
+             c("my") + 3 * (c("fy") - c("oy")) * c("cross")]
+    rows = rows.select(*RING, *group, "pos", "ox", "oy", "lx", "ly", *(
+        (a + b + d).alias(name)
+        for a, b, d, name in zip(moved, chord, link, ("cross", "mx", "my"), strict=True)))
+    return rows.groupBy(*RING, *group).agg(
+        *(F.sum(name).alias(name) for name in ("cross", "mx", "my")),
+        F.first("ox").alias("fx"), F.first("oy").alias("fy"),
+        F.max_by("lx", "pos").alias("lx"), F.max_by("ly", "pos").alias("ly"))
 
 
 def polygon_centroids(vertices: DataFrame, block: int = BLOCK) -> DataFrame:
     """Area-weighted planar centroid and area per LocationID.
 
-    Parts add up; holes are wound the other way and subtract. A ring is cut into
-    chains of ``block`` consecutive ``seq`` values. Closing each chain on its own
-    first vertex f gives one polygon per chain, and the chain ends f1, l1, f2,
-    l2, ... form one more; areas and first moments of these pieces add up to the
-    ring's. So vertices shuffle once, however large a ring is, and only one row
-    per chain goes on. Each piece is summed relative to its first vertex, which
-    keeps digits when a polygon is small and far from the origin.
+    Shells add up and holes subtract, by ``ring_id`` and whatever way a ring is
+    wound. Each vertex is a piece of its ring; pieces of ``block`` consecutive
+    numbers fold into one, and the rest again, until a ring is one piece. So
+    vertices shuffle once, no window holds more than a block, and sums relative
+    to a piece's first vertex keep digits when a polygon is small and far from
+    the origin.
     """
-    within = Window.partitionBy(*RING, "__block").orderBy("seq")
-    chains = (
-        _in_blocks(vertices, block)
-        .withColumns({
-            "fx": F.first("x").over(within), "fy": F.first("y").over(within),
-            "x1": F.lead("x").over(within), "y1": F.lead("y").over(within),
-        })
-        .select(*RING, "__block", "seq", "x", "y", "fx", "fy",
-                *_edge("x", "y", "x1", "y1", "fx", "fy"))
-        .groupBy(*RING, "__block")
-        .agg(*[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in ("cross", "mx", "my")],
-             F.first("fx").alias("fx"), F.first("fy").alias("fy"),
-             F.max_by("x", "seq").alias("lx"), F.max_by("y", "seq").alias("ly"))
-    )
-    along = Window.partitionBy(*RING).orderBy("__block")
-    linked = chains.withColumns({
-        "ox": F.first("fx").over(along), "oy": F.first("fy").over(along),
-        "nx": F.lead("fx").over(along), "ny": F.lead("fy").over(along),
-    })
-    ends = linked.select(
-        "LocationID", "cross",
-        (F.col("mx") + F.col("fx") * F.col("cross") * 3).alias("mx"),
-        (F.col("my") + F.col("fy") * F.col("cross") * 3).alias("my"),
-        "ox", "oy",
-        *_edge("fx", "fy", "lx", "ly", "ox", "oy", suffix="_chord"),
-        # after the last chain the ring closes on its origin: no contribution
-        *[F.coalesce(c, F.lit(0.0)).alias(name) for c, name in zip(
-            _edge("lx", "ly", "nx", "ny", "ox", "oy", suffix="_link"),
-            ("cross_link", "mx_link", "my_link"), strict=True)],
-    )
-    outer = F.col("cross_chord") + F.col("cross_link")
-    sums = ends.groupBy("LocationID").agg(
-        F.sum(F.col("cross") + outer).alias("twice_area"),
-        F.sum(F.col("mx") + F.col("mx_chord") + F.col("mx_link") + F.col("ox") * outer * 3)
-        .alias("mx"),
-        F.sum(F.col("my") + F.col("my_chord") + F.col("my_link") + F.col("oy") * outer * 3)
-        .alias("my"),
-    )
+    zero = F.lit(0.0)
+    pieces = vertices.select(
+        *RING, F.col("seq").alias("pos"), zero.alias("cross"), zero.alias("mx"), zero.alias("my"),
+        F.col("x").alias("fx"), F.col("y").alias("fy"), F.col("x").alias("lx"),
+        F.col("y").alias("ly"))
+    for _ in range(_levels(vertices, block)):
+        cut = pieces.withColumn("__block", _block_of("pos", block))
+        pieces = _fold(cut, "__block").withColumnRenamed("__block", "pos")
+    rings = _fold(pieces)
+    sign = F.signum("cross") * F.when(F.col("ring_id") == SHELL, 1).otherwise(-1)
+    sums = rings.withColumn("sign", sign).groupBy("LocationID").agg(
+        F.sum(F.col("cross") * F.col("sign")).alias("twice_area"),
+        *(F.sum((F.col(f"m{c}") + 3 * F.col(f"f{c}") * F.col("cross")) * F.col("sign"))
+          .alias(f"m{c}") for c in "xy"))
     return sums.select(
         "LocationID",
         F.try_divide("mx", F.col("twice_area") * 3).alias("longitude"),

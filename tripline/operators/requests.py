@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripline.sources.schemas import FEATURES, REQUEST
+from tripline.sources.schemas import FEATURES, MALFORMED, REQUEST
+
+# Set by ``distance.estimated_requests``.
+UNKNOWN_ZONE = "unknown_zone"
 
 # Form bounds of the two calendar fields.
 HOURS = (0, 23)
@@ -34,6 +37,12 @@ def check_requests(requests: DataFrame) -> DataFrame:
     cast = requests.withColumns(
         {f"__{f.name}": F.col(f.name).try_cast(f.dataType) for f in REQUEST.fields})
     failed = [F.when(~ok, F.lit(name)) for name, ok in _checks().items()]
+    if MALFORMED in requests.columns:  # such a line has no fields to name
+        broken = F.col(MALFORMED).isNotNull()
+        failed = [F.when(broken, F.lit(MALFORMED)),
+                  *(F.when(~broken, name) for name in failed)]
+    if UNKNOWN_ZONE in requests.columns:  # no estimate: the zone is at fault, not the distance
+        failed = [F.concat(UNKNOWN_ZONE, F.lit(" unknown")), *failed]
     return cast.withColumns({"first_invalid": F.coalesce(*failed),
                              "all_invalid": F.concat_ws(",", *failed)})
 
@@ -45,9 +54,11 @@ def valid_requests(requests: DataFrame, key: str) -> DataFrame:
 
 
 def rejected_requests(requests: DataFrame, key: str) -> DataFrame:
-    """Failing requests as received, with the first and all invalid fields."""
+    """Failing requests as received, with the first and all invalid fields; a line
+    that is no JSON object with its text."""
+    text = [MALFORMED] if MALFORMED in requests.columns else []
     return (check_requests(requests).filter("first_invalid is not null")
-            .select(key, *FEATURES, "first_invalid", "all_invalid"))
+            .select(key, *FEATURES, *text, "first_invalid", "all_invalid"))
 
 
 def replies(scored: DataFrame, key: str) -> DataFrame:

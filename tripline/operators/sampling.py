@@ -25,30 +25,41 @@ def train_test_split(df: DataFrame, key: str, train_percent: int = 80,
             sides.filter("side = 'test'").drop("side"))
 
 
+def _boundary(digests: DataFrame, digits: int, wanted: int) -> tuple[str, int] | None:
+    """The prefix within which the ``wanted``-th row by digest falls, and the rows
+    before it; None with fewer rows. At most 16 ** ``PREFIX_DIGITS`` prefixes meet."""
+    counts = digests.groupBy(F.substring("__digest", 1, digits).alias("prefix")).agg(
+        F.count("*").alias("rows"))
+    # unpartitioned on purpose: the input is the bounded table of prefixes
+    running = counts.withColumn("running", F.sum("rows").over(Window.orderBy("prefix")))
+    row = running.filter(F.col("running") >= wanted).orderBy("prefix").first()
+    return row and (row["prefix"], row["running"] - row["rows"])
+
+
 def first_by_hash(df: DataFrame, key: str, n: int, seed: str = "",
                   too_few: str = "error") -> DataFrame:
     """Exactly ``n`` rows without replacement: the lowest key hashes.
 
-    ``key`` must identify a row. A plain top-n would send n rows from every
-    partition to one task, too many for a large n over many partitions. So a
-    first pass counts rows per hash prefix (65,536 values at most) and finds the
-    prefix within which the n-th row falls; only rows up to that prefix, n plus
-    about 1/65,536 of the table, go on to the top-n.
+    ``key`` must identify a row. Two passes find where the n-th row falls: by
+    the first digits of the hash, then by twice as many among the rows alike in
+    the first. Rows below that place pass as they are, in as many partitions as
+    they come in; only those at it are ranked, about one in 2**32 of the table.
 
-    With fewer than ``n`` rows the job fails, or takes all with
+    With fewer than ``n`` rows it is an error, or takes all with
     ``too_few="take"``.
     """
     if too_few not in ("error", "take"):
         raise ValueError(f"too_few must be 'error' or 'take', not {too_few!r}")
-    digest = key_hash(key, seed)
-    prefix = F.substring(digest, 1, PREFIX_DIGITS)
-    counts = df.groupBy(prefix.alias("prefix")).agg(F.count("*").alias("rows"))
-    # unpartitioned on purpose: the input is the bounded table of prefixes
-    running = counts.withColumn("running", F.sum("rows").over(Window.orderBy("prefix")))
-    short = (F.lit("g") if too_few == "take"  # sorts after every hex digit
-             else F.raise_error(F.lit(f"fewer than {n} rows to sample from")).cast("string"))
-    cut = running.agg(F.coalesce(F.min(F.when(F.col("running") >= n, F.col("prefix"))), short)
-                      .alias("cut")).scalar()
-    return (df.filter(prefix <= cut)
-            .withColumn("__digest", digest)
-            .orderBy("__digest", key).limit(n).drop("__digest"))
+    digests = df.withColumn("__digest", key_hash(key, seed))
+    wanted, prefix, start = n, "", ""
+    for digits in (PREFIX_DIGITS, 2 * PREFIX_DIGITS):
+        found = _boundary(digests.filter(F.col("__digest").startswith(start)), digits, wanted)
+        if found is None:
+            if too_few == "take":
+                return df
+            raise ValueError(f"fewer than {n} rows to sample from")
+        prefix, before = found
+        wanted, start = wanted - before, prefix
+    at = F.substring("__digest", 1, len(prefix))
+    ranked = digests.filter(at == prefix).orderBy("__digest", key).limit(wanted)
+    return digests.filter(at < prefix).union(ranked).drop("__digest")

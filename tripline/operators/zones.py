@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAP_LIMIT = 10_000
+from tripline.sources.files import read_zones
 
 
 def zone_map(records: DataFrame, order: str) -> DataFrame:
@@ -23,19 +23,13 @@ def zone_map(records: DataFrame, order: str) -> DataFrame:
     )
 
 
-def zone_map_of_table(zones: DataFrame) -> DataFrame:
-    """``zone_map`` of a zone file; on a repeated id the later line wins."""
-    return zone_map(zones.withColumn("__line", F.monotonically_increasing_id()), "__line")
+def zone_map_of_file(spark: SparkSession, path: str) -> DataFrame:
+    """``zone_map`` of zone files; on a repeated id the later line wins."""
+    rows = read_zones(spark, path).withColumn("__one", F.lit(1))
+    return zone_map(rows, "__one")
 
 
-def zone_map_column(zone_rows: DataFrame, limit: int = MAP_LIMIT) -> DataFrame:
-    """The map as one value, ``{id: {lat, lon}}``, from the rows of ``zone_map``,
-    ordered by the text of the id.
-
-    Fit for a zone table only: more than ``limit`` zones is an error, and the
-    limit keeps the surplus from being collected first.
-    """
-    entries = F.array_sort(F.collect_list(F.struct("zone_id", F.struct("lat", "lon"))))
-    return zone_rows.limit(limit + 1).agg(
-        F.when(F.count("*") > limit, F.raise_error(F.lit(f"more than {limit} zones")))
-        .otherwise(F.map_from_entries(entries)).alias("zones"))
+def zone_map_entries(zone_rows: DataFrame) -> DataFrame:
+    """The rows of ``zone_map`` as text, ``{id: {lat, lon}}``, one entry per row."""
+    return zone_rows.select("zone_id", F.to_json(
+        F.create_map("zone_id", F.struct("lat", "lon"))).alias("entry"))

@@ -74,6 +74,16 @@ def zones(spark: SparkSession) -> DataFrame:
     )
 
 
+def zone_feed(spark: SparkSession) -> DataFrame:
+    """The zone dimension as it grew: every fifth zone was recorded wrongly at first.
+    ``record`` numbers the records."""
+    late = zones(spark).withColumn("record", F.col("LocationID").cast("long") + 1000)
+    early = zones(spark).filter("LocationID % 5 = 0").withColumns({
+        "zone": F.concat(F.lit("Old_"), "zone"), "latitude": F.lit(0.0),
+        "record": F.col("LocationID").cast("long")})
+    return early.unionByName(late)
+
+
 def zone_records(events: DataFrame) -> DataFrame:
     """A feed of zone coordinates in which ids repeat; later records win."""
     return events.selectExpr(
@@ -84,8 +94,8 @@ def zone_records(events: DataFrame) -> DataFrame:
     )
 
 
-# Two squares, the first with a hole wound the other way; closed rings of
-# (part, ring, seq, x, y). Centroid (74.5/19, 34.5/19), area 19.
+# Two squares, the first with a hole; closed rings of (part, ring, seq, x, y).
+# Centroid (74.5/19, 34.5/19), area 19.
 SHAPE = [
     (1, 1, 0, 0.0, 0.0), (1, 1, 1, 4.0, 0.0), (1, 1, 2, 4.0, 4.0), (1, 1, 3, 0.0, 4.0),
     (1, 1, 4, 0.0, 0.0),
@@ -97,7 +107,9 @@ SHAPE = [
 
 
 def rings_from_customers(customers: DataFrame) -> DataFrame:
-    """One shape per customer, moved by (k, 2k) with k = key modulo 100."""
+    """One shape per customer, moved by (k, 2k) with k = key modulo 100. Holes are
+    wound like their shell for every third customer, and second parts the other
+    way for every fourth."""
     corners = F.array(*[
         F.struct(F.lit(part).alias("part_id"), F.lit(ring).alias("ring_id"),
                  F.lit(seq).cast("bigint").alias("seq"), F.lit(x).alias("x"), F.lit(y).alias("y"))
@@ -107,7 +119,11 @@ def rings_from_customers(customers: DataFrame) -> DataFrame:
                              shift.alias("k"), F.explode(corners).alias("v"))
             .select("LocationID", "v.part_id", "v.ring_id", "v.seq",
                     (F.col("v.x") + F.col("k")).alias("x"),
-                    (F.col("v.y") + F.col("k") * 2).alias("y")))
+                    (F.col("v.y") + F.col("k") * 2).alias("y"))
+            .withColumn("seq", F.when(
+                ((F.col("ring_id") == 2) & (F.col("LocationID") % 3 == 0))
+                | ((F.col("part_id") == 2) & (F.col("LocationID") % 4 == 0)), 4 - F.col("seq"))
+                .otherwise(F.col("seq"))))
 
 
 def projected_rings_from_customers(customers: DataFrame) -> DataFrame:

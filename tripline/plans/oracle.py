@@ -46,13 +46,23 @@ ZONES = """zones AS (
          40.53::double + (id * 91 % 263) * 0.0014::double AS latitude
   FROM range(1, 264) t(id))"""
 
-HOT = CLEAN + ", " + ZONES + """,
+FEED = ZONES + """,
+feed AS (
+  SELECT *, LocationID::bigint + 1000 AS record FROM zones
+  UNION ALL BY NAME
+  SELECT * REPLACE ('Old_' || zone AS zone, 0.0::double AS latitude),
+         LocationID::bigint AS record
+  FROM zones WHERE LocationID % 5 = 0),
+latest AS (
+  SELECT * FROM feed QUALIFY row_number() OVER (PARTITION BY LocationID ORDER BY record DESC) = 1)"""
+
+HOT = CLEAN + ", " + FEED + """,
 ranked AS (
   SELECT PULocationID, count(*) AS trip_count FROM clean GROUP BY PULocationID
   ORDER BY trip_count DESC, PULocationID LIMIT 100),
 hot AS (
   SELECT z.LocationID, z.zone, z.borough, z.latitude, z.longitude, r.trip_count
-  FROM ranked r JOIN zones z ON r.PULocationID = z.LocationID)"""
+  FROM ranked r JOIN latest z ON r.PULocationID = z.LocationID)"""
 
 PREDICTED = CLEAN + """,
 predicted AS (
@@ -114,7 +124,9 @@ CUSTOMER_RINGS = """shape(part_id, ring_id, seq, x, y) AS (VALUES
   (2, 1, 0, 10.0, 0.0), (2, 1, 1, 12.0, 0.0), (2, 1, 2, 12.0, 2.0), (2, 1, 3, 10.0, 2.0),
   (2, 1, 4, 10.0, 0.0)),
 rings AS (
-  SELECT CAST(c_custkey AS integer) AS LocationID, part_id, ring_id, CAST(seq AS bigint) AS seq,
+  SELECT CAST(c_custkey AS integer) AS LocationID, part_id, ring_id,
+         CAST(CASE WHEN ring_id = 2 AND c_custkey % 3 = 0 OR part_id = 2 AND c_custkey % 4 = 0
+                   THEN 4 - seq ELSE seq END AS bigint) AS seq,
          x::double + c_custkey % 100 AS x, y::double + 2 * (c_custkey % 100) AS y
   FROM customer, shape)"""
 
@@ -135,10 +147,13 @@ EDGES = """edges AS (
   FROM rings WINDOW w AS (PARTITION BY LocationID, part_id, ring_id ORDER BY seq))"""
 
 CENTROIDS = EDGES + """,
-sums AS (
-  SELECT LocationID, sum(x * y1 - x1 * y) AS c2,
-         sum((x + x1) * (x * y1 - x1 * y)) AS sx, sum((y + y1) * (x * y1 - x1 * y)) AS sy
-  FROM edges GROUP BY LocationID)
+ring_sums AS (
+  SELECT LocationID, ring_id, sum(x * y1 - x1 * y) AS c2,
+         sum((x + x1) * (x * y1 - x1 * y)) AS sx, sum((y + y1) * (x * y1 - x1 * y)) AS sy,
+         sign(sum(x * y1 - x1 * y)) * CASE WHEN ring_id = 1 THEN 1 ELSE -1 END AS s
+  FROM edges GROUP BY LocationID, part_id, ring_id),
+sums AS (SELECT LocationID, sum(s * c2) AS c2, sum(s * sx) AS sx, sum(s * sy) AS sy
+         FROM ring_sums GROUP BY LocationID)
 SELECT LocationID, round(sx / (3 * nullif(c2, 0)), 6) AS longitude,
        round(sy / (3 * nullif(c2, 0)), 6) AS latitude, round(abs(c2 / 2), 6) AS area
 FROM sums"""
@@ -192,11 +207,16 @@ local AS (
   FROM lonlat
   WINDOW z AS (PARTITION BY LocationID ORDER BY part_id, ring_id, seq),
          r AS (PARTITION BY LocationID, part_id, ring_id ORDER BY seq)),
-sums AS (
+ring_sums AS (
   SELECT LocationID, any_value(lon0) AS lon0, any_value(lat0) AS lat0,
          sum(u * v1 - u1 * v) AS c2, sum((u + u1) * (u * v1 - u1 * v)) AS su,
-         sum((v + v1) * (u * v1 - u1 * v)) AS sv
-  FROM local WHERE u1 IS NOT NULL GROUP BY LocationID)
+         sum((v + v1) * (u * v1 - u1 * v)) AS sv,
+         sign(sum(u * v1 - u1 * v)) * CASE WHEN ring_id = 1 THEN 1 ELSE -1 END AS s
+  FROM local WHERE u1 IS NOT NULL GROUP BY LocationID, part_id, ring_id),
+sums AS (
+  SELECT LocationID, any_value(lon0) AS lon0, any_value(lat0) AS lat0, sum(s * c2) AS c2,
+         sum(s * su) AS su, sum(s * sv) AS sv
+  FROM ring_sums GROUP BY LocationID)
 SELECT LocationID, 'Zone_' || LocationID::varchar AS zone,
        'Borough_' || (LocationID % 6)::varchar AS borough,
        round(lon0 + su / (3 * c2), 6) AS longitude, round(lat0 + sv / (3 * c2), 6) AS latitude
@@ -225,6 +245,38 @@ FROM checked WHERE first_invalid IS NOT NULL"""
 
 ESTIMATE = _distance("pu.latitude", "pu.longitude", '"do".latitude', '"do".longitude')
 
+ESTIMATED = f"""{REQUESTS}, {ZONES},
+filled AS (
+  SELECT r.* REPLACE (CASE WHEN coalesce(trim(r.trip_distance), '') = ''
+                                AND pu.LocationID IS NOT NULL AND "do".LocationID IS NOT NULL
+                           THEN {ESTIMATE}::varchar ELSE r.trip_distance END AS trip_distance),
+         CASE WHEN coalesce(trim(r.trip_distance), '') <> '' THEN NULL
+              WHEN try_cast(r.PULocationID AS integer) IS NOT NULL AND pu.LocationID IS NULL
+              THEN 'PULocationID unknown'
+              WHEN try_cast(r.DOLocationID AS integer) IS NOT NULL AND "do".LocationID IS NULL
+              THEN 'DOLocationID unknown' END AS bad0
+  FROM requests r
+  LEFT JOIN zones pu ON try_cast(r.PULocationID AS integer) = pu.LocationID
+  LEFT JOIN zones "do" ON try_cast(r.DOLocationID AS integer) = "do".LocationID),
+judged AS (
+  SELECT *,
+         CASE WHEN try_cast(trip_distance AS double) IS NULL THEN 'trip_distance' END AS bad1,
+         CASE WHEN try_cast(PULocationID AS integer) IS NULL THEN 'PULocationID' END AS bad2,
+         CASE WHEN try_cast(DOLocationID AS integer) IS NULL THEN 'DOLocationID' END AS bad3,
+         CASE WHEN coalesce(try_cast(pickup_hour AS integer), -1) NOT BETWEEN 0 AND 23
+              THEN 'pickup_hour' END AS bad4,
+         CASE WHEN coalesce(try_cast(pickup_dow AS integer), -1) NOT BETWEEN 1 AND 7
+              THEN 'pickup_dow' END AS bad5,
+         coalesce(bad0, bad1, bad2, bad3, bad4, bad5) AS first_invalid
+  FROM filled)"""
+
+ESTIMATED_REPLIES = f"""WITH {ESTIMATED}
+SELECT trip_id, round(trip_distance::double + 4, 2) AS predicted_duration_mins,
+       trip_distance::double AS trip_distance, CAST(PULocationID AS integer) AS PULocationID,
+       CAST(DOLocationID AS integer) AS DOLocationID, CAST(pickup_hour AS integer) AS pickup_hour,
+       CAST(pickup_dow AS integer) AS pickup_dow
+FROM judged WHERE first_invalid IS NULL"""
+
 ROUNDED_CLEAN = """SELECT trip_id, round(trip_distance, 4) AS trip_distance, PULocationID,
   DOLocationID, pickup_hour, pickup_dow, round(trip_duration_mins, 4) AS trip_duration_mins
 FROM clean"""
@@ -276,8 +328,8 @@ FROM hot
 WHERE latitude IS NOT NULL AND latitude <> 0 AND longitude IS NOT NULL AND longitude <> 0""",
     "zone_map": f"WITH {ZONE_MAP} SELECT * FROM zone_rows",
     "zone_map_json": f"""WITH {ZONE_MAP}
-SELECT '{{' || string_agg('"' || zone_id || '":' || json_object('lat', lat, 'lon', lon)::varchar,
-                         ',' ORDER BY zone_id) || '}}' AS zones
+SELECT zone_id, '{{"' || zone_id || '":' || json_object('lat', lat, 'lon', lon)::varchar || '}}'
+         AS entry
 FROM zone_rows""",
     "zone_distance": f"""WITH {CLEAN}, {ZONES}
 SELECT c.trip_id, c.PULocationID, c.DOLocationID, round(c.trip_distance, 4) AS trip_distance,
@@ -314,10 +366,11 @@ SELECT trip_id, {PAIR}, round(abs_error, 2) AS error_mins FROM predicted""",
     "banded_samples": f"WITH {BANDED} SELECT band, rn, trip_id, {SAMPLE_COLUMNS} FROM picked",
     "banded_samples_union": f"WITH {BANDED} SELECT band, trip_id, {SAMPLE_COLUMNS} FROM picked",
     "samples_roundtrip": f"WITH {BANDED} SELECT {SAMPLE_COLUMNS} FROM picked",
-    "band_errors": f"""WITH {BANDED}
+    "band_errors": f"""WITH {PREDICTED}, wide(band, lo, hi) AS (
+  VALUES (1, 3.0, 4.0), (2, 4.0, 5.0), (3, 5.0, 6.0), (4, 6.0, 10.0), (5, 10.0, 'inf'::double))
 SELECT band, count(*) AS trips, count(*) FILTER (abs_error < 1.5) AS close_trips,
        round(avg(abs_error), 4) AS mean_error
-FROM banded GROUP BY band""",
+FROM predicted JOIN wide ON trip_distance BETWEEN lo AND hi GROUP BY band""",
     "sample_labels": f"""WITH {BANDED}, numbered AS (
   SELECT CAST(row_number() OVER (ORDER BY band, rn) AS integer) AS idx, * FROM picked)
 SELECT idx, trip_id, 'Trip #' || idx::varchar || ' ('
@@ -342,6 +395,23 @@ SELECT trip_id, CAST(json_object('predicted_duration_mins', round(trip_distance
     'DOLocationID', DOLocationID, 'pickup_hour', pickup_hour, 'pickup_dow', pickup_dow))
   AS varchar) AS reply
 FROM valid""",
+    "estimated_replies": ESTIMATED_REPLIES,
+    "stream_estimated_replies": ESTIMATED_REPLIES,
+    "estimated_rejects": f"""WITH {ESTIMATED}
+SELECT trip_id, trip_distance, PULocationID, DOLocationID, pickup_hour, pickup_dow,
+       first_invalid, concat_ws(',', bad0, bad1, bad2, bad3, bad4, bad5) AS all_invalid
+FROM judged WHERE first_invalid IS NOT NULL""",
+    "model_checks": f"""WITH {REQUESTS}
+SELECT (SELECT count(*) FROM valid) AS scored, 0::bigint AS out_of_range,
+       0::bigint AS reload_mismatches, 5::bigint AS importances,
+       0::bigint AS negative_importances, 1.0::double AS importance_sum,
+       0::integer AS metric_mismatches, true AS r2_above_half,
+       'run the training job first' AS missing_artefact""",
+    "stream_model_checks": f"""WITH {REQUESTS}
+SELECT count(*) AS scored, 0::bigint AS mismatches FROM valid""",
+    "landed_and_pending": """SELECT CAST(year(o_orderdate) AS integer) AS year,
+  CAST(month(o_orderdate) AS integer) AS month, count(*) AS trips, count(*) AS ids
+FROM orders GROUP BY ALL""",
     "ring_edges": f"""WITH {CUSTOMER_RINGS}, {EDGES}
 SELECT LocationID, part_id, ring_id, seq, x, y, x1, y1 FROM edges""",
     "polygon_centroids": f"WITH {CUSTOMER_RINGS}, {CENTROIDS}",

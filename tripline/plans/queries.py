@@ -10,7 +10,8 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripline.functions.display import trip_label
@@ -24,7 +25,7 @@ from tripline.sources import files, months
 from tripline.sources.schemas import (
     BANDS, FEATURES, HOTSPOTS, LABEL, METRICS, REQUEST, SAMPLES, TABLES,
 )
-from tripline.sources.session import pin, scratch
+from tripline.sources.session import pin, scratch, settle
 from tripline.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,7 +79,7 @@ def clean_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- hotspots and zones ---------------------------------------------------
 
 def _hotspots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spots.hotspots(_clean(spark, sf_dir), adapters.zones(spark))
+    return spots.hotspots(_clean(spark, sf_dir), adapters.zone_feed(spark), order="record")
 
 
 @query
@@ -106,7 +107,7 @@ def zone_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def zone_map_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = zones.zone_map(adapters.zone_records(_events(spark, sf_dir)), "record_id")
-    return zones.zone_map_column(rows).select(F.to_json("zones").alias("zones"))
+    return zones.zone_map_entries(rows)
 
 
 # --- distance -------------------------------------------------------------
@@ -183,8 +184,9 @@ def banded_samples_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def band_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Band table joined by range: trips and mean error per band, all trips."""
-    table = files.literal_rows(spark, bands.BANDS, BANDS)
+    """Band table joined by range: trips and mean error per band, all trips. The
+    last band is open."""
+    table = files.literal_rows(spark, [*bands.BANDS, (5, 10.0, float("inf"))], BANDS)
     errors = evaluate.with_abs_error(_predicted(spark, sf_dir))
     return bands.band_join(errors, table).groupBy("band").agg(
         F.count("*").alias("trips"),
@@ -231,6 +233,27 @@ def request_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return requests.replies_json(adapters.closed_form(valid), KEY)
 
 
+def _estimated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return distance.estimated_requests(_requests(spark, sf_dir), adapters.zones(spark))
+
+
+@query
+def estimated_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests without a distance are estimated first, then all are answered by
+    the closed-form predictor."""
+    valid = requests.valid_requests(_estimated(spark, sf_dir), KEY)
+    return _flat_replies(requests.replies(adapters.closed_form(valid), KEY))
+
+
+@query
+def estimated_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return requests.rejected_requests(_estimated(spark, sf_dir), KEY)
+
+
+def _flat_replies(rows: DataFrame) -> DataFrame:
+    return rows.select(KEY, "predicted_duration_mins", *[f"inputs.{c}" for c in FEATURES])
+
+
 # --- polygons -------------------------------------------------------------
 
 @query
@@ -302,12 +325,22 @@ def monthly_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_audit(months.read_landed(spark, target), "year", "month")
 
 
+@query
+def landed_and_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months before 1998 have landed, the rest wait: the union holds each once."""
+    source, target = _month_files(spark, sf_dir), scratch(spark, "landed")
+    early = months.read_months(spark, source).filter("year < 1998")
+    early.write.partitionBy("year", "month").parquet(target)
+    return months.read_all(spark, source, target).groupBy("year", "month").agg(
+        F.count("*").alias("trips"), F.count_distinct("trip_id").alias("ids"))
+
+
 @query
 def json_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hotspots through JSON, zones through CSV, joined after reading back."""
     spots_path, zones_path = scratch(spark, "hotspots"), scratch(spark, "zones")
     files.write_records(_hotspots(spark, sf_dir), spots_path)
-    files.write_zones(adapters.zones(spark), zones_path)
+    files.write_zones(adapters.zone_feed(spark).drop("record"), zones_path)
     ranked = files.read_records(spark, spots_path, HOTSPOTS, "the trip job")
     boroughs = files.read_zones(spark, zones_path).select("LocationID", "borough")
     return _rounded(ranked.join(boroughs, "LocationID"), 6, "latitude", "longitude")
@@ -368,6 +401,45 @@ def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         model.score_requests(fitted, _requests(spark, sf_dir), KEY), KEY)
 
 
+def _differing(left: DataFrame, right: DataFrame) -> Column:
+    """Rows of either side without an equal row on the other, as one number."""
+    return left.exceptAll(right).unionAll(right.exceptAll(left)).agg(F.count("*")).scalar()
+
+
+@query
+def model_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts about the forest that hold whatever trees it grew."""
+    fitted, test = trained(spark, sf_dir)
+    path = scratch(spark, "model-copy")
+    model.save(fitted, path)
+    predicted = settle(model.predict(fitted, test).select(KEY, LABEL, "prediction"), "predicted")
+    again = model.predict(model.load(spark, path), test).select(KEY, LABEL, "prediction")
+    train, _ = sampling.train_test_split(_clean(spark, sf_dir, KEY), KEY)
+    labels = train.agg(F.min(LABEL).alias("low"), F.max(LABEL).alias("high")).first()
+    ours = evaluate.regression_metrics(predicted).first()
+    judge = RegressionEvaluator(labelCol=LABEL, predictionCol="prediction")
+    theirs = [judge.setMetricName(m).evaluate(predicted) for m in ("rmse", "r2", "mae")]
+    weights = model.feature_importances(spark, fitted)
+    try:
+        model.load(spark, f"{path}-absent")
+        missing = "found"
+    except files.MissingArtefact as error:
+        missing = str(error).split("; ")[-1]
+    scored = model.score_requests(fitted, _requests(spark, sf_dir), KEY)
+    return spark.range(1).select(
+        scored.agg(F.count("*")).scalar().alias("scored"),
+        predicted.agg(F.count_if(~F.col("prediction").between(labels["low"], labels["high"])))
+        .scalar().alias("out_of_range"),
+        _differing(predicted, again).alias("reload_mismatches"),
+        weights.agg(F.count("*")).scalar().alias("importances"),
+        weights.agg(F.count_if(F.col("importance") < 0)).scalar().alias("negative_importances"),
+        weights.agg(F.round(F.sum("importance"), 6)).scalar().alias("importance_sum"),
+        F.lit(sum(abs(a - b) >= 5e-7 for a, b in zip(ours, theirs, strict=True)))
+        .alias("metric_mismatches"),
+        F.lit(ours["R2_Score"] > 0.5).alias("r2_above_half"),
+        F.lit(missing).alias("missing_artefact"))
+
+
 # --- streams --------------------------------------------------------------
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -376,9 +448,8 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _read_replies(spark: SparkSession, target: str) -> DataFrame:
     inputs = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in REQUEST.fields)
-    return (spark.read.schema(f"{KEY} bigint, predicted_duration_mins double, "
-                              f"inputs struct<{inputs}>").parquet(target)
-            .select(KEY, "predicted_duration_mins", *[f"inputs.{c}" for c in FEATURES]))
+    return _flat_replies(spark.read.schema(f"{KEY} bigint, predicted_duration_mins double, "
+                              f"inputs struct<{inputs}>").parquet(target))
 
 
 @query
@@ -392,6 +463,18 @@ def stream_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_replies(spark, target)
 
 
+@query
+def stream_estimated_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streamed requests without a distance get the estimate on their way."""
+    target = scratch(spark, "estimated")
+    asked = distance.estimated_requests(
+        adapters.requests_from_events(_event_stream(spark, sf_dir)), adapters.zones(spark))
+    valid = requests.valid_requests(asked, KEY)
+    jobs.stream_replies(adapters.closed_form(valid), KEY, target,
+                        f"{target}-checkpoint").awaitTermination()
+    return _read_replies(spark, target)
+
+
 @query
 def stream_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = scratch(spark, "rejected")
@@ -410,6 +493,18 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_replies(spark, target)
 
 
+@query
+def stream_model_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streamed scores beside the batch scores of the same requests."""
+    fitted, _ = trained(spark, sf_dir)
+    streamed = stream_score(spark, sf_dir)
+    batch = _flat_replies(requests.replies(
+        model.score_requests(fitted, _requests(spark, sf_dir), KEY), KEY))
+    return spark.range(1).select(
+        streamed.agg(F.count("*")).scalar().alias("scored"),
+        _differing(streamed, batch).alias("mismatches"))
+
+
 @query
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = scratch(spark, "ingested")
@@ -425,6 +520,7 @@ def stream_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = _month_files(spark, sf_dir), scratch(spark, "cleaned-months")
     for _ in range(2):
         jobs.stream_months(spark, source, target, f"{target}-checkpoint").awaitTermination()
-    return (spark.read.parquet(target).groupBy("year", "month")
+    schema = "trip_id string, trip_distance double, trip_duration_mins double, year int, month int"
+    return (spark.read.schema(schema).parquet(target).groupBy("year", "month")
             .agg(F.count("*").alias("trips"), F.round(F.sum("trip_distance"), 3).alias("miles"),
                  F.round(F.sum(LABEL), 3).alias("minutes")))

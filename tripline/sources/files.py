@@ -7,9 +7,9 @@ from contextlib import contextmanager
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from tripline.sources.schemas import ZONES
+from tripline.sources.schemas import MALFORMED, REQUEST_LINES, ZONES
 
 
 class MissingArtefact(FileNotFoundError):
@@ -27,10 +27,46 @@ def written_by(job: str, path: str):
         raise MissingArtefact(f"{path} not found; run {job} first") from error
 
 
+def read_zone_records(spark: SparkSession, path: str) -> DataFrame:
+    """Zone lines from CSV, columns by the names in the header, with their ``line``.
+
+    ``line`` orders lines by file path, then by place in the file. Text that is
+    no number raises, as does a missing column; files below ``path`` must
+    agree in their header.
+    """
+    with written_by("the zone export (tripline zones)", path):
+        names = spark.read.option("header", True).csv(path).columns
+    missing = sorted(set(ZONES.fieldNames()) - set(names))
+    if missing:
+        raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
+    known = {f.name: f for f in ZONES.fields}
+    schema = StructType([known.get(n, StructField(n, StringType())) for n in names])
+    lines = (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+             .option("mode", "FAILFAST").csv(path))
+    return lines.select(*ZONES.fieldNames(), F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row")).alias("line"))
+
+
 def read_zones(spark: SparkSession, path: str) -> DataFrame:
-    """Zone table from CSV with a header line."""
-    with written_by("the zone export", path):
-        return spark.read.schema(ZONES).option("header", True).csv(path)
+    """Zone table from CSV, one row per id: on a repeated id the later line wins,
+    by file path, then by place in the file."""
+    return latest_zones(read_zone_records(spark, path), "line")
+
+
+def latest_zones(records: DataFrame, order: str) -> DataFrame:
+    """The last record by ``order`` of each zone id."""
+    last = F.max_by(F.struct(*ZONES.fieldNames()), order).alias("zone")
+    return records.groupBy("LocationID").agg(last).select("zone.*")
+
+
+def read_requests(spark: SparkSession, path: str) -> DataFrame:
+    """JSON-line requests as text fields; a line that is no JSON object keeps its
+    text in ``malformed``."""
+    with written_by("the request export", path):
+        return (spark.read.schema(REQUEST_LINES).option("mode", "PERMISSIVE")
+                .option("columnNameOfCorruptRecord", MALFORMED).json(path))
 
 
 def write_zones(zones: DataFrame, path: str) -> None:

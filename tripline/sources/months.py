@@ -13,20 +13,23 @@ from tripline.sources.schemas import TRIP_FILES
 # Fixed format: a month's file, or folder of files, ends in YYYY-MM.parquet.
 MONTH_NAME = r"(\d{4})-(\d{2})\.parquet"
 
+NO_MONTH = "not landed: no YYYY-MM.parquet in its name"
+
 
 def month_fields(path: Column) -> tuple[Column, Column]:
     """(year, month) from a file path; empty text when the name has none."""
     return (F.regexp_extract(path, MONTH_NAME, 1), F.regexp_extract(path, MONTH_NAME, 2))
 
 
-def month_rows(files: DataFrame, schema: StructType = TRIP_FILES) -> DataFrame:
+def month_rows(files: DataFrame, *roots: str, schema: StructType = TRIP_FILES) -> DataFrame:
     """Add ``trip_id``, ``year`` and ``month`` to a scan, batch or stream.
 
-    ``trip_id`` is the row's address, so exact copies keep separate ids.
+    ``trip_id`` is the row's address below the folders ``roots``, so exact
+    copies keep separate ids, and ids stay when a folder moves.
     """
     year, month = month_fields(F.col("_metadata.file_path"))
     return files.select(
-        row_address().alias("trip_id"),
+        row_address(*roots).alias("trip_id"),
         *[F.col(c).cast("int").alias(c) if c.endswith("LocationID") else F.col(c)
           for c in schema.fieldNames()],
         year.try_cast("int").alias("year"),
@@ -36,8 +39,21 @@ def month_rows(files: DataFrame, schema: StructType = TRIP_FILES) -> DataFrame:
 
 def read_months(spark: SparkSession, *paths: str, schema: StructType = TRIP_FILES) -> DataFrame:
     """All trip files below the given paths, any number of months."""
-    return month_rows(
-        spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*paths), schema)
+    files = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*paths)
+    # a glob names files: its folder is the root
+    roots = [p.rsplit("/", 1)[0] if set(p) & set("*?{[") or p.endswith(".parquet") else p
+             for p in paths]
+    return month_rows(files, *roots, schema=schema)
+
+
+def read_all(spark: SparkSession, source: str, target: str,
+             schema: StructType = TRIP_FILES) -> DataFrame:
+    """Landed months and those of ``source`` that have yet to land, as one table."""
+    arrived = read_months(spark, source, schema=schema).filter("year IS NOT NULL")
+    waiting = months_in(spark, source).join(months_landed(spark, target), ["year", "month"],
+                                            "left_anti")
+    return read_landed(spark, target, schema).unionByName(
+        arrived.join(waiting, ["year", "month"], "left_semi"))
 
 
 def months_in(spark: SparkSession, source: str) -> DataFrame:
@@ -50,6 +66,15 @@ def months_in(spark: SparkSession, source: str) -> DataFrame:
             .dropna().distinct())
 
 
+def unplaced(spark: SparkSession, source: str) -> list[str]:
+    """Names of Parquet files in ``source`` that name no month."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .load(f"{source}/*.parquet").select("path"))
+    year, month = month_fields(F.col("path"))
+    odd = files.filter(year.try_cast("int").isNull() | month.try_cast("int").isNull())
+    return [r.path for r in odd.orderBy("path").toLocalIterator()]
+
+
 def months_landed(spark: SparkSession, target: str) -> DataFrame:
     """Distinct (year, month) partitions of ``target``, from folder names alone."""
     try:
@@ -66,7 +91,8 @@ def months_landed(spark: SparkSession, target: str) -> DataFrame:
 def land_months(spark: SparkSession, source: str, target: str,
                 schema: StructType = TRIP_FILES, replace: bool = False,
                 isolate: bool = False) -> dict[str, str]:
-    """Land each month of ``source`` not yet in ``target``; return month -> state.
+    """Land each month of ``source`` not yet in ``target``; return month -> state,
+    and ``NO_MONTH`` for each file whose name has no month: it cannot be placed.
 
     Only pending months are opened: the month is part of the path, so the glob
     does the pruning. One source file holds one month, so the partitioned write
@@ -86,7 +112,7 @@ def land_months(spark: SparkSession, source: str, target: str,
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("year", "month").parquet(target))
 
-    state: dict[str, str] = {}
+    state: dict[str, str] = dict.fromkeys(unplaced(spark, source), NO_MONTH)
     for group in ([[m] for m in pending] if isolate else [pending] if pending else []):
         try:
             land(group)

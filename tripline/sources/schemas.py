@@ -30,6 +30,8 @@ ZONES = _struct(
     latitude=DoubleType(),
 )
 
+ZONE_NAMES = _struct(LocationID=IntegerType(), zone=StringType(), borough=StringType())
+
 REQUEST = _struct(
     trip_distance=DoubleType(),
     PULocationID=IntegerType(),
@@ -42,6 +44,10 @@ REQUEST = _struct(
 REQUEST_TEXT = _struct(request_id=StringType(),
                        **{name: StringType() for name in REQUEST.fieldNames()})
 
+# With the text of a line that is no JSON object.
+MALFORMED = "malformed"
+REQUEST_LINES = StructType([*REQUEST_TEXT.fields, StructField(MALFORMED, StringType(), True)])
+
 FEATURES = REQUEST.fieldNames()
 LABEL = "trip_duration_mins"
 
@@ -57,6 +63,9 @@ HOTSPOTS = _struct(
 
 METRICS = _struct(RMSE=DoubleType(), R2_Score=DoubleType(), MAE=DoubleType())
 
+AUDIT = _struct(rows_in=LongType(), dropped_duration=LongType(), dropped_distance=LongType(),
+                dropped_missing=LongType(), rows_out=LongType())
+
 # The columns read from the test tables.
 TABLES = {
     "events": _struct(event_id=LongType(), ts=TimestampNTZType(), user_id=LongType(),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,12 +14,11 @@ SETTINGS = {
     # The JVM leaves methods above 8,000 bytecodes interpreted, 5 to 10 times
     # slower; Spark then splits the stage's code by operator instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A rank filter cuts groups before the shuffle whatever its size.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "2147483647",
 }
 
 
-_own_dirs: dict[str, str] = {}
-
-
 def pin(spark: SparkSession) -> SparkSession:
     """Apply the settings every job relies on; all of them are runtime settings."""
     for key, value in SETTINGS.items():
@@ -30,21 +28,23 @@ def pin(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it.
+    """The folder all executors share, as the cluster names it in
+    spark.checkpoint.dir; a session without the setting uses its warehouse,
+    which executors share as well."""
+    configured = (spark.conf.get("spark.checkpoint.dir", None)
+                  or spark.conf.get("spark.sql.warehouse.dir"))
+    return configured.rstrip("/")
 
-    Only a local session without the setting gets a folder of its own; a
-    cluster without it is an error, since a driver-local folder would be lost
-    on the executors.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    application = spark.sparkContext.applicationId
-    if application not in _own_dirs:
-        _own_dirs[application] = tempfile.mkdtemp(prefix="tripline-")
-    return _own_dirs[application]
+
+def work_folder(spark: SparkSession) -> str:
+    """A fresh folder for one job, which ``remove`` takes away once the job is done."""
+    return f"{shared_dir(spark)}/tripline/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a work folder, in whatever store it lies."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -54,12 +54,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tripline/{application}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def settle(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder, or to a job's work folder, and read it back.
 
     Cuts the lineage, and unlike a cache survives the loss of executors. Rows
     and file splits are then the same for every later read.
     """
-    path = scratch(df.sparkSession, name)
+    path = scratch(df.sparkSession, name) if folder is None else f"{folder}/{name}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -16,23 +16,31 @@ from tripline.operators.clean import clean_trips
 from tripline.operators.model import score_requests
 from tripline.operators.requests import rejected_requests, replies
 from tripline.sources.months import month_rows
-from tripline.sources.schemas import REQUEST_TEXT, TRIP_FILES
+from tripline.sources.schemas import MALFORMED, REQUEST_LINES, TRIP_FILES
 
 FILES_PER_BATCH = 1000
 
+#: Spark forgets files that are older than this beside the newest one, and then
+#: never reads them; late files must count whatever their age. The price is a
+#: list of seen files that keeps growing: archive sources once a year or so.
+MAX_FILE_AGE = "36500d"
+
 
 def file_stream(spark: SparkSession, path: str, schema: StructType,
                 files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """Parquet files at or below ``path`` as a stream; batches are bounded by the
     number of files."""
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+            .option("maxFileAge", MAX_FILE_AGE)
             .option("recursiveFileLookup", True).parquet(path))
 
 
 def request_stream(spark: SparkSession, path: str,
                    files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
-    """JSON-line requests as a stream of text fields with ``request_id``."""
-    return (spark.readStream.schema(REQUEST_TEXT)
+    """JSON-line requests as a stream, in the form of ``files.read_requests``."""
+    return (spark.readStream.schema(REQUEST_LINES).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", MALFORMED)
+            .option("maxFileAge", MAX_FILE_AGE)
             .option("maxFilesPerTrigger", files_per_batch).json(path))
 
 
@@ -81,6 +89,6 @@ def stream_ingest(trips: DataFrame, keep: list[str], target: str, checkpoint: st
 def stream_months(spark: SparkSession, source: str, target: str, checkpoint: str,
                   drain: bool = True) -> StreamingQuery:
     """Clean monthly trip files as they arrive, partitioned by year and month."""
-    trips = month_rows(file_stream(spark, source, TRIP_FILES))
+    trips = month_rows(file_stream(spark, source, TRIP_FILES), source)
     return stream_ingest(trips, ["trip_id", "year", "month"], target, checkpoint,
                          ("year", "month"), drain)
