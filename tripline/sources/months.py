@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tripline.functions.keys import row_address
-from tripline.sources.schemas import TRIP_FILES
+from tripline.sources.files import literal_rows
+from tripline.sources.schemas import MONTHS, TRIP_FILES
 
 # Fixed format: a month's file, or folder of files, ends in YYYY-MM.parquet.
 MONTH_NAME = r"(\d{4})-(\d{2})\.parquet"
@@ -76,16 +78,13 @@ def unplaced(spark: SparkSession, source: str) -> list[str]:
 
 
 def months_landed(spark: SparkSession, target: str) -> DataFrame:
-    """Distinct (year, month) partitions of ``target``, from folder names alone."""
-    try:
-        files = spark.read.format("binaryFile").load(target)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        files = None
-    if files is None or not {"year", "month"} <= set(files.columns):
-        return spark.range(0).selectExpr("CAST(id AS int) AS year", "CAST(id AS int) AS month")
-    return files.select(F.col("year").cast("int"), F.col("month").cast("int")).distinct()
+    """(year, month) partitions of ``target``. Only the two folder levels are
+    listed, never the files: a month's folder appears when its write commits."""
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target}/year=*/month=*")
+    store = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [status.getPath().toString() for status in store.globStatus(pattern) or []]
+    found = [re.search(r"/year=(\d+)/month=(\d+)$", name) for name in names]
+    return literal_rows(spark, [(int(m[1]), int(m[2])) for m in found if m], MONTHS)
 
 
 def land_months(spark: SparkSession, source: str, target: str,

@@ -22,6 +22,8 @@ TRIP_FILES = _struct(
     DOLocationID=LongType(),
 )
 
+MONTHS = _struct(year=IntegerType(), month=IntegerType())
+
 ZONES = _struct(
     LocationID=IntegerType(),
     zone=StringType(),
