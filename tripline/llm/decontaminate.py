@@ -180,7 +180,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
           gram: int = GRAM) -> DataFrame:
     """The documents without a hit, with all their columns."""
     rows = docs.select(F.struct("*").alias("row"), "doc_id", text_key("text").alias("text_hash"))
-    bad = hits(docs, benchmark, window, gram).where("start IS NOT NULL").select(
-        F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct()
+    bad = settle(hits(docs, benchmark, window, gram).where("start IS NOT NULL").select(
+        F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct(), "bad")
     return rows.join(bad, rows["doc_id"].eqNullSafe(bad["bad_id"])
                      & (rows["text_hash"] == bad["bad_hash"]), "left_anti").select("row.*")

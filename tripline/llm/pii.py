@@ -179,6 +179,29 @@ def disclosing(docs: DataFrame, found: DataFrame, support: int = SUPPORT,
         F.max("disclosure").alias("disclosure"))
 
 
+def added_spans(docs: DataFrame, support: int, generalise: float, remove: float,
+                reach: int) -> tuple[DataFrame, DataFrame]:
+    """Base spans of every row (doc_id, text_hash, spans), and of rows with a
+    telling term its spans (extra_id, extra_hash, added); both written."""
+    found = settle(find(docs).select(*_KEYS, "spans", F.when(
+        F.size("spans") > 0, F.col("text")).alias("text")), "spans")
+    extra = settle(
+        disclosing(docs, found, support, generalise, reach)
+        .groupBy(F.col("doc_id").alias("extra_id"), F.col("text_hash").alias("extra_hash"))
+        .agg(F.array_sort(F.collect_list(F.struct(
+            F.when(F.col("disclosure") >= remove, "removed").otherwise("term").alias("kind"),
+            "start", "end", F.lit("").alias("value")))).alias("added")), "added")
+    return found.select(*_KEYS, "spans"), extra
+
+
+def _with_added(rows: DataFrame, extra: DataFrame) -> DataFrame:
+    match = rows["doc_id"].eqNullSafe(extra["extra_id"]) & (
+        rows["text_hash"] == extra["extra_hash"])
+    none = F.array().cast(_SPAN)
+    return rows.join(extra, match, "left").withColumn("spans", F.concat(
+        F.coalesce("spans", none), F.coalesce("added", none)))
+
+
 def spans(docs: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE,
           remove: float = REMOVE, reach: int = REACH) -> DataFrame:
     """doc_id, text_hash and ``spans`` (base, then added) of every row.
@@ -188,18 +211,8 @@ def spans(docs: DataFrame, support: int = SUPPORT, generalise: float = GENERALIS
     get equal spans; other columns are ignored. Rows with a null doc_id are
     told apart by their text.
     """
-    found = settle(find(docs).select("doc_id", "text_hash", "spans", F.when(
-        F.size("spans") > 0, F.col("text")).alias("text")), "spans")
-    extra = (disclosing(docs, found, support, generalise, reach)
-             .groupBy(*_KEYS).agg(F.array_sort(F.collect_list(F.struct(
-                 F.when(F.col("disclosure") >= remove, "removed").otherwise("term").alias("kind"),
-                 "start", "end", F.lit("").alias("value")))).alias("added"))
-             .withColumnsRenamed({k: f"extra_{k}" for k in _KEYS}))
-    match = (found["doc_id"].eqNullSafe(extra["extra_doc_id"])
-             & (found["text_hash"] == extra["extra_text_hash"]))
-    none = F.array().cast(_SPAN)
-    return found.join(extra, match, "left").select(
-        "doc_id", "text_hash", F.concat(F.coalesce("spans", none), F.coalesce("added", none)).alias("spans"))
+    found, extra = added_spans(docs, support, generalise, remove, reach)
+    return _with_added(found, extra).select(*_KEYS, "spans")
 
 
 def masked(text: Column, all_spans: Column) -> Column:
@@ -221,17 +234,20 @@ def masked(text: Column, all_spans: Column) -> Column:
         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
 
 
-def sanitise(docs: DataFrame, **limits) -> DataFrame:
-    """The documents with all spans masked; other columns stay, a null text stays null."""
-    found = spans(docs, **limits).where(F.size("spans") > 0).dropDuplicates(_KEYS).select(
-        F.col("doc_id").alias("span_id"), F.col("text_hash").alias("span_hash"), "spans")
+def sanitise(docs: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE,
+             remove: float = REMOVE, reach: int = REACH) -> DataFrame:
+    """The documents with all spans masked; other columns stay, a null text stays null.
+
+    Base spans are found again beside the text, so that only the few rows with
+    telling terms come by a join, and texts stay where they are.
+    """
+    _, extra = added_spans(docs, support, generalise, remove, reach)
     rows = docs.select(F.struct("*").alias("row"), "doc_id", "text",
-                       text_key("text").alias("text_hash"))
-    match = rows["doc_id"].eqNullSafe(found["span_id"]) & (
-        rows["text_hash"] == found["span_hash"])
-    text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(
+                       text_key("text").alias("text_hash"),
+                       base_spans(empty_as(F.col("text"))).alias("spans"))
+    text = F.when(F.size("spans") == 0, F.col("text")).otherwise(
         masked(F.col("text"), F.col("spans")))
-    return rows.join(found, match, "left").withColumn("masked", text).select(*(
+    return _with_added(rows, extra).withColumn("masked", text).select(*(
         F.col("masked").alias(c) if c == "text" else F.col("row")[c].alias(c)
         for c in docs.columns))
 

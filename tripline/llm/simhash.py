@@ -280,23 +280,40 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) ->
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The documents with one row of each group left: the smallest doc_id, then the first row.
+    """The documents with one row of each group left: the smallest doc_id (a doc_id
+    before none, then the smaller hash of the text), and of rows alike in both one.
 
-    Rows are numbered in a written copy, so repeated rows are told apart
-    whatever is run again.
+    The texts are not moved to tell which rows go: a written list of those does,
+    by doc_id where it names one row, else with the text's hash. Catalyst
+    broadcasts the list below its threshold.
     """
-    numbered = settle(docs.select(
-        F.struct("*").alias("row"), "doc_id", "text",
-        F.monotonically_increasing_id().alias("number")), "numbered")
-    prints = settle(fingerprints(numbered, shingle, "number"), "prints")
+    prints = settle(fingerprints(docs, shingle), "prints")
     rooted = settle(classes(prints, max_bits), "rooted")
-    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"),
-                           "number"))  # a doc_id before none
-    kept = settle(
-        prints.groupBy("fingerprint").agg(least.alias("first"))
-        .join(rooted, "fingerprint").groupBy("root").agg(F.min("first").alias("first"))
-        .select(F.col("first.number").alias("kept")), "kept")
-    return numbered.join(kept, numbered["number"] == kept["kept"], "left_semi").select("row.*")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    first = (prints.groupBy("fingerprint").agg(F.min(order).alias("first"))
+             .join(rooted, "fingerprint").groupBy("root").agg(F.min("first").alias("first")))
+    chosen = settle(rooted.join(first, "root").select("fingerprint", "first"), "chosen")
+    copies = prints.groupBy("doc_id").agg((F.count("*") == 1).alias("single"))
+    judged = settle(
+        prints.join(chosen, "fingerprint").join(
+            copies.withColumnRenamed("doc_id", "copy_id"),
+            F.col("doc_id").eqNullSafe(F.col("copy_id")))
+        .select("doc_id", "text_hash", "single", (order == F.col("first")).alias("stays")),
+        "judged")
+    single = F.col("single") & F.col("doc_id").isNotNull()
+    by_id = settle(judged.where(~F.col("stays") & single).select(
+        F.col("doc_id").alias("gone_id")), "gone-by-id")
+    key = [F.col("doc_id").alias("key_id"), F.col("text_hash").alias("key_hash")]
+    by_both = settle(judged.where(~F.col("stays") & ~single).select(*key).distinct(), "gone")
+    again = settle(judged.where("stays").groupBy("doc_id", "text_hash").count().where(
+        "count > 1").select(*key), "again")
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", text_key("text").alias("text_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("key_id")) & (F.col("text_hash") == F.col("key_hash"))
+    left = rows.join(by_id, F.col("doc_id") == F.col("gone_id"), "left_anti").join(
+        by_both, same, "left_anti")
+    alike = left.join(again, same, "left_semi").groupBy("doc_id", "text_hash").agg(
+        F.first("row").alias("row"))
+    return left.join(again, same, "left_anti").select("row.*").union(alike.select("row.*"))
 
 
 def as_hex(value: Column) -> Column:
