@@ -36,9 +36,13 @@ def benchmark_overlap(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data and telling terms are masked in the text; n_chars stays as delivered."""
+    """Personal data and telling terms are masked in the text, and n_chars follows it."""
     prepared(spark)
-    return pii.sanitise(docs)
+    clean = pii.sanitise(docs)
+    if "n_chars" not in docs.columns:
+        return clean
+    return clean.withColumn("n_chars", F.coalesce(
+        F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars")))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
