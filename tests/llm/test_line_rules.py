@@ -21,6 +21,12 @@ def test_lines_that_fail_go(spark):
     assert rows[2].cleaned == few and not rows[2].base_failed and not rows[2].kept
 
 
+def test_prose_cut_short_stays(spark):
+    rows = judged(spark, ["One sentence here. And two there! Three, are they not? Then it is cut",
+                          "One sentence alone and then more words that come to no end at all"])
+    assert rows[0].kept and not rows[1].kept
+
+
 def test_base_counts(spark):
     rows = judged(spark, ["a b c d e a b c d e x", "x\ny\nx\n \nx", "a a a a a a a",
                           "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10.", "p#q é| <>"])

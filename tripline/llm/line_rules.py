@@ -2,7 +2,8 @@
 
 Each line is held against three rules; failing lines go:
 
-- punctuation: it does not end like a sentence, or is crowded with signs;
+- punctuation: it does not end like a sentence, nor holds several ends as prose
+  that was cut short does, or it is crowded with signs;
 - navigation: several separators among few words;
 - boilerplate: a short line with a stock phrase of web pages.
 
@@ -21,6 +22,8 @@ from tripline.llm.common import SPACE, empty_as, indexes
 MAX_LOSS = 0.5
 #: A line with a stock phrase is boilerplate up to so many words.
 BOILERPLATE_WORDS = 20
+#: Sentence ends within a line that pass for the one it lacks.
+INNER_ENDS = 3
 MIN_SEPARATORS, SEPARATOR_SHARE = 3, 0.3
 #: Signs among the characters of a line, beyond which it is crowded.
 SIGN_SHARE = 0.12
@@ -83,8 +86,9 @@ def line_fails(line: Column) -> Column:
     count = F.size(words(line))
     separators = F.length(line) - F.length(without(line, "|»·›•"))
     signs = F.length(line) - F.length(without(line, SYMBOLS + "!=~^_{}[]\\"))
-    punctuation = ~F.rlike(line, F.lit(r"[.!?…。][\"'”’»)\]]*[\x20\x09-\x0D]*\z")) | (
-        signs > SIGN_SHARE * F.length(line))
+    ends = F.length(line) - F.length(without(line, ".!?…。"))
+    punctuation = (~F.rlike(line, F.lit(r"[.!?…。][\"'”’»)\]]*[\x20\x09-\x0D]*\z"))
+                   & (ends < INNER_ENDS)) | (signs > SIGN_SHARE * F.length(line))
     navigation = (separators >= MIN_SEPARATORS) & (separators >= SEPARATOR_SHARE * count)
     stock = F.rlike(F.lower(line), F.lit("|".join(PHRASES)))
     return punctuation | navigation | (stock & (count <= BOILERPLATE_WORDS))

@@ -34,7 +34,8 @@ _SPLIT = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
 _BARE = r"regexp_replace({0}, '[\x20\x09-\x0D]', '', 'g')"
 _SIGNS = r"[#*$%&|<>!=~^_{{}}\[\]\\]"
 _LINE_FAILS = rf"""(
-  NOT regexp_matches(l, '[.!?…。]["''”’»)\]]*[\x20\x09-\x0D]*\z')
+  (NOT regexp_matches(l, '[.!?…。]["''”’»)\]]*[\x20\x09-\x0D]*\z')
+   AND length(l) - length(regexp_replace(l, '[.!?…。]', '', 'g')) < {rules.INNER_ENDS})
   OR length(l) - length(regexp_replace(l, '{_SIGNS.format()}', '', 'g'))
      > {rules.SIGN_SHARE}::double * length(l)
   OR (length(l) - length(regexp_replace(l, '[|»·›•]', '', 'g')) >= {rules.MIN_SEPARATORS}
