@@ -81,7 +81,7 @@ class _Model:
         start, width = _shares(self.zero_counts, _ZERO)
         self.zero_start, self.zero_width = start.astype(np.uint64), width.astype(np.uint64)
         if self.decode:
-            self.zero_slot = np.repeat(np.arange(self.bound), width)
+            self.zero_slot = np.repeat(np.arange(self.bound, dtype=np.int32), width)
 
     def _renew_mix(self) -> None:
         start, width = _shares(self.mix_counts, _MIX)

@@ -19,9 +19,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tripline.llm import token_blocks, tokens
-from tripline.llm.common import text_key
 
-BLOCK_IDS = 1 << 20
+BLOCK_IDS = 1 << 22
 
 BLOCKS = ("file_no int, block_no int, ids_before long, doc_ids array<long>, "
           "lengths array<long>, payload binary")
@@ -35,9 +34,9 @@ def write(docs: DataFrame, path: str, vocabulary: str, end: int,
     """Encode all texts of ``docs`` into files below ``path``.
 
     Null texts count as empty: they have the end id alone. Null doc_ids come
-    first. Rows with one doc_id are ordered by their text's hash, and rows
-    alike in both are dealt out too, so no id holds a task up. An empty table
-    writes no block; other columns are ignored.
+    first. Rows with one doc_id follow each other as they come, and are dealt
+    out by their number too, so no id holds a task up. An empty table writes no
+    block; other columns are ignored.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokens.word_encoder(vocabulary)
@@ -63,9 +62,8 @@ def write(docs: DataFrame, path: str, vocabulary: str, end: int,
         if parts:
             yield block()
 
-    order = ["doc_id", "text_hash", "tie"]
-    rows = docs.select("doc_id", "text", text_key("text").alias("text_hash"),
-                       F.monotonically_increasing_id().alias("tie"))
+    order = ["doc_id", "tie"]
+    rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("tie"))
     (rows.repartitionByRange(*order).sortWithinPartitions(*order)
      .select("doc_id", "text").mapInArrow(run, BLOCKS)
      .write.option("compression", "none").parquet(path))

@@ -61,6 +61,8 @@ class WordEncoder:
     since no token holds one. All other texts go to the library.
     """
 
+    #: Of lower-case lines: all letters and single marks; then Latin at least.
+    _marked = re.compile(r"[^a-zß-öø-ÿ .,]|[.,][.,]")
     _other = re.compile(r"[^\t-\r -~À-ÖØ-öø-ÿ]|<\|")
     #: What the library cuts out beside runs of letters, in its order.
     _cut = re.compile(r"('s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\sa-zß-öø-ÿ0-9]+)")
@@ -92,13 +94,28 @@ class WordEncoder:
                                  special_tokens={}).encode_ordinary
 
     def __call__(self, text: str) -> np.ndarray:
-        if self.merged is None or self._other.search(text):
+        spaced = self.merged and self._spaced(text)
+        if spaced is None:
             ids = self.library.encode(text, add_special_tokens=False).ids
         else:
-            words = " ".join(self._cut.split(text.lower())).split()
-            ids = self.merged(" ".join(words) + " ") if words else []
+            ids = self.merged(spaced)  # its pattern passes over spaces that follow no word
         return np.frombuffer(array("I", ids), dtype="<u4")
 
+    def _spaced(self, text: str) -> str | None:
+        """Lower-case, a space after each word; None for a text that is not Latin."""
+        lines = text.split("\n")
+        for at, line in enumerate(lines):
+            low = line.lower()
+            if not self._marked.search(low):
+                lines[at] = low.replace(".", " . ").replace(",", " , ")
+                continue
+            if self._other.search(line):
+                return None
+            for sign in "\t\v\f\r":
+                low = low.replace(sign, " ")
+            lines[at] = " ".join(self._cut.split(low))
+        return " ".join(lines) + " "
+
 
 def byte_encoder(path: str, ranks: str) -> ByteEncoder:
     key = (path, ranks)
