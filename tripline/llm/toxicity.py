@@ -36,6 +36,7 @@ SUPPORT_SHARE, LEAST_SUPPORT = 0.03, 4
 LEXICON_SIZE = 1500
 STEM_LENGTHS = (4, 5, 6)
 TREES, DEPTH, STEP = 20, 3, 0.3
+FIT_TASKS = 8
 #: Words between a lexicon word and a word of address that still counts as near.
 NEAR = 5
 
@@ -176,8 +177,9 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0,
     known = labels.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)
                          & (fold(F.col("doc_id"), folds) != held_out)).select("doc_id", "label")
     share = min(1.0, max_labelled / max(1, known.count()))
-    chosen = known.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000))
-                         < int(share * 1_000_000))
+    # written, so that its size is known and texts don't move to meet it
+    chosen = settle(known.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000))
+                                < int(share * 1_000_000)), "chosen")
     part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(4)) == 0
     rows = settle(docs.select("doc_id", empty_as(F.col("text")).alias("text")).join(
         chosen, "doc_id").withColumn("calibrates", part), "labelled")
@@ -187,7 +189,8 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0,
     if sums["a"] < 2 or sums["b"] < 2:
         return Model({}, None, None, sums["rate"] or 0.0)
     lexicon = learn_lexicon(rows.where(~F.col("calibrates")))
-    described = settle(with_features(rows, lexicon).drop("text").coalesce(4), "described")
+    # few tasks for the fit; joined before Python, so that each has one worker
+    described = settle(with_features(rows.coalesce(FIT_TASKS), lexicon).drop("text"), "described")
     ready = _assembled(described.withColumn("label", F.col("label").cast("double")))
     trees = GBTClassifier(
         featuresCol="vector", labelCol="label", predictionCol="predicted", maxIter=TREES,
