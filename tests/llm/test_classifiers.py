@@ -88,3 +88,23 @@ def test_labels_of_the_held_out_fold_are_not_seen(spark):
     one, two = ({r.doc_id: r.score for r in quality.score(docs, x).collect()}
                 for x in (labels, turned))
     assert one.keys() == two.keys() and all(abs(one[k] - two[k]) < 1e-9 for k in one)
+
+
+def test_lexicon_holds_words_of_a_rare_language(spark):
+    """10 of 400 toxic texts are no 3 %, but none of 2000 clean ones is evidence."""
+    rows = [(f"zorblatt common{i % 7}", 1) for i in range(390)] + [("bococo common1", 1)] * 10 \
+        + [(f"plain common{i % 7}", 0) for i in range(2000)] + [("seldom common2", 1)] * 3
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, label int"))
+    assert lexicon["bococo"] == 0 and lexicon["zorblatt"] == 0
+    assert not {"seldom", "plain", "common1"} & set(lexicon)
+
+
+def test_held_out_recall_per_language(spark):
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", F.col("toxic").alias("label"))
+    scored = toxicity.fit(docs, labels).score(docs).join(labels.where("label = 1"), "doc_id").where(
+        toxicity.fold(F.col("doc_id"), 5) == 0).join(docs.select("doc_id", "lang"), "doc_id")
+    found = {r.lang: r.recall for r in scored.groupBy("lang").agg(
+        F.avg((F.col("score") >= 0.5).cast("int")).alias("recall")).collect()}
+    assert set(found) == {"en", "de", "fr", "es"} and min(found.values()) >= 0.8

@@ -30,10 +30,9 @@ from tripline.sources.session import settle
 MAX_LABELLED = 12_000
 #: Log odds at which a grade of the lexicon begins, strongest first.
 GRADES = (4.0, 2.5, 1.5)
-#: Share of toxic texts that must hold an entry, and their least number.
-SUPPORT_SHARE, LEAST_SUPPORT = 0.03, 4
-#: At most so many entries, the strongest.
-LEXICON_SIZE = 1500
+#: Least number of toxic texts that must hold an entry, and the least log odds in standard
+#: errors: evidence, not a share, so that rare languages have their entries too.
+LEAST_SUPPORT, LEAST_ERRORS = 4, 1.96
 STEM_LENGTHS = (4, 5, 6)
 TREES, DEPTH, STEP = 20, 3, 0.3
 FIT_TASKS = 8
@@ -107,7 +106,10 @@ def with_features(docs: DataFrame, lexicon: dict[str, int], name: str = "feature
 
 
 def learn_lexicon(labelled: DataFrame) -> dict[str, int]:
-    """entry -> grade, from rows of text and ``label`` (0 or 1). The strongest ``LEXICON_SIZE``."""
+    """entry -> grade, from rows of text and ``label`` (0 or 1).
+
+    All entries with enough evidence; the rows are a bounded sample, which bounds them.
+    """
     count = labelled.agg(F.coalesce(F.sum("label"), F.lit(0)).alias("toxic"),
                          F.count("*").alias("all")).first()
     toxic, clean = int(count["toxic"]), int(count["all"]) - int(count["toxic"])
@@ -122,10 +124,9 @@ def learn_lexicon(labelled: DataFrame) -> dict[str, int]:
         F.length("entry") > 2).groupBy("entry").agg(
         F.sum("label").alias("t"), (F.count("*") - F.sum("label")).alias("c"))
     odds = F.log((F.col("t") + 0.5) / (toxic + 1.0)) - F.log((F.col("c") + 0.5) / (clean + 1.0))
-    support = max(LEAST_SUPPORT, round(SUPPORT_SHARE * toxic))
-    found = seen.where(F.col("t") >= support).withColumn("odds", odds).where(
-        F.col("odds") >= GRADES[-1])
-    rows = found.orderBy(F.desc("odds"), F.desc("t"), "entry").limit(LEXICON_SIZE).collect()
+    error = F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))
+    rows = seen.where(F.col("t") >= LEAST_SUPPORT).withColumn("odds", odds).where(
+        (F.col("odds") >= GRADES[-1]) & (F.col("odds") >= LEAST_ERRORS * error)).collect()
     return {r.entry: next(g for g, least in enumerate(GRADES) if r.odds >= least) for r in rows}
 
 
