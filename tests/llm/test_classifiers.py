@@ -108,3 +108,15 @@ def test_held_out_recall_per_language(spark):
     found = {r.lang: r.recall for r in scored.groupBy("lang").agg(
         F.avg((F.col("score") >= 0.5).cast("int")).alias("recall")).collect()}
     assert set(found) == {"en", "de", "fr", "es"} and min(found.values()) >= 0.8
+
+
+def test_all_ways_to_dodge_count():
+    at = toxicity.FEATURES.index("dodged")
+    rng = np.random.default_rng(4)
+    texts = ["i.d.i.o.t", "i d i o t", "ST0PID", "a-b-c-d", "a.b.c", "it is 5", "a1B", "a!!", "x_y_z_w_"]
+    texts += ["".join(rng.choice(list("aBc.-_ *@$!0#é"), 12)) for _ in range(5000)]
+    for text in texts:
+        if text.split():
+            want = len(toxicity._DODGED.findall(text)) / len(text.split())
+            assert toxicity.describe(text, {})[at] == want, text
+    assert all(toxicity.describe(text, {})[at] > 0 for text in texts[:4])
