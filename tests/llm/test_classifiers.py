@@ -120,3 +120,12 @@ def test_all_ways_to_dodge_count():
             want = len(toxicity._DODGED.findall(text)) / len(text.split())
             assert toxicity.describe(text, {})[at] == want, text
     assert all(toxicity.describe(text, {})[at] > 0 for text in texts[:4])
+
+
+def test_words_of_address_with_marks():
+    at = toxicity.FEATURES.index("you")
+    near = toxicity.FEATURES.index("near_you")
+    for word in ("you,", "You!", "you're", "you’ll", "(you)", "¡tú!", "“du”", "«Vous»", "'you'"):
+        found = toxicity.describe(f"scum {word} there", {"scum": 0})
+        assert found[at] == 1 / 3 and found[near] == 1.0, word
+    assert toxicity.describe("youth young's", {})[at] == 0

@@ -60,6 +60,11 @@ def stems(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in STEM_LENGTHS if len(word) >= n)]
 
 
+def _contracted(bare: str) -> str:
+    """What stands before an apostrophe, as in "you're"; marks that a lexicon word keeps go too."""
+    return bare.replace("’", "'").strip("¡¿“”„‘'«»").partition("'")[0].strip(_EDGES)
+
+
 def describe(text: str | None, lexicon: dict[str, int]) -> list[float]:
     """The features of a text; all zero for a null or wordless one."""
     words = (text or "").split()
@@ -69,9 +74,11 @@ def describe(text: str | None, lexicon: dict[str, int]) -> list[float]:
     low = text.lower().split()
     if len(low) != n:  # a letter whose lower case holds a space does not exist, but to be sure
         low = [w.lower() for w in words]
-    counts, hits, grade_of = [0, 0, 0], [], lexicon.get
+    counts, hits, you, grade_of = [0, 0, 0], [], [], lexicon.get
     for at, word in enumerate(low):
         bare = word.strip(_EDGES) if word[-1:] in _EDGES or word[:1] in _EDGES else word
+        if bare in SECOND_PERSON or not bare.isalpha() and _contracted(bare) in SECOND_PERSON:
+            you.append(at)
         best = None
         for entry in (bare, bare[:4] + "*", bare[:5] + "*", bare[:6] + "*"):
             grade = grade_of(entry)
@@ -81,7 +88,6 @@ def describe(text: str | None, lexicon: dict[str, int]) -> list[float]:
             counts[best] += 1
             if best == 0:
                 hits.append(at)
-    you = [at for at, word in enumerate(low) if word in SECOND_PERSON]
     address = set(you)
     near = sum(1 for at in hits if any(
         at + d in address for d in range(-NEAR, NEAR + 1))) if address else 0
