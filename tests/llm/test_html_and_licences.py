@@ -90,3 +90,38 @@ def test_scan_edges(spark, edges, edge_rows, nothing):
     rows = licences.scan(edges).collect()
     assert len(rows) == len(edge_rows) and {r.n_licences for r in rows} == {0}
     assert licences.scan(nothing).count() == 0
+
+
+MIT = dict((n, t) for n, t in licences.TEMPLATES if len(t) > 800)["MIT"]
+PROSE = "It was a long day in the yard and nobody came to see the horses there. " * 12
+
+
+def test_licences_inside_long_documents():
+    scan = licences.Matcher().scan
+    mit = MIT.replace("conditions: The above", "conditions:\n\nThe above").replace(
+        "Software. THE", "Software.\n\nTHE")
+    gpl = [t for n, t in licences.TEMPLATES if n == "GPL-3.0"][1].replace(
+        "version. This", "version.\n\nThis").replace("details.", "details.\n\nYou should have "
+        "received a copy of the GNU General Public License along with this program.")
+    assert mit.count("\n\n") == 2
+    assert scan(f"{PROSE}\n\n{mit}\n\n{PROSE}") == {"MIT": 1.0}
+    assert scan(f"{PROSE}\n\n{gpl}\n\n{PROSE}")["GPL-3.0"] > 0.9
+    assert scan(f"{PROSE} Released under the MIT License. {PROSE}") == {"MIT": 1.0}
+    gnu3 = "This work is licensed under the GNU General Public License, version 3."
+    assert scan(f"{PROSE}\n{gnu3}\n{MIT}\n{PROSE}") == {"GPL-3.0": 1.0, "MIT": 1.0}
+    assert scan(PROSE * 3) == {}
+
+
+def test_runs_equal_all_windows():
+    """The best coefficient of one template over all windows, by brute force."""
+    import random
+
+    rng = random.Random(3)
+    for _ in range(150):
+        template = " ".join(rng.choices("abcd", k=rng.randint(2, 14)))
+        words = rng.choices("abcdx", k=rng.randint(0, 30))
+        own = licences.bigrams(template.split())
+        want = max((licences.dice(licences.bigrams(words[i:j]), own) for i in range(len(words))
+                    for j in range(i + 2, len(words) + 1)), default=0.0)
+        got = licences.Matcher((("T", template),)).scan(" ".join(words)).get("T", 0.0)
+        assert abs(got - (want if want >= licences.THRESHOLD else 0.0)) < 1e-12

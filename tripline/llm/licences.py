@@ -1,17 +1,19 @@
 """Licence scans: parts of texts against licence templates, by Dice over word bigrams.
 
-A part is a line, a paragraph or the whole text. Its normalised words are
-compared with every template whose size can reach the threshold at all: with a
-and b bigrams, 2 * min(a, b) / (a + b) bounds the coefficient.
+The parts are all runs of words, so a notice inside a line and a licence of many
+paragraphs inside a document are parts like any other. With a and b bigrams,
+2 * min(a, b) / (a + b) bounds the coefficient, so a template is compared only
+with runs near its size that hold enough of its bigrams. Of overlapping parts
+near different licences, the one that shares more bigrams counts.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -92,46 +94,106 @@ def dice(a: Counter, b: Counter) -> float:
 
 
 class Matcher:
-    """Templates by size, so that the bounds are a slice."""
+    """Templates by bigram, so that a text is compared with those it shares enough with."""
 
     def __init__(self, templates=TEMPLATES, threshold: float = THRESHOLD):
         self.threshold = threshold
-        ready = [(len(words) - 1, name, bigrams(words)) for name, text in templates
-                 if len(words := normalised(text)) > 1]
-        ready.sort(key=lambda t: (t[0], t[1]))
-        self.sizes = [size for size, _, _ in ready]
-        self.templates = ready
         self.reach = (2 - threshold) / threshold
-
-    def candidates(self, size: int) -> list[tuple]:
-        """Templates between size / reach and size * reach, a hair wider than exact."""
-        return self.templates[bisect_left(self.sizes, size / self.reach - 1e-9):
-                              bisect_right(self.sizes, size * self.reach + 1e-9)]
-
-    def part(self, text: str) -> tuple[list[str], float]:
-        """The licences nearest to a part, if near enough, and their coefficient."""
+        self.templates: list[tuple[str, int, dict]] = []  # name, size, place of bigram -> repeats
+        self.place: dict[tuple[str, str], int] = {}
+        self.held_by: list[list[tuple[int, int]]] = []
+        for name, text in templates:
+            words = normalised(text)
+            if len(words) < 2:
+                continue
+            repeats = {}
+            for pair, n in bigrams(words).items():
+                at = self.place.setdefault(pair, len(self.place))
+                if at == len(self.held_by):
+                    self.held_by.append([])
+                self.held_by[at].append((len(self.templates), n))
+                repeats[at] = n
+            self.templates.append((name, len(words) - 1, repeats))
+        #: What a part must share with a template at least: the coefficient is near enough only if
+        #: 2 * common >= threshold * (a + b), and a is not below b / reach.
+        self.needed = [threshold * (size + size / self.reach) / 2 - 1e-9
+                       for _, size, _ in self.templates]
+
+    def parts(self, text: str) -> list[tuple]:
+        """(common, coefficient, name, first, end) of the best runs for every template, none
+        overlapping for one template; first and end are numbers of bigrams."""
         words = normalised(text)
-        near = self.candidates(len(words) - 1) if len(words) > 1 else []
-        if not near:
-            return [], 0.0
-        own = bigrams(words)
-        found = [(dice(own, other), name) for _, name, other in near]
-        best = max(value for value, _ in found)
-        if best < self.threshold:
-            return [], 0.0
-        return sorted({name for value, name in found if value == best}), best
+        get = self.place.get
+        known = [(at, place) for at, pair in enumerate(zip(words, words[1:]))
+                 if (place := get(pair)) is not None]
+        if not known:
+            return []
+        common: dict[int, int] = {}
+        for place, n in Counter(place for _, place in known).items():
+            for template, most in self.held_by[place]:
+                common[template] = common.get(template, 0) + min(n, most)
+        found = []
+        for template, n in common.items():
+            if n >= self.needed[template]:
+                name, size, repeats = self.templates[template]
+                found += [(c, value, name, first, end)
+                          for c, value, first, end in self._runs(
+                              known, size, repeats, self.needed[template])]
+        return found
+
+    def _runs(self, known: list, size: int, repeats: dict, least: float) -> list[tuple]:
+        """The best run of words from each start, then the best of those that overlap.
+
+        A bigram adds to a run if fewer than its repeats in the template stand before it there,
+        that is if ``bound``, the place of the one so many before, is left of the start.
+        """
+        at, bound, seen = [], [], {}
+        for place, key in known:
+            most = repeats.get(key)
+            if most is not None:
+                before = seen.setdefault(key, [])
+                bound.append(before[-most] if len(before) >= most else -1)
+                before.append(len(at))
+                at.append(place)
+        at, bound = np.array(at), np.array(bound)
+        ends = np.searchsorted(at, at + size * self.reach + 1e-9)
+        runs = []
+        for k in np.flatnonzero(ends - np.arange(len(at)) >= least):
+            stop = ends[k]
+            common = np.cumsum(bound[k:stop] < k)
+            values = 2 * common / (at[k:stop] - at[k] + 1 + size)
+            top = int(values.argmax())
+            if values[top] >= self.threshold:
+                runs.append((int(common[top]), float(values[top]), int(at[k]), int(at[k + top]) + 1))
+        kept, taken = [], np.zeros(int(at[-1]) + 1, bool)
+        for run in sorted(runs, key=lambda r: (-r[1], -r[0], r[2])):
+            if not taken[run[2]:run[3]].any():
+                taken[run[2]:run[3]] = True
+                kept.append(run)
+        return kept
 
     def scan(self, text: str | None) -> dict[str, float]:
-        """licence -> best coefficient over all parts of a text."""
-        text = text or ""
-        parts = {line for line in text.split("\n") if line.strip()}
-        parts.update(p for p in _PARAGRAPH.split(text) if "\n" in p.strip())
-        parts.add(text)
+        """licence -> best coefficient over all parts of a text.
+
+        A part most of which belongs to parts that share more bigrams with other licences is
+        passed over; licences equally near to the same part all count.
+        """
+        found = sorted(self.parts(text or ""), key=lambda p: (-p[0], -p[1], p[3], p[2]))
         best: dict[str, float] = {}
-        for part in parts:
-            names, value = self.part(part)
-            for name in names:
-                best[name] = max(value, best.get(name, 0.0))
+        if not found:
+            return best
+        owner = np.full(max(end for *_, end in found), -1)
+        numbers: dict[str, int] = {}
+        ties: dict[tuple, tuple] = {}
+        for common, value, name, first, end in found:
+            number = numbers.setdefault(name, len(numbers))
+            here = owner[first:end]
+            others = np.count_nonzero((here >= 0) & (here != number))
+            if 2 * others > end - first and ties.get((first, end)) != (common, value):
+                continue
+            here[here < 0] = number
+            ties.setdefault((first, end), (common, value))
+            best[name] = max(value, best.get(name, 0.0))
         return best
 
 
