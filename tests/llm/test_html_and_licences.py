@@ -125,3 +125,21 @@ def test_runs_equal_all_windows():
                     for j in range(i + 2, len(words) + 1)), default=0.0)
         got = licences.Matcher((("T", template),)).scan(" ".join(words)).get("T", 0.0)
         assert abs(got - (want if want >= licences.THRESHOLD else 0.0)) < 1e-12
+
+
+def test_whole_licence_texts():
+    scan = licences.Matcher().scan
+    for name, text in licences.all_templates()[len(licences.TEMPLATES):]:
+        found = scan(f"{PROSE}\n\n{text}\n\n{PROSE}")
+        assert found == {name: 1.0}
+    texts = dict(licences.all_templates()[len(licences.TEMPLATES):])
+    assert set(scan("Copyright (c) 2020, A. B.\n" + texts["BSD-2-Clause"].split("\n", 2)[2])) == {
+        "BSD-2-Clause"}
+    for kind in licences.CC_KINDS:
+        assert set(scan(f"{PROSE} licensed under CC {kind} 3.0. {PROSE}")) == {f"CC-{kind}-3.0"}
+
+
+def test_standard_notices():
+    scan = licences.Matcher().scan
+    for name, text in licences.TEMPLATES:
+        assert set(scan(f"{PROSE} {text} {PROSE}")) == {name}

@@ -9,6 +9,7 @@ near different licences, the one that shares more bigrams counts.
 
 from __future__ import annotations
 
+import pkgutil
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -19,7 +20,13 @@ from pyspark.sql import DataFrame
 
 THRESHOLD = 0.8
 
-#: Public licence texts and the notices by which texts are put under them.
+CC_KINDS = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike",
+            "BY-ND": "Attribution-NoDerivatives", "BY-NC": "Attribution-NonCommercial",
+            "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+            "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+CC_VERSIONS = ("2.0", "2.5", "3.0", "4.0")
+
+#: Short public licence texts and the notices by which texts are put under them.
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
@@ -71,8 +78,43 @@ License."""),
                 "or neighboring rights to this work."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("Proprietary", "All rights reserved."),
+    ("GPL-2.0", """This program is free software; you can redistribute it and/or modify it under the
+terms of the GNU General Public License as published by the Free Software Foundation; either
+version 2 of the License, or (at your option) any later version. This program is distributed in
+the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more
+details."""),
+    ("LGPL-2.1", """This library is free software; you can redistribute it and/or modify it under the
+terms of the GNU Lesser General Public License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version. This library is distributed in
+the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for
+more details."""),
+    ("LGPL-3.0", """This library is free software; you can redistribute it and/or modify it under the
+terms of the GNU Lesser General Public License as published by the Free Software Foundation; either
+version 3 of the License, or (at your option) any later version. This library is distributed in
+the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for
+more details."""),
+    ("AGPL-3.0", """This program is free software: you can redistribute it and/or modify it under the
+terms of the GNU Affero General Public License as published by the Free Software Foundation, either
+version 3 of the License, or (at your option) any later version. This program is distributed in
+the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more
+details."""),
+    *((f"CC-{kind}-{version}", f"Licensed under CC {kind} {version}.")
+      for kind in CC_KINDS for version in CC_VERSIONS),
+    *((f"CC-{kind}-{version}", "This work is licensed under a Creative Commons "
+       f"{said} {version} {scope} License.")
+      for kind, said in CC_KINDS.items() for version in CC_VERSIONS
+      for scope in (("International",) if version == "4.0" else ("Unported",))),
 )
 
+#: Whole licence texts, in files of these names; README says where they are from.
+TEXTS = ("AGPL-3.0", "Apache-2.0", "Artistic-1.0-Perl", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0",
+         "GFDL-1.2", "GFDL-1.3", "GPL-1.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.0", "LGPL-2.1",
+         "LGPL-3.0", "MPL-1.1", "MPL-2.0")
+
 _WORD = re.compile(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*")
 _PARAGRAPH = re.compile(r"\n[ \t\r]*\n")
 
@@ -83,6 +125,12 @@ def normalised(text: str) -> list[str]:
             for w in _WORD.findall(text.lower())]
 
 
+def all_templates() -> tuple:
+    """``TEMPLATES`` and the whole texts, these read from the package, a zipped one too."""
+    read = lambda name: pkgutil.get_data(__package__, f"licence_texts/{name}.txt")
+    return (*TEMPLATES, *((name, read(name).decode()) for name in TEXTS))
+
+
 def bigrams(words: list[str]) -> Counter:
     return Counter(zip(words, words[1:]))
 
@@ -96,13 +144,13 @@ def dice(a: Counter, b: Counter) -> float:
 class Matcher:
     """Templates by bigram, so that a text is compared with those it shares enough with."""
 
-    def __init__(self, templates=TEMPLATES, threshold: float = THRESHOLD):
+    def __init__(self, templates=None, threshold: float = THRESHOLD):
         self.threshold = threshold
         self.reach = (2 - threshold) / threshold
         self.templates: list[tuple[str, int, dict]] = []  # name, size, place of bigram -> repeats
         self.place: dict[tuple[str, str], int] = {}
         self.held_by: list[list[tuple[int, int]]] = []
-        for name, text in templates:
+        for name, text in templates or all_templates():
             words = normalised(text)
             if len(words) < 2:
                 continue
@@ -197,12 +245,14 @@ class Matcher:
         return best
 
 
-def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def scan(docs: DataFrame, templates=None, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, licences (sorted, comma-joined), n_licences and the best coefficient of every row.
 
     Null and empty texts have none, and a coefficient of 0. Other columns are
     ignored; each row is judged alone.
     """
+    templates = templates or all_templates()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(templates, threshold)
         for batch in batches:
