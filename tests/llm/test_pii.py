@@ -99,3 +99,28 @@ def test_overlapping_spans_mask_once(spark):
     text = "call +4111 1111 1111 111 now 1.2.3.4@x.org"
     out = pii.sanitise(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().text
     assert "1111" not in out and "@" not in out and out.startswith("call ")
+
+
+def test_telling_terms_anywhere_in_the_text(spark):
+    far = "plain words about nothing " * 5
+    common = [(i, f"{far} number {i}.") for i in range(60)]
+    telling = [(100 + i, f"Zorblatt. {far}\n{far} zorblatt é z.b@q.org {far}\nsaid ZORBLATT {i}")
+               for i in range(3)]
+    docs = spark.createDataFrame(
+        common + telling + [(None, telling[0][1]), (200, f"{far} x@y.org 1.2.3.4")],
+        "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in pii.spans(docs).collect()}
+    for doc, text in telling:
+        added = [text[s.start:s.end] for s in found[doc] if s.kind == "removed"]
+        assert added == ["Zorblatt", "zorblatt", "said", "ZORBLATT"]
+    assert [(s.start, s.end) for s in found[None]] == [(s.start, s.end) for s in found[100]]
+    assert {s.kind for s in found[200]} == {"email", "ip"}
+    clean = [r.text for r in pii.sanitise(docs).collect()]
+    assert not any("zorblatt" in text.lower() for text in clean)
+
+
+def test_blanked_keeps_positions(spark):
+    text = "é😀 a@b.co 1.2.3.4 +4111 1111 1111 1111 ü"
+    got = spark.createDataFrame([(text,)], "text string").select(pii._blanked(
+        F.col("text"), pii.base_spans(F.col("text"))).alias("b")).first().b
+    assert len(got) == len(text) and got.split() == ["é😀", "+", "ü"]

@@ -1,14 +1,15 @@
 """Personal data: patterns, then information-theoretic sanitisation. Native columns.
 
 The patterns find emails, addresses, card and phone numbers. Each distinct
-value is a protected entity. Terms beside its mentions may give it away, so
+value is a protected entity. Terms in the texts that hold it may give it away, so
 the corpus decides: with p counted over all documents,
 
     disclosure(e, t) = PMI(e; t) / IC(e)
                      = log(n_et * N / (n_e * n_t)) / log(N / n_e)
 
-where n_et counts documents that hold t beside e, n_e those with e, n_t those
-with t anywhere and N all. It is 1 for a term that occurs beside e alone. From
+where n_et counts documents that hold both, t outside all spans, n_e those with e,
+n_t those with t anywhere and N all. It is 1 for a term that occurs with e alone.
+All its occurrences in documents with e count: from
 ``generalise`` on a term is replaced by a class, from ``remove`` on it goes. A
 pair needs ``support`` documents: fewer are no estimate.
 """
@@ -21,8 +22,6 @@ from pyspark.sql import functions as F
 from tripline.llm.common import empty_as, text_key
 from tripline.sources.session import settle
 
-#: Code points on each side of a mention in which terms are looked for.
-REACH = 48
 SUPPORT, GENERALISE, REMOVE = 3, 0.85, 0.95
 #: Letters a term needs at least.
 TERM_LETTERS = 3
@@ -106,24 +105,21 @@ def base_spans(text: Column) -> Column:
     return F.concat(*(F.when(found[kind][0], found[kind][1]).otherwise(none) for kind in KINDS))
 
 
-def _beside(text: Column, spans: Column, span: Column, reach: int) -> Column:
-    """Terms within ``reach`` code points of ``span``: whole words outside all spans."""
-    def side(first: Column, last: Column) -> Column:
-        here = F.substring(text, first + 1, last - first)
-        terms = F.transform(matches(here, _TERM, "term", value=F.lower), lambda t: F.struct(
-            t["kind"].alias("kind"), (t["start"] + first).alias("start"),
-            (t["end"] + first).alias("end"), t["value"].alias("value")))
-        cut_first = (first > 0) & F.rlike(F.substring(text, first, 2), F.lit(r"^[\p{L}\p{M}]{2}"))
-        cut_last = F.rlike(F.substring(text, last, 2), F.lit(r"^[\p{L}\p{M}]{2}"))
-        return F.filter(terms, lambda t: (F.length(t["value"]) >= TERM_LETTERS)
-                        & ~((t["start"] == first) & cut_first)
-                        & ~((t["end"] == last) & cut_last)
-                        & ~F.exists(spans, lambda s: (s["start"] < t["end"])
-                                    & (s["end"] > t["start"])))
+def _blanked(text: Column, spans: Column) -> Column:
+    """``text`` with spaces for all that lies in ``spans``; positions stay."""
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(
+        s["start"].alias("start"), s["end"].alias("end"))))
 
-    before = side(F.greatest(F.lit(0), span["start"] - reach), span["start"])
-    after = side(span["end"], F.least(F.length(text), span["end"] + reach))
-    return F.concat(before, after)
+    def step(acc: Column, s: Column) -> Column:
+        first = F.greatest(acc["at"], s["start"])
+        last = F.greatest(acc["at"], s["end"])
+        return F.struct(last.alias("at"), F.concat(
+            acc["out"], F.substring(text, acc["at"] + 1, first - acc["at"]),
+            F.repeat(F.lit(" "), last - first)).alias("out"))
+
+    return F.aggregate(
+        ordered, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
+        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
 
 
 def find(docs: DataFrame) -> DataFrame:
@@ -133,37 +129,50 @@ def find(docs: DataFrame) -> DataFrame:
         "spans", base_spans(F.col("text")))
 
 
+def _same_text(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``left`` with the columns of ``right`` for the same doc_id, null or not, and text_hash."""
+    right = right.withColumnsRenamed({"doc_id": "other_id", "text_hash": "other_hash"})
+    match = left["doc_id"].eqNullSafe(right["other_id"]) & (
+        left["text_hash"] == right["other_hash"])
+    return left.join(right, match).drop("other_id", "other_hash")
+
+
 def disclosing(docs: DataFrame, found: DataFrame, support: int = SUPPORT,
-               generalise: float = GENERALISE, reach: int = REACH) -> DataFrame:
-    """Spans of terms that give an entity away: doc_id, text_hash, start, end, disclosure.
-
-    Counts cover all documents. Pairs are few (2 * ``reach`` code points a
-    mention) and combine before each shuffle. A term is in no fewer documents
-    than hold it beside some mention, which bounds its disclosure from above:
-    pairs that fall short even so are out, and n_t is counted over the corpus
-    for the terms of the others, after an equality join.
+               generalise: float = GENERALISE) -> DataFrame:
+    """Spans of terms that give an entity away: doc_id, text_hash and ``told``, an array of
+    start, end and disclosure.
+
+    Counts cover all documents and whole texts. An entity in fewer documents
+    than ``support`` has no pair, so terms are taken only of documents that
+    hold another. Pairs combine before the shuffle. A term is in no fewer
+    documents than these with it, which bounds its disclosure from above: pairs
+    that fall short even so are out, and n_t is counted over the corpus for the
+    terms of the others, after an equality join.
     """
-    mentions = settle(
-        found.where(F.size("spans") > 0).select(
-            *_KEYS, F.explode(F.transform("spans", lambda s: F.struct(
-                F.concat(s["kind"], F.lit(":"), s["value"]).alias("entity"),
-                _beside(F.col("text"), F.col("spans"), s, reach).alias("terms")))).alias("m"))
-        .select(*_KEYS, "m.entity", F.explode_outer("m.terms").alias("t"))
-        .select(*_KEYS, "entity", F.col("t.value").alias("term"), F.col("t.start").alias("start"),
-                F.col("t.end").alias("end")), "mentions")
+    with_spans = found.where(F.size("spans") > 0)
+    mentions = settle(with_spans.select(*_KEYS, F.explode(F.transform(
+        "spans", lambda s: F.concat(s["kind"], F.lit(":"), s["value"]))).alias("entity")).distinct(),
+        "mentions")
     total = docs.count()
 
     def disclosure(n_t: str) -> Column:
         return (F.log(F.col("n_et") * total / (F.col("n_e") * F.col(n_t)))
                 / F.nullif(F.log(F.lit(total) / F.col("n_e")), F.lit(0.0)))
 
-    entities = mentions.select(*_KEYS, "entity").distinct().groupBy("entity").agg(
-        F.count("*").alias("n_e"))
-    with_term = mentions.where("term IS NOT NULL")
-    beside = with_term.select(*_KEYS, "term").distinct().groupBy("term").agg(
-        F.count("*").alias("n_beside"))
+    entities = settle(mentions.groupBy("entity").agg(F.count("*").alias("n_e")).where(
+        F.col("n_e") >= support), "entities")
+    holders = settle(mentions.join(entities, "entity").groupBy(*_KEYS).agg(
+        F.collect_list("entity").alias("entities")), "holders")
+    rows = settle(_same_text(with_spans.select(*_KEYS, "text", "spans"), holders)
+                  .dropDuplicates(_KEYS).select(
+        *_KEYS, "entities", _blanked(F.col("text"), F.col("spans")).alias("bare"))
+        .withColumn("terms", F.filter(F.array_distinct(F.split(
+            F.lower("bare"), r"[^\p{L}\p{M}]+")), lambda t: F.length(t) >= TERM_LETTERS)), "rows")
+    beside = rows.select(F.explode("terms").alias("term")).groupBy("term").agg(
+        F.count("*").alias("n_beside")).where(F.col("n_beside") >= support)
     pairs = settle(
-        with_term.select(*_KEYS, "entity", "term").distinct()
+        rows.select(F.explode("entities").alias("entity"), "terms")
+        .select("entity", F.explode("terms").alias("term"))
         .groupBy("entity", "term").agg(F.count("*").alias("n_et"))
         .where(F.col("n_et") >= support).join(entities, "entity").join(beside, "term")
         .where(disclosure("n_beside") >= generalise), "pairs")
@@ -173,24 +182,32 @@ def disclosing(docs: DataFrame, found: DataFrame, support: int = SUPPORT,
         wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
     telling = settle(
         pairs.join(terms, "term").withColumn("disclosure", disclosure("n_t")).where(
-            F.col("disclosure") >= generalise).select("entity", "term", "disclosure"),
-        "disclosing")
-    return mentions.join(telling, ["entity", "term"]).groupBy(*_KEYS, "start", "end").agg(
-        F.max("disclosure").alias("disclosure"))
-
-
-def added_spans(docs: DataFrame, support: int, generalise: float, remove: float,
-                reach: int) -> tuple[DataFrame, DataFrame]:
+            F.col("disclosure") >= generalise).groupBy("entity").agg(
+            F.collect_list(F.struct("term", "disclosure")).alias("telling")), "disclosing")
+    told = rows.select(*_KEYS, F.explode("entities").alias("entity")).join(
+        telling, "entity").groupBy(*_KEYS).agg(
+        F.flatten(F.collect_list("telling")).alias("telling"))
+    value = lambda term: F.array_max(F.transform(F.filter(
+        "telling", lambda t: t["term"] == term), lambda t: t["disclosure"]))
+    hits = matches(F.col("bare"), _TERM, "term", value=F.lower, valid=lambda m: F.array_contains(
+        F.col("telling")["term"], F.lower(m)))
+    return _same_text(rows.select(*_KEYS, "bare"), told).select(*_KEYS, F.transform(
+        hits, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
+                                 value(s["value"]).alias("disclosure"))).alias("told")).where(
+        F.size("told") > 0)
+
+
+def added_spans(docs: DataFrame, support: int, generalise: float, remove: float) -> tuple[DataFrame, DataFrame]:
     """Base spans of every row (doc_id, text_hash, spans), and of rows with a
     telling term its spans (extra_id, extra_hash, added); both written."""
     found = settle(find(docs).select(*_KEYS, "spans", F.when(
         F.size("spans") > 0, F.col("text")).alias("text")), "spans")
-    extra = settle(
-        disclosing(docs, found, support, generalise, reach)
-        .groupBy(F.col("doc_id").alias("extra_id"), F.col("text_hash").alias("extra_hash"))
-        .agg(F.array_sort(F.collect_list(F.struct(
-            F.when(F.col("disclosure") >= remove, "removed").otherwise("term").alias("kind"),
-            "start", "end", F.lit("").alias("value")))).alias("added")), "added")
+    extra = settle(disclosing(docs, found, support, generalise).select(
+        F.col("doc_id").alias("extra_id"), F.col("text_hash").alias("extra_hash"),
+        F.array_sort(F.transform("told", lambda t: F.struct(
+            F.when(t["disclosure"] >= remove, "removed").otherwise("term").alias("kind"),
+            t["start"].alias("start"), t["end"].alias("end"), F.lit("").alias("value"))))
+        .alias("added")), "added")
     return found.select(*_KEYS, "spans"), extra
 
 
@@ -203,7 +220,7 @@ def _with_added(rows: DataFrame, extra: DataFrame) -> DataFrame:
 
 
 def spans(docs: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE,
-          remove: float = REMOVE, reach: int = REACH) -> DataFrame:
+          remove: float = REMOVE) -> DataFrame:
     """doc_id, text_hash and ``spans`` (base, then added) of every row.
 
     Added spans have kind "term" (generalised) or "removed". A null text is
@@ -211,7 +228,7 @@ def spans(docs: DataFrame, support: int = SUPPORT, generalise: float = GENERALIS
     get equal spans; other columns are ignored. Rows with a null doc_id are
     told apart by their text.
     """
-    found, extra = added_spans(docs, support, generalise, remove, reach)
+    found, extra = added_spans(docs, support, generalise, remove)
     return _with_added(found, extra).select(*_KEYS, "spans")
 
 
@@ -235,13 +252,13 @@ def masked(text: Column, all_spans: Column) -> Column:
 
 
 def sanitise(docs: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE,
-             remove: float = REMOVE, reach: int = REACH) -> DataFrame:
+             remove: float = REMOVE) -> DataFrame:
     """The documents with all spans masked; other columns stay, a null text stays null.
 
     Base spans are found again beside the text, so that only the few rows with
     telling terms come by a join, and texts stay where they are.
     """
-    _, extra = added_spans(docs, support, generalise, remove, reach)
+    _, extra = added_spans(docs, support, generalise, remove)
     rows = docs.select(F.struct("*").alias("row"), "doc_id", "text",
                        text_key("text").alias("text_hash"),
                        base_spans(empty_as(F.col("text"))).alias("spans"))
