@@ -143,3 +143,17 @@ def test_standard_notices():
     scan = licences.Matcher().scan
     for name, text in licences.TEMPLATES:
         assert set(scan(f"{PROSE} {text} {PROSE}")) == {name}
+
+
+@pytest.mark.parametrize("deep", ["<font>" * 3000, "<div>" * 3000, "<table><tr><td>" * 700])
+def test_deep_pages_keep_their_rules(deep):
+    page = (deep + "a<script>bad()</script><span style='display:none'>bad<b>bad</b></span><p>b<p>c"
+            "<ul><li>d<li>e</ul><table><tr><td>f<td>g</table><style>bad</style>h")
+    words = html_text.visible_text(page).split()
+    assert [w for w in words if w != "-"] == list("abcdefgh")
+    assert html_text.visible_text("<div hidden>" + deep + "</b>x") == ""
+
+
+def test_nesting_takes_linear_time():
+    assert html_text.visible_text("<p>" + "<table><td>" + "<div><b>" * 100_000 + "x") .strip() == "x"
+    assert len(html_text.visible_text("<blockquote>x" * 3000).split()) == 3000

@@ -9,6 +9,7 @@ table stand in aligned columns.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -38,8 +39,9 @@ CLOSES = {
 SCOPES = frozenset(("table", "td", "th", "caption"))
 _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(hidden|collapse)", re.I)
 _SPACES = re.compile(r"[ \t\n\f\r]+")
-#: Depth beyond which elements are taken as part of their parent.
+#: Indents and tables nested deeper than this stay, but as plain blocks: they no longer move text in.
 DEEPEST = 512
+FLAT = "flat"
 
 
 class Flow:
@@ -79,9 +81,9 @@ class Flow:
             if self.lines:
                 self.lines += [""] * self.gap
             self.gap = 0
-            lead = "".join(self.indent)
+            lead = "".join(self.indent[:DEEPEST])
             if self.marker is not None:
-                lead = "".join(self.indent[:-1]) + self.marker
+                lead = "".join(self.indent[:min(len(self.indent) - 1, DEEPEST)]) + self.marker
                 self.marker = None
             self.lines.append((lead + text).rstrip())
 
@@ -125,9 +127,11 @@ class Page(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, bool, object]] = []  # tag, unseen, what its end needs
+        self.places: dict[str, list[int]] = {}  # tag -> where it stands in ``open``
         self.unseen = self.pre = 0
         self.flows = [Flow()]
         self.tables: list[Table] = []
+        self.flat = 0  # open tables beyond the deepest
         self.lists: list[list] = []
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
@@ -140,8 +144,6 @@ class Page(HTMLParser):
             if not self.unseen:
                 self._void(tag, dict(attrs))
             return
-        if len(self.open) >= DEEPEST:
-            return
         given = dict(attrs)
         hides = (tag in UNSEEN or "hidden" in given
                  or bool(_HIDING.search(given.get("style") or "")))
@@ -149,6 +151,7 @@ class Page(HTMLParser):
             self._close_through({"head"}, ())
         self.unseen += hides
         state = None if self.unseen else self._begin(tag, given)
+        self.places.setdefault(tag, []).append(len(self.open))
         self.open.append((tag, hides, state))
 
     def _void(self, tag: str, given: dict) -> None:
@@ -173,15 +176,21 @@ class Page(HTMLParser):
             kind = self.lists[-1] if self.lists else ["ul", 1]
             marker = f"{kind[1]}. " if kind[0] == "ol" else "- "
             kind[1] += 1
-            flow.indent.append(" " * len(marker))
+            flow.indent.append(" " * len(marker) if len(flow.indent) < DEEPEST else "")
             flow.marker = marker
         elif tag in ("blockquote", "dd"):
-            flow.indent.append("  ")
+            flow.indent.append("  " if len(flow.indent) < DEEPEST else "")
         elif tag == "pre":
             self.pre += 1
+        elif tag == "table" and len(self.tables) >= DEEPEST:
+            self.flat += 1
+            return FLAT
+        elif tag in ("td", "th") and self.flat:
+            flow.block(0)
+            return FLAT
         elif tag == "table":
             self.tables.append(Table())
-        elif tag == "tr" and self.tables:
+        elif tag == "tr" and self.tables and not self.flat:
             self.tables[-1].rows.append([])
         elif tag in ("td", "th") and self.tables:
             table = self.tables[-1]
@@ -196,6 +205,10 @@ class Page(HTMLParser):
             state.rows[-1].append(self.flows.pop().done())
             return
         flow = self.flows[-1]
+        if state is FLAT:
+            self.flat -= tag == "table"
+            flow.block(MARGIN.get(tag, 0))
+            return
         if tag in BLOCKS:
             flow.block(0 if tag in ("ul", "ol") and len(self.lists) > 1 else MARGIN.get(tag, 0))
         if tag in ("ul", "ol", "menu"):
@@ -213,31 +226,34 @@ class Page(HTMLParser):
 
     def _close(self) -> None:
         tag, hides, state = self.open.pop()
+        self.places[tag].pop()
         if state is not None:
             self._finish(tag, state)
         self.unseen -= hides
 
     def _close_through(self, tags, bounds) -> None:
         """Close up to the outermost of ``tags`` that no bound shields."""
-        last = None
-        for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] in bounds:
-                break
-            if self.open[at][0] in tags:
-                last = at
+        open_tags = [self.places[tag] for tag in tags if self.places.get(tag)]
+        if not open_tags:
+            return
+        bound = self._innermost(bounds)
+        last = min((places[at] for places in open_tags
+                    if (at := bisect_right(places, bound)) < len(places)), default=None)
         if last is not None:
             while len(self.open) > last:
                 self._close()
 
+    def _innermost(self, tags) -> int:
+        """Where the last open one of ``tags`` stands; -1 if there is none."""
+        return max((self.places[tag][-1] for tag in tags if self.places.get(tag)), default=-1)
+
     def handle_endtag(self, tag: str) -> None:
-        for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] == tag:
-                while len(self.open) > at:
-                    self._close()
-                return
-            if self.open[at][0] in SCOPES and tag not in ("table", "tr", "tbody", "thead", "tfoot",
-                                                          "body", "html"):
-                return
+        at = self._innermost((tag,))
+        if at < 0 or self._innermost(SCOPES) > at and tag not in (
+                "table", "tr", "tbody", "thead", "tfoot", "body", "html"):
+            return
+        while len(self.open) > at:
+            self._close()
 
     def handle_data(self, data: str) -> None:
         if self.unseen:
