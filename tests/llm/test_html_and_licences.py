@@ -157,3 +157,21 @@ def test_deep_pages_keep_their_rules(deep):
 def test_nesting_takes_linear_time():
     assert html_text.visible_text("<p>" + "<table><td>" + "<div><b>" * 100_000 + "x") .strip() == "x"
     assert len(html_text.visible_text("<blockquote>x" * 3000).split()) == 3000
+
+
+@pytest.mark.parametrize("html, text", [
+    ("so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math>.", "so x=2."),
+    ("a<svg><title>t</title><g>no<text>Jan</text><text>F<tspan>eb</tspan></text></g><defs><text>no"
+     "</text></defs></svg>b", "a Jan Feb b"),
+    ("<svg><path d='M0'><p>a</p>b", "a\n\nb"), ("<text>a</text>b", "ab"),
+    ("<svg><text>a</svg>b<svg>no</svg>", "a b"),
+    ("<table><tr><th colspan=2>Name<th>Age<tr><td>Ann<td>B<td>3</table>", "Name    Age\nAnn  B  3"),
+    ("<table><tr><td rowspan=2>a<td>b<td>c<tr><td>d<td>e</table>", "a  b  c\n   d  e"),
+    ("<table><tr><td rowspan=0>a<td>b<tr><td>c<tr><td>d</table>", "a  b\n   c\n   d"),
+    ("<table><tr><td colspan=3>long heading<tr><td>a<td>b<td>c</table>", "long heading\na  b  c"),
+    ("<table><tr><td colspan=2 rowspan=2>a<td>b<tr><td>c</table>", "a  b\n   c"),
+    ("<table><tr><td colspan=x rowspan=-1>a<td colspan=0>b<tr><td>c<td>d</table>", "a  b\nc  d"),
+    ("<table><tr><td colspan=1000>a<td>b</table>", "a  b"),
+])
+def test_formulas_drawings_and_spans(html, text):
+    assert html_text.visible_text(html) == text

@@ -9,7 +9,7 @@ table stand in aligned columns.
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -21,7 +21,20 @@ from pyspark.sql.types import StringType, StructField, StructType
 VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
                   "param", "source", "track", "wbr"))
 UNSEEN = frozenset(("head", "title", "script", "style", "template", "noscript", "iframe", "object",
-                    "svg", "math", "audio", "video", "canvas", "datalist", "noframes"))
+                    "audio", "video", "canvas", "datalist", "noframes", "annotation",
+                    "annotation-xml"))
+#: Of drawings only these show text, and these, which stand in drawings alone, never do.
+SVG_TEXT = frozenset(("text", "foreignobject"))
+SVG_UNSEEN = frozenset(("defs", "desc", "metadata", "symbol", "clippath", "mask", "pattern", "marker"))
+#: These end a drawing or formula that was left open, unless they stand in its text.
+BREAKS_OUT = frozenset((
+    "b", "big", "blockquote", "body", "br", "center", "code", "dd", "div", "dl", "dt", "em",
+    "embed", "h1", "h2", "h3", "h4", "h5", "h6", "head", "hr", "i", "img", "li", "menu", "nobr",
+    "ol", "p", "pre", "ruby", "s", "small", "span", "strong", "strike", "sub", "sup", "table", "tt",
+    "u", "ul", "var"))
+FOREIGN = frozenset(("svg", "math"))
+FOREIGN_TEXT = frozenset(("foreignobject", "desc", "title", "mi", "mo", "mn", "ms", "mtext",
+                          "annotation-xml"))
 MARGIN = {tag: 1 for tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "dl", "pre",
                              "blockquote", "table", "figure", "hr", "fieldset")}
 BLOCKS = frozenset((*MARGIN, "html", "body", "div", "article", "section", "nav", "header", "footer",
@@ -103,21 +116,64 @@ class Flow:
         return self.lines
 
 
+def _span(given: dict, name: str, most: int) -> int | None:
+    """A span as HTML reads it: 1 if it is no number; None for rows down to the last."""
+    value = (given.get(name) or "").strip()
+    number = int(value[:9]) if value.isascii() and value.isdigit() else 1
+    if not number:
+        return None if name == "rowspan" else 1
+    return min(number, most)
+
+
 class Table:
     def __init__(self):
-        self.rows: list[list[list[str]]] = []
+        self.rows: list[list[tuple]] = []  # cells: lines, columns, rows
+
+    def placed(self) -> list[list[tuple]]:
+        """Rows of (column, columns, lines) on the grid that spans make."""
+        busy: dict[int, int] = {}  # column -> first row in which it is free again
+        out = []
+        for at, row in enumerate(self.rows):
+            column, here = 0, []
+            for lines, columns, down in row:
+                while busy.get(column, 0) > at:
+                    column += 1
+                here.append((column, columns, lines))
+                if down != 1:
+                    until = len(self.rows) if down is None else at + down
+                    for c in range(column, column + columns):
+                        busy[c] = max(until, busy.get(c, 0))
+                column += columns
+            out.append(here)
+        return out
 
     def lines(self) -> list[str]:
-        """Rows with columns as wide as their widest cell, two spaces apart."""
-        rows = [row for row in self.rows if row]
-        widths = [max((len(line) for row in rows if at < len(row) for line in row[at]), default=0)
-                  for at in range(max(map(len, rows), default=0))]
+        """Rows with columns as wide as their widest cell, two spaces apart.
+
+        Columns in which no cell begins take no room. A cell over several
+        columns widens the last one if it needs more than they have.
+        """
+        placed = self.placed()
+        starts = sorted({column for row in placed for column, _, _ in row})
+        cells = [[(bisect_left(starts, column), bisect_left(starts, column + columns), lines)
+                  for column, columns, lines in row] for row in placed if row]
+        widths = [0] * len(starts)
+        for first, end, lines in sorted((c for row in cells for c in row),
+                                        key=lambda c: (c[1] - c[0], c[0])):
+            wide = max(map(len, lines), default=0)
+            have = widths[first] if end == first + 1 else sum(widths[first:end]) + 2 * (end - first - 1)
+            widths[end - 1] += max(0, wide - have)
+        offsets = [0]
+        for width in widths:
+            offsets.append(offsets[-1] + width + 2)
         out = []
-        for row in rows:
-            for n in range(max(1, max(map(len, row)))):
-                cells = [(cell[n] if n < len(cell) else "").ljust(width)
-                         for cell, width in zip(row, widths)]
-                out.append("  ".join(cells).rstrip())
+        for row in cells:
+            for n in range(max(1, max(len(lines) for _, _, lines in row))):
+                text = ""
+                for first, _, lines in row:
+                    if n < len(lines):
+                        text = text.ljust(offsets[first]) + lines[n]
+                out.append(text.rstrip())
         return out
 
 
@@ -138,6 +194,8 @@ class Page(HTMLParser):
         closes, bounds = CLOSES.get(tag, ((), ()))
         if closes:
             self._close_through(closes, bounds)
+        if tag in BREAKS_OUT:
+            self._close_through(FOREIGN, FOREIGN_TEXT)
         if tag in BLOCKS and tag not in ("html", "body"):
             self._close_through({"p"}, SCOPES | {"button"})
         if tag in VOID:
@@ -145,7 +203,7 @@ class Page(HTMLParser):
                 self._void(tag, dict(attrs))
             return
         given = dict(attrs)
-        hides = (tag in UNSEEN or "hidden" in given
+        hides = (tag in UNSEEN or (tag in SVG_UNSEEN and bool(self.places.get("svg"))) or "hidden" in given
                  or bool(_HIDING.search(given.get("style") or "")))
         if tag == "body":
             self._close_through({"head"}, ())
@@ -197,12 +255,15 @@ class Page(HTMLParser):
             if not table.rows:
                 table.rows.append([])
             self.flows.append(Flow())
-            return table
+            return table, _span(given, "colspan", 1000), _span(given, "rowspan", 65534)
+        elif tag in ("svg", "text"):
+            self._apart(tag)
         return flow
 
     def _finish(self, tag: str, state: object) -> None:
-        if tag in ("td", "th") and isinstance(state, Table):
-            state.rows[-1].append(self.flows.pop().done())
+        if isinstance(state, tuple):
+            table, columns, rows = state
+            table.rows[-1].append((self.flows.pop().done(), columns, rows))
             return
         flow = self.flows[-1]
         if state is FLAT:
@@ -220,10 +281,17 @@ class Page(HTMLParser):
             flow.indent.pop()
         elif tag == "pre":
             self.pre -= 1
+        elif tag in ("svg", "text"):
+            self._apart(tag)
         elif tag == "table":
             flow.put(self.tables.pop().lines())
             flow.block(1)
 
+    def _apart(self, tag: str) -> None:
+        """Texts of a drawing stand at places of their own."""
+        if tag == "svg" or self.places.get("svg"):
+            self.flows[-1].words(" ")
+
     def _close(self) -> None:
         tag, hides, state = self.open.pop()
         self.places[tag].pop()
@@ -256,7 +324,7 @@ class Page(HTMLParser):
             self._close()
 
     def handle_data(self, data: str) -> None:
-        if self.unseen:
+        if self.unseen or self._innermost(("svg",)) > self._innermost(SVG_TEXT):
             return
         if self.open and self.open[-1][0] in ("table", "tr", "tbody", "thead", "tfoot") \
                 and not data.strip():
