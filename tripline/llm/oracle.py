@@ -75,4 +75,77 @@ SELECT doc_id, n_words, word_chars, n_symbols, (n - n_once)::bigint AS n_dup_lin
 FROM judged
 """
 
-ORACLE = {"op8_decontamination": OP8, "op9_line_rules": OP9}
+_CRC32 = """xor(list_reduce([4294967295::bigint] || flatten(list_transform(
+  string_split(conv_id::varchar, ''), lambda ch: [ascii(ch)::bigint, -1, -1, -1, -1, -1, -1, -1, -1])),
+  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END),
+  4294967295)"""
+
+OP12 = rf"""
+WITH own AS (
+  SELECT conv_id, list(struct_pack(role := coalesce(role, ''), said := coalesce(text, ''))
+                       ORDER BY turn NULLS FIRST) AS seq
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+headed AS (SELECT conv_id, seq, conv_id - conv_id % 20 AS head, {_CRC32} % 4 AS h FROM own),
+whole AS (
+  SELECT headed.conv_id, list_concat(list_slice(coalesce(own.seq, []), 1, h),
+                                     list_slice(headed.seq, h + 1, len(headed.seq))) AS seq
+  FROM headed LEFT JOIN own ON own.conv_id = head),
+starts AS (SELECT conv_id, d, list_slice(seq, 1, d) AS node, len(seq) = d AS ended
+           FROM (SELECT conv_id, seq, unnest(range(0, len(seq) + 1)) AS d FROM whole)),
+nodes AS (
+  SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(conv_id::varchar, ',' ORDER BY conv_id) FILTER (ended), '') AS ends
+  FROM starts GROUP BY node, d),
+kids AS (SELECT list_slice(node, 1, d - 1) AS node, d - 1 AS d, count(*) AS n_children
+         FROM nodes WHERE d > 0 GROUP BY ALL),
+valued AS (
+  SELECT nodes.*, coalesce(n_children, 0) AS n_children, CASE WHEN nodes.d = 0 THEN 0 ELSE
+    (n_convs - 1) * len({_SPLIT.format('nodes.node[-1].said')}) END AS saved
+  FROM nodes LEFT JOIN kids ON kids.d = nodes.d AND kids.node = nodes.node),
+above AS (
+  SELECT list_slice(node, 1, up) AS node, up, sum((n_children = 0)::bigint) AS n_leaves,
+         sum(saved) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, d + 1)) AS up FROM valued) GROUP BY ALL)
+SELECT v.conv_id, v.d::bigint AS depth, parent.conv_id AS parent_conv_id, v.n_convs::bigint AS n_convs,
+       v.n_children::bigint AS n_children, n_leaves::bigint AS n_leaves,
+       saved_tokens::bigint AS saved_tokens, sha256(v.ends) AS ends_sha256
+FROM valued v JOIN above ON above.up = v.d AND above.node = v.node
+LEFT JOIN nodes parent ON parent.d = v.d - 1 AND parent.node = list_slice(v.node, 1, v.d - 1)
+"""
+
+OP13 = rf"""
+WITH docs AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang,
+                     coalesce(source, '') AS source, coalesce(text, '') AS t FROM documents),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+terms AS (SELECT rid, lang, source, unnest(regexp_extract_all(
+            translate(t, '{UPPER}', '{UPPER.lower()}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+          FROM docs),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM terms GROUP BY ALL
+         HAVING count(DISTINCT rid) >= 10),
+langs AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_sum FROM kept GROUP BY lang),
+counted AS (SELECT lang, source, term, count(*) AS n FROM terms GROUP BY ALL),
+grid AS (SELECT lang, source, term, lang_n, coalesce(n, 0) AS n
+         FROM groups JOIN kept USING (lang) LEFT JOIN counted USING (lang, source, term)),
+shares AS (
+  SELECT lang, source, term, n, 1 + (1000000000::hugeint * (n + 2))
+           // (sum(n) OVER (PARTITION BY lang, source) + 2 * v) AS p,
+         1 + (1000000000::hugeint * (lang_n + 2)) // (lang_sum + 2 * v) AS q
+  FROM grid JOIN langs USING (lang)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL),
+rows AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)
+             AS r FROM rows)
+SELECT lang, source, part, item, value::bigint AS value, r::integer AS rank
+FROM ranked WHERE part = 'pair' OR r <= 10
+"""
+
+ORACLE = {"op8_decontamination": OP8, "op9_line_rules": OP9, "op12_prefix_trie": OP12,
+          "op13_divergence": OP13}

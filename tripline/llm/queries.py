@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripline.llm import (
-    decontaminate, html_text, licences, line_rules, packing, pii, quality, simhash, token_files,
-    toxicity,
+    decontaminate, divergence, html_text, licences, line_rules, mixing, packing, pii, prefix_trie,
+    quality, simhash, token_files, toxicity,
 )
 from tripline.llm.common import table
 from tripline.llm.oracle import ORACLE  # noqa: F401
@@ -105,3 +105,19 @@ def op9_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
+@query
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
