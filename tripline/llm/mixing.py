@@ -119,7 +119,8 @@ def _units(docs: DataFrame, seed: int) -> DataFrame:
 def _shards(units: DataFrame, block: int, repeats: int) -> DataFrame:
     """name, bits, shard, words and the blocks that it can give at most."""
     bits = F.greatest(F.lit(0), F.ceil(F.log2(F.count("*") / F.lit(SHARD)))).cast("int")
-    by_source = units.groupBy("name").agg(bits.alias("bits"))
+    # written, so that its size is known and rows of a hot source need not meet for the join
+    by_source = settle(units.groupBy("name").agg(bits.alias("bits")), "bits")
     return units.join(by_source, "name").groupBy("name", "bits", _leaf().alias("shard")).agg(
         F.sum(F.col("copies") * F.col("size")).alias("words")).withColumn(
         "most", F.expr(f"words * {repeats} div {block}"))
