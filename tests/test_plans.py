@@ -164,6 +164,15 @@ def test_centroids_shuffle_vertices_once(spark):
     assert len(re.findall(r"\d+\) Exchange", text)) == 3
 
 
+def test_edges_shuffle_vertices_twice(spark):
+    """By range before they are written, then by ring and share, whatever the gaps."""
+    rings = spark.createDataFrame([(1, 1, 1, s, 0.0, 0.0) for s in (0, 1, 10**12, -10**15)], RINGS)
+    text = plan(polygons.ring_edges(rings))
+    assert "Union" not in text
+    assert text.count("hashpartitioning(LocationID") <= 3  # vertices, their heads, heads by ring
+    assert len(re.findall(r"\) Window", text)) == 2
+
+
 def test_a_third_of_vertices_in_one_ring_spreads(spark):
     rings = spark.range(300_000).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 1 ELSE CAST(id % 997 + 2 AS int) END AS LocationID",

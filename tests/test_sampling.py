@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripline.functions.keys import content_key
+from tripline.operators import sampling
 from tripline.operators.sampling import first_by_hash, split, train_test_split
+from tripline.sources.session import settle
 
 
 def ids(df):
@@ -79,3 +81,35 @@ def test_content_key_tells_nulls_apart(spark):
     df = spark.createDataFrame([("a", None), (None, "a"), ("a", None)], "x string, y string")
     keys = [r.k for r in df.select(content_key("x", "y").alias("k")).collect()]
     assert keys[0] == keys[2] != keys[1]
+
+
+@pytest.fixture
+def written(monkeypatch):
+    """The candidate tables that a sample writes."""
+    seen = []
+
+    def record(df, name, *rest):
+        seen.append(settle(df, name, *rest))
+        return seen[-1]
+
+    monkeypatch.setattr(sampling, "settle", record)
+    return seen
+
+
+def test_input_is_read_once(spark, written, tmp_path):
+    """All but one reading is of the candidates, a few times n rows."""
+    path = str(tmp_path / "rows")
+    spark.range(0, 200_000, 1, 8).write.parquet(path)
+    df = spark.read.parquet(path)
+    sample = first_by_hash(df, "id", 1000, "s")
+    assert ids(sample) == lowest_hashes(1000, 200_000, "s")
+    assert len(written) == 1
+    assert 1000 <= written[0].count() < 20 * 1000
+    assert not any(path in name for name in sample.inputFiles())
+
+
+def test_uneven_tasks_take_a_second_reading(spark, written):
+    """One task has all rows: the bound it comes to is too low, the next is not."""
+    df = spark.range(0, 100_000, 1, 1).union(spark.range(0, 0, 1, 31))
+    assert ids(first_by_hash(df, "id", 2000, "u")) == lowest_hashes(2000, 100_000, "u")
+    assert len(written) == 2 and written[1].count() < 3 * 2000

@@ -1,0 +1,84 @@
+from __future__ import annotations
+
+import math
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from tripline.functions.geo import NY_LONG_ISLAND_FEET, LambertConic, conic_to_lonlat
+from tripline.functions.wkt import lambert_conic, parse
+from tripline.plans.adapters import PROJECTIONS
+from tripline.sources import files
+
+
+def forward(s: LambertConic, lon: float, lat: float) -> tuple[float, float]:
+    rho = s.scale * s.t(lat) ** s.cone
+    theta = s.cone * math.radians(lon - s.central_meridian)
+    return (s.false_easting + rho * math.sin(theta),
+            s.false_northing + s.origin_radius - rho * math.cos(theta))
+
+
+def test_zone_file_gives_the_fixed_system(spark, tmp_path):
+    assert lambert_conic(PROJECTIONS["two"]) == NY_LONG_ISLAND_FEET
+    path = tmp_path / "zones.prj"
+    path.write_text(PROJECTIONS["two"] + "\n")
+    assert files.read_projection(spark, str(path)) == NY_LONG_ISLAND_FEET
+    with pytest.raises(files.MissingArtefact):
+        files.read_projection(spark, str(tmp_path / "none.prj"))
+
+
+def test_single_parallel_in_metres():
+    s = lambert_conic(PROJECTIONS["one"])
+    assert (s.parallel_1, s.parallel_2, s.origin_latitude, s.unit_m) == (18, 18, 18, 1)
+    assert s.cone == pytest.approx(math.sin(math.radians(18)))
+    assert forward(s, -77, 18) == pytest.approx((750000, 650000))
+    # published check of the one-parallel formulas: 17N55'55.80", 76W56'37.26" in the same
+    # grid on Clarke 1866 with other false origins gives E 255966.58, N 142493.51
+    clarke = LambertConic(6378206.4, 294.9786982, 1.0, 250000, 150000, -77, 18, 18, 18)
+    got = forward(clarke, -(76 + 56 / 60 + 37.26 / 3600), 17 + 55 / 60 + 55.80 / 3600)
+    assert got == pytest.approx((255966.58, 142493.51), abs=0.01)
+
+
+@pytest.mark.parametrize("name", sorted(PROJECTIONS))
+def test_inverse_of_systems_from_text(spark, name):
+    s = lambert_conic(PROJECTIONS[name])
+    points = [(s.central_meridian + dx / 10, s.origin_latitude + dy / 10)
+              for dx in range(-9, 10, 3) for dy in range(-5, 12, 4)]
+    df = spark.createDataFrame([(*p, *forward(s, *p)) for p in points],
+                               "lon double, lat double, x double, y double")
+    lon, lat = conic_to_lonlat(F.col("x"), F.col("y"), s)
+    worst = df.select(F.max(F.abs(lon - F.col("lon"))), F.max(F.abs(lat - F.col("lat")))).first()
+    assert max(worst) < 1e-10
+
+
+def test_units_meridian_and_scale():
+    text = PROJECTIONS["two"]
+    grads = text.replace('UNIT["Degree",0.0174532925199433]', f'UNIT["Grad",{math.pi / 200!r}]')
+    assert lambert_conic(grads).parallel_1 == pytest.approx(41.0333333333333 * 0.9)
+    paris = text.replace('PRIMEM["Greenwich",0.0]', 'PRIMEM["Paris",2.33722917]')
+    assert lambert_conic(paris).central_meridian == pytest.approx(-74 + 2.33722917)
+    scaled = text.replace("]]]", ']]]').replace(
+        'UNIT["US survey foot"', 'PARAMETER["Scale_Factor",0.99],UNIT["US survey foot"')
+    assert lambert_conic(scaled) == replace(NY_LONG_ISLAND_FEET, scale_factor=0.99)
+    assert lambert_conic(scaled).scale == pytest.approx(NY_LONG_ISLAND_FEET.scale * 0.99)
+    sphere = text.replace("298.257222101", "0")
+    assert lambert_conic(sphere).eccentricity == 0.0
+
+
+def test_parsing():
+    assert parse(' A ( "x ""y""", -1.5e3 , B[] ) ') == ("A", ['x "y"', -1500.0, ("B", [])])
+    for broken in ("", "A[", "A]", "[1]", "A[1]B[2]", "A[?]", '"x"'):
+        with pytest.raises(ValueError):
+            parse(broken)
+
+
+@pytest.mark.parametrize("change, message", [
+    (("Lambert_Conformal_Conic", "Transverse_Mercator"), "no Lambert"),
+    (("PROJCS[", "LOCAL_CS["), "no projected system"),
+    (('PARAMETER["Central_Meridian",-74.0],', ""), "central_meridian"),
+    (("SPHEROID", "BALL"), "SPHEROID"),
+])
+def test_what_is_no_conic_is_named(change, message):
+    with pytest.raises(ValueError, match=message):
+        lambert_conic(PROJECTIONS["two"].replace(*change))

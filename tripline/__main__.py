@@ -19,7 +19,7 @@ def land(spark: SparkSession, args: argparse.Namespace) -> None:
                                isolate=args.isolate)
     for month, outcome in state.items():
         print(month, outcome)
-    if any(outcome != "landed" for outcome in state.values()):
+    if any(outcome == months.NO_MONTH or outcome.startswith("failed") for outcome in state.values()):
         raise SystemExit("some months failed, or files could not be placed")
 
 

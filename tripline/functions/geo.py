@@ -29,9 +29,10 @@ def routed_miles(lat1: Column, lon1: Column, lat2: Column, lon2: Column,
 
 @dataclass(frozen=True)
 class LambertConic:
-    """A Lambert conformal conic system with two standard parallels.
+    """A Lambert conformal conic system with two standard parallels, or one given twice.
 
-    Angles are in degrees, lengths in the system's own unit.
+    Angles are in degrees, lengths in the system's own unit. An inverse
+    flattening of 0 is a sphere.
     """
 
     semi_major_m: float
@@ -43,10 +44,11 @@ class LambertConic:
     parallel_1: float
     parallel_2: float
     origin_latitude: float
+    scale_factor: float = 1.0
 
     @property
     def eccentricity(self) -> float:
-        f = 1.0 / self.inverse_flattening
+        f = 1.0 / self.inverse_flattening if self.inverse_flattening else 0.0
         return math.sqrt(2.0 * f - f * f)
 
     def _m(self, degrees: float) -> float:
@@ -61,6 +63,8 @@ class LambertConic:
     @property
     def cone(self) -> float:
         """n, the cone constant."""
+        if self.parallel_1 == self.parallel_2:
+            return math.sin(math.radians(self.parallel_1))
         return (math.log(self._m(self.parallel_1) / self._m(self.parallel_2))
                 / math.log(self.t(self.parallel_1) / self.t(self.parallel_2)))
 
@@ -68,7 +72,7 @@ class LambertConic:
     def scale(self) -> float:
         """a*F, in the system's unit."""
         n = self.cone
-        return (self.semi_major_m / self.unit_m
+        return (self.scale_factor * self.semi_major_m / self.unit_m
                 * self._m(self.parallel_1) / (n * self.t(self.parallel_1) ** n))
 
     @property

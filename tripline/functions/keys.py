@@ -18,18 +18,27 @@ def content_key(*columns: str) -> Column:
                                     for c in columns]))
 
 
-def row_address(*roots: str) -> Column:
-    """File and row position, ``<file hash>#<row>``: tells copies of a row apart.
+def file_id(*roots: str) -> Column:
+    """A hash of the row's file path below the folders ``roots``.
 
-    The path counts from the folders ``roots`` on, so a folder that moves or is
-    mounted elsewhere keeps its ids. It is hashed to keep the id short; equal
-    prefixes compress well.
+    The path counts from there on, so a folder that moves or is mounted elsewhere
+    keeps its ids. It is hashed to keep the id short; equal prefixes compress well.
     """
     path = F.col("_metadata.file_path")
     for root in roots:
         bare = re.sub(r"^[a-z0-9]+:(//[^/]*)?", "", root).strip("/")
         path = F.regexp_replace(path, f"^[a-z0-9]+:/(.*?/)??{re.escape(bare)}/+", "")
-    return F.concat_ws("#", F.hex(F.xxhash64(path)), F.col("_metadata.row_index").cast("string"))
+    return F.hex(F.xxhash64(path))
+
+
+def row_address(*roots: str) -> Column:
+    """File and row position, ``<file id>#<row>``: tells copies of a row apart."""
+    return F.concat_ws("#", file_id(*roots), F.col("_metadata.row_index").cast("string"))
+
+
+def row_file(address: str) -> Column:
+    """The file id in a row's address."""
+    return F.substring_index(address, "#", 1)
 
 
 def key_hash(key: Column | str, seed: str = "") -> Column:

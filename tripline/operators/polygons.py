@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window, WindowSpec
+from pyspark.sql import Window
 
 from tripline.functions.geo import NY_LONG_ISLAND_FEET, LambertConic, conic_to_lonlat
+from tripline.sources.session import settle
 
 RING = ["LocationID", "part_id", "ring_id"]
 # Fixed value: the ring of a part that is its shell; all others are holes.
 SHELL = 1
 BLOCK = 4096
+EDGE_BLOCK = 1 << 14
 
 
 def _levels(vertices: DataFrame, block: int) -> int:
@@ -39,39 +39,32 @@ def _edge(x: Column, y: Column, x1: Column, y1: Column, ox: Column, oy: Column)
     return [cross, (u + u1) * cross, (v + v1) * cross]
 
 
-def ring_edges(vertices: DataFrame, block: int = BLOCK) -> DataFrame:
+def ring_edges(vertices: DataFrame, block: int = EDGE_BLOCK) -> DataFrame:
     """Each vertex with the next one of its ring (``x1``, ``y1``); the last
     connects to the first.
 
-    A window over whole rings would put a huge ring into one task. Here it runs
-    within blocks of ``block`` consecutive ``seq`` values; only the first and
-    the last vertex of a block go on to a round with larger blocks, in which
-    they are neighbours. ``seq`` may have gaps of any size: sparse blocks meet
-    in a later round.
+    A window over whole rings would put a huge ring into one task. Here vertices
+    are sorted by ring and ``seq`` over the cluster and cut into shares of ``block``
+    rows, and the window runs within a ring's part of a share, so a ring may hold
+    any part of all vertices and ``seq`` may have gaps of any size. Behind the
+    last vertex of a part comes the first one of the ring's next part; only these
+    first vertices, a row a part, meet by ring. Two shuffles of vertices in all.
     """
-    none = F.lit(None)
-    rows = vertices.select(*RING, "seq", "x", "y", none.cast("long").alias("__next"),
-                           none.cast("double").alias("x1"), none.cast("double").alias("y1"))
-    found = []
-    for level in range(1, _levels(vertices, block) + 1):
-        size = min(block ** level, 2**62)
-        within = Window.partitionBy(*RING, "__block").orderBy("seq")
-        rows = rows.withColumn("__block", _block_of("seq", size)).withColumns(
-            _ahead(within) | {"__end": F.lag("seq").over(within).isNull()
-                              | F.lead("seq").over(within).isNull()})
-        found.append(rows.filter(~F.col("__end")))
-        rows = rows.filter("__end").drop("__block", "__end")
-    whole = Window.partitionBy(*RING).orderBy("seq")  # two vertices a block, a block a side of 0
-    found.append(rows.withColumns(_ahead(whole)).withColumns({
-        f"{c}1": F.coalesce(f"{c}1", F.first(c).over(whole)) for c in "xy"}))
-    return reduce(DataFrame.union, (f.select(*RING, "seq", "x", "y", "x1", "y1") for f in found))
-
-
-def _ahead(window: WindowSpec) -> dict[str, Column]:
-    """The next vertex, where none is known yet."""
-    fresh = F.col("__next").isNull()
-    return {name: F.when(fresh, F.lead(c).over(window)).otherwise(F.col(name))
-            for name, c in (("x1", "x"), ("y1", "y"), ("__next", "seq"))}
+    order = [*RING, "seq"]
+    spread = vertices.select(*order, "x", "y").repartitionByRange(*order).sortWithinPartitions(
+        *order).withColumn("__part", F.expr(f"monotonically_increasing_id() div {int(block)}L"))
+    dealt = settle(spread, "ring-vertices")
+    share = [*RING, "__part"]
+    within = Window.partitionBy(*share).orderBy("seq")
+    rows = dealt.withColumns({"x1": F.lead("x").over(within), "y1": F.lead("y").over(within),
+                              "__last": F.lead("seq").over(within).isNull()})
+    along = Window.partitionBy(*RING).orderBy("__part")
+    heads = dealt.groupBy(*share).agg(F.min(F.struct("seq", "x", "y")).alias("head")).select(
+        *share, *(F.coalesce(F.lead(f"head.{c}").over(along), F.first(f"head.{c}").over(
+            along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias(f"__{c}")
+            for c in "xy"))
+    return rows.join(heads, share).select(*order, "x", "y", *(
+        F.when(F.col("__last"), F.col(f"__{c}")).otherwise(F.col(f"{c}1")).alias(f"{c}1") for c in "xy"))
 
 
 def _fold(pieces: DataFrame, *group: str) -> DataFrame:

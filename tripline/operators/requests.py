@@ -47,24 +47,34 @@ def check_requests(requests: DataFrame) -> DataFrame:
                              "all_invalid": F.concat_ws(",", *failed)})
 
 
+def checked_valid(checked: DataFrame, key: str) -> DataFrame:
+    """Of checked requests those that pass every check, typed and ready to score."""
+    return checked.filter("first_invalid is null").select(
+        key, *[F.col(f"__{name}").alias(name) for name in FEATURES])
+
+
+def checked_rejects(checked: DataFrame, key: str) -> DataFrame:
+    """Of checked requests those that fail, as received, with the first and all invalid
+    fields; a line that is no JSON object with its text."""
+    text = [MALFORMED] if MALFORMED in checked.columns else []
+    return checked.filter("first_invalid is not null").select(
+        key, *FEATURES, *text, "first_invalid", "all_invalid")
+
+
 def valid_requests(requests: DataFrame, key: str) -> DataFrame:
     """Typed requests that pass every check, ready to score."""
-    return (check_requests(requests).filter("first_invalid is null")
-            .select(key, *[F.col(f"__{name}").alias(name) for name in FEATURES]))
+    return checked_valid(check_requests(requests), key)
 
 
 def rejected_requests(requests: DataFrame, key: str) -> DataFrame:
-    """Failing requests as received, with the first and all invalid fields; a line
-    that is no JSON object with its text."""
-    text = [MALFORMED] if MALFORMED in requests.columns else []
-    return (check_requests(requests).filter("first_invalid is not null")
-            .select(key, *FEATURES, *text, "first_invalid", "all_invalid"))
+    """Failing requests as received, with the first and all invalid fields."""
+    return checked_rejects(check_requests(requests), key)
 
 
-def replies(scored: DataFrame, key: str) -> DataFrame:
-    """Rounded prediction with the request echoed in ``inputs``."""
+def replies(scored: DataFrame, key: str, *more: str) -> DataFrame:
+    """Rounded prediction with the request echoed in ``inputs``, and columns ``more``."""
     return scored.select(key, F.round("prediction", 2).alias("predicted_duration_mins"),
-                         F.struct(*FEATURES).alias("inputs"))
+                         F.struct(*FEATURES).alias("inputs"), *more)
 
 
 def replies_json(scored: DataFrame, key: str) -> DataFrame:

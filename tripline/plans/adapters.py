@@ -151,6 +151,29 @@ def rings_from_events(events: DataFrame) -> DataFrame:
     ).select(*RINGS.fieldNames())
 
 
+# Two public systems as well-known text, the zone polygons' own (two
+# parallels, US feet) and one with a single parallel, in metres.
+PROJECTIONS = {
+    "two": 'PROJCS["NAD_1983_StatePlane_New_York_Long_Island_FIPS_3104_Feet",'
+           'GEOGCS["GCS_North_American_1983",DATUM["D_North_American_1983",'
+           'SPHEROID["GRS_1980",6378137.0,298.257222101]],PRIMEM["Greenwich",0.0],'
+           'UNIT["Degree",0.0174532925199433]],PROJECTION["Lambert_Conformal_Conic"],'
+           'PARAMETER["False_Easting",984250.0],PARAMETER["False_Northing",0.0],'
+           'PARAMETER["Central_Meridian",-74.0],PARAMETER["Standard_Parallel_1",41.0333333333333],'
+           'PARAMETER["Standard_Parallel_2",40.6666666666667],'
+           'PARAMETER["Latitude_Of_Origin",40.1666666666667],'
+           'UNIT["US survey foot",0.304800609601219]]',
+    "one": """PROJCS["JAD2001 / Jamaica Metric Grid",
+    GEOGCS["JAD2001", DATUM["Jamaica_2001", SPHEROID["WGS 84", 6378137, 298.257223563,
+            AUTHORITY["EPSG", "7030"]]],
+        PRIMEM["Greenwich", 0], UNIT["degree", 0.0174532925199433]],
+    PROJECTION["Lambert_Conformal_Conic_1SP"],
+    PARAMETER["latitude_of_origin", 18], PARAMETER["central_meridian", -77],
+    PARAMETER["scale_factor", 1], PARAMETER["false_easting", 750000],
+    PARAMETER["false_northing", 650000], UNIT["metre", 1], AUTHORITY["EPSG", "3448"]]""",
+}
+
+
 def vertices_from_events(events: DataFrame) -> DataFrame:
     """Vertices in projected feet, spread over the zones' extent."""
     return events.selectExpr(

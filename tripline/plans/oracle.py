@@ -159,36 +159,44 @@ SELECT LocationID, round(sx / (3 * nullif(c2, 0)), 6) AS longitude,
 FROM sums"""
 
 
-def _projection() -> str:
+NY_FEET = {"a": 6378137.0, "rf": 298.257222101, "unit": 0.304800609601219, "fe": 984250.0,
+           "fn": 0.0, "lon0": -74.0, "p1": 41.0333333333333, "p2": 40.6666666666667,
+           "p0": 40.1666666666667}
+JAMAICA = {"a": 6378137.0, "rf": 298.257223563, "unit": 1.0, "fe": 750000.0, "fn": 650000.0,
+           "lon0": -77.0, "p1": 18.0, "p2": 18.0, "p0": 18.0}
+
+
+def _projection(system: dict[str, float] = NY_FEET, k: str = "") -> str:
     """Inverse Lambert conformal conic of ``vertices`` into ``lonlat``; constants
-    derived in SQL from the system's parameters, latitude iterated in six steps."""
+    derived in SQL from the system's parameters, latitude iterated in six steps.
+    ``k`` keeps the names of several apart."""
+    s = {name: f"{value!r}::double" for name, value in system.items()}
     ratio = "power((1 - e * sin({p})) / (1 + e * sin({p})), e / 2)"
     t = "tan(pi() / 4 - {p} / 2) / " + ratio
     m = "cos({p}) / sqrt(1 - e * e * sin({p}) * sin({p}))"
+    n = "sin(p1)" if system["p1"] == system["p2"] else "ln(m1 / m2) / ln(t1 / t2)"
     steps = "".join(
         f""",
-s{i + 1} AS (SELECT * REPLACE (
-  pi() / 2 - 2 * atan(tt * {ratio.format(p='phi')}) AS phi) FROM s{i})""" for i in range(6))
-    return f"""c0 AS (
-  SELECT sqrt(2 / 298.257222101::double - 1 / (298.257222101::double * 298.257222101::double)) AS e,
-         6378137.0::double / 0.304800609601219::double AS a,
-         radians(41.0333333333333::double) AS p1, radians(40.6666666666667::double) AS p2,
-         radians(40.1666666666667::double) AS p0),
-c1 AS (
-  SELECT e, a, {m.format(p='p1')} AS m1, {m.format(p='p2')} AS m2,
+s{k}{i + 1} AS (SELECT * REPLACE (
+  pi() / 2 - 2 * atan(tt * {ratio.format(p='phi')}) AS phi) FROM s{k}{i})""" for i in range(6))
+    return f"""c{k}0 AS (
+  SELECT sqrt(2 / {s['rf']} - 1 / ({s['rf']} * {s['rf']})) AS e, {s['a']} / {s['unit']} AS a,
+         radians({s['p1']}) AS p1, radians({s['p2']}) AS p2, radians({s['p0']}) AS p0),
+c{k}1 AS (
+  SELECT e, a, p1, {m.format(p='p1')} AS m1, {m.format(p='p2')} AS m2,
          {t.format(p='p1')} AS t1, {t.format(p='p2')} AS t2, {t.format(p='p0')} AS t0
-  FROM c0),
-c2 AS (SELECT *, ln(m1 / m2) / ln(t1 / t2) AS n FROM c1),
-c3 AS (SELECT *, a * m1 / (n * power(t1, n)) AS af FROM c2),
-c4 AS (SELECT *, af * power(t0, n) AS rho0 FROM c3),
-polar AS (
-  SELECT v.*, x - 984250.0::double AS dx, rho0 - y AS dy, e, n, af FROM vertices v, c4),
-cone AS (
-  SELECT *, degrees(atan2(dx, dy) / n) - 74.0::double AS lon,
+  FROM c{k}0),
+c{k}2 AS (SELECT *, {n} AS n FROM c{k}1),
+c{k}3 AS (SELECT *, a * m1 / (n * power(t1, n)) AS af FROM c{k}2),
+c{k}4 AS (SELECT *, af * power(t0, n) AS rho0 FROM c{k}3),
+polar{k} AS (
+  SELECT v.*, x - {s['fe']} AS dx, rho0 - (y - {s['fn']}) AS dy, e, n, af FROM vertices v, c{k}4),
+cone{k} AS (
+  SELECT *, degrees(atan2(dx, dy) / n) + {s['lon0']} AS lon,
          power(sqrt(dx * dx + dy * dy) / af, 1 / n) AS tt
-  FROM polar),
-s0 AS (SELECT *, pi() / 2 - 2 * atan(tt) AS phi FROM cone){steps},
-lonlat AS (SELECT *, degrees(phi) AS lat FROM s6)"""
+  FROM polar{k}),
+s{k}0 AS (SELECT *, pi() / 2 - 2 * atan(tt) AS phi FROM cone{k}){steps},
+lonlat{k} AS (SELECT *, degrees(phi) AS lat FROM s{k}6)"""
 
 
 EVENT_VERTICES = """vertices AS (
@@ -419,6 +427,47 @@ SELECT LocationID, part_id, ring_id, seq, x, y, x1, y1 FROM edges""",
     "project_vertices": f"""WITH {EVENT_VERTICES}, {_projection()}
 SELECT seq, round(lon, 7) AS longitude, round(lat, 7) AS latitude FROM lonlat""",
     "zone_table": ZONE_TABLE,
+    "projected_by_wkt": f"""WITH {EVENT_VERTICES}, {_projection(NY_FEET, 'a')}, {_projection(JAMAICA, 'b')}
+SELECT seq, 'two' AS system, round(lon, 7) AS longitude, round(lat, 7) AS latitude FROM lonlata
+UNION ALL SELECT seq, 'one', round(lon, 7), round(lat, 7) FROM lonlatb""",
+    "late_file_landing": f"""WITH {MONTH_TRIPS}
+SELECT year, month, count(*) AS trips, count(*) AS ids,
+       count(DISTINCT o_orderkey % 10 < 8) AS landings
+FROM trips GROUP BY year, month""",
+    "mixed_months": f"""WITH {MONTH_TRIPS}, ids AS (
+  SELECT year, month, o_custkey % 265 + 1 AS pu,
+         CASE WHEN (o_orderkey % 265 + 1) % 50 <> 0 THEN o_orderkey % 265 + 1 END AS dropoff
+  FROM trips)
+SELECT year, month, count(*) AS trips, sum(pu)::bigint AS pickup_sum,
+       sum(dropoff)::bigint AS dropoff_sum, count(*) - count(dropoff) AS gaps
+FROM ids GROUP BY year, month""",
+    "stream_corrections": f"""WITH {MONTH_TRIPS}, fixed AS (
+  SELECT * REPLACE (CASE WHEN year >= 2000 THEN trip_distance / 2 ELSE trip_distance END
+                    AS trip_distance) FROM flags),
+checked AS (SELECT *, trip_distance > 0 AND trip_distance < 100 AS near FROM fixed)
+SELECT year, month, count(*) AS trips, count(*) AS ids, round(sum(trip_distance), 3) AS miles,
+       CASE WHEN year >= 2000 THEN '2024-02-05' ELSE '2024-01-05' END AS delivery
+FROM checked WHERE a AND near AND c GROUP BY year, month""",
+    "stream_audit": f"""WITH {MONTH_TRIPS}
+SELECT count(*) AS rows_in, count(*) FILTER (NOT a) AS dropped_duration,
+       count(*) FILTER (a AND NOT b) AS dropped_distance,
+       count(*) FILTER (a AND b AND NOT c) AS dropped_missing,
+       count(*) FILTER (a AND b AND c) AS rows_out, count(*) FILTER (a AND b AND c) AS written
+FROM flags""",
+    "stream_answers": f"""WITH {REQUESTS}
+SELECT trip_id, CASE WHEN first_invalid IS NULL
+                     THEN round(try_cast(trip_distance AS double) + 4, 2) END
+         AS predicted_duration_mins, first_invalid
+FROM checked""",
+    "stream_model_versions": f"""WITH {REQUESTS}
+SELECT trip_id, CASE WHEN first_invalid IS NULL
+                     THEN round(try_cast(trip_distance AS double) + 4 + 2 * (trip_id % 2), 2) END
+         AS predicted_duration_mins, first_invalid,
+       CASE WHEN first_invalid IS NULL THEN 1 + (trip_id % 2)::integer END AS model_version
+FROM checked""",
+    "published_hotspots": f"""WITH {HOT}, {METRICS.removeprefix(CLEAN + ",")}
+SELECT LocationID, zone, trip_count, 2::integer AS version, (SELECT RMSE FROM metrics) AS RMSE
+FROM hot""",
     "month_of_file": """SELECT CAST(year(o_orderdate) AS integer) AS year,
   CAST(month(o_orderdate) AS integer) AS month, count(*) AS trips,
   CAST(0 AS bigint) AS other_month

@@ -21,9 +21,9 @@ from tripline.operators import (
 )
 from tripline.operators import hotspots as spots
 from tripline.plans import adapters
-from tripline.sources import files, months
+from tripline.sources import files, ledger, months, published
 from tripline.sources.schemas import (
-    BANDS, FEATURES, HOTSPOTS, LABEL, METRICS, REQUEST, SAMPLES, TABLES,
+    AUDIT, BANDS, FEATURES, HOTSPOTS, LABEL, METRICS, REQUEST, SAMPLES, TABLES, TRIP_FILES,
 )
 from tripline.sources.session import pin, scratch, settle
 from tripline.streaming import jobs
@@ -283,6 +283,20 @@ def project_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
                             F.round("y", 7).alias("latitude"))
 
 
+@query
+def projected_by_wkt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vertices through two systems read from files: one with two parallels in feet,
+    one with a single parallel in metres."""
+    vertices, rows = adapters.vertices_from_events(_events(spark, sf_dir)), []
+    for name, text in adapters.PROJECTIONS.items():
+        path = scratch(spark, f"prj-{name}")
+        spark.range(1).select(F.lit(text)).write.text(path)
+        rows.append(polygons.project_vertices(vertices, files.read_projection(spark, path)).select(
+            "seq", F.lit(name).alias("system"), F.round("x", 7).alias("longitude"),
+            F.round("y", 7).alias("latitude")))
+    return rows[0].unionByName(rows[1])
+
+
 @query
 def zone_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The zone dimension from projected polygons: reproject, then centroids."""
@@ -294,15 +308,22 @@ def zone_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- files ----------------------------------------------------------------
 
-def _month_files(spark: SparkSession, sf_dir: str) -> str:
-    """Stage the orders as one folder per month, ``trips_YYYY-MM.parquet``."""
-    source = scratch(spark, "months")
-    trips = adapters.trips_from_orders(adapters.table(spark, sf_dir, "orders"))
+def _stage(trips: DataFrame, folder: str, name: str = "trips") -> None:
+    """Write trips as one folder per month, ``<name>_YYYY-MM.parquet``."""
     (trips.withColumn("file", F.format_string(
-        "trips_%04d-%02d.parquet", F.year("tpep_pickup_datetime"),
+        f"{name}_%04d-%02d.parquet", F.year("tpep_pickup_datetime"),
         F.month("tpep_pickup_datetime")))
      # one month may hold most rows: rebalance splits it, and joins small ones
-     .hint("rebalance", "file").write.partitionBy("file").parquet(source))
+     .hint("rebalance", "file").write.mode("append").partitionBy("file").parquet(folder))
+
+
+def _orders(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
+    return adapters.trips_from_orders(adapters.table(spark, sf_dir, "orders").where(where))
+
+
+def _month_files(spark: SparkSession, sf_dir: str) -> str:
+    source = scratch(spark, "months")
+    _stage(_orders(spark, sf_dir), source)
     return source
 
 
@@ -335,6 +356,60 @@ def landed_and_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count("*").alias("trips"), F.count_distinct("trip_id").alias("ids"))
 
 
+@query
+def late_file_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fifth of the trips come in second files of their months, after the first
+    have landed; a third landing finds nothing to do."""
+    source, target = scratch(spark, "months"), scratch(spark, "landed")
+    _stage(_orders(spark, sf_dir, "o_orderkey % 10 < 8"), source)
+    months.land_months(spark, source, target)
+    _stage(_orders(spark, sf_dir, "o_orderkey % 10 >= 8"), source, "late")
+    for _ in range(2):
+        months.land_months(spark, source, target)
+    log = ledger.entries(spark, target).groupBy("year", "month").agg(
+        F.count_distinct("landing").alias("landings"))
+    return months.read_landed(spark, target).groupBy("year", "month").agg(
+        F.count("*").alias("trips"), F.count_distinct("trip_id").alias("ids")).join(
+        log, ["year", "month"])
+
+
+@query
+def mixed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months that store zone ids as int, as long and, having gaps, as double."""
+    source = scratch(spark, "mixed")
+    trips = _orders(spark, sf_dir).withColumn("DOLocationID", F.when(
+        F.col("DOLocationID") % 50 != 0, F.col("DOLocationID")))
+    kind = (F.year("tpep_pickup_datetime") * 12 + F.month("tpep_pickup_datetime")) % 3
+    for number, stored in enumerate(("int", "long", "double")):
+        ids = {c: F.col(c).cast(stored) for c in ("PULocationID", "DOLocationID")}
+        if stored == "double":
+            ids["DOLocationID"] = F.coalesce(ids["DOLocationID"], F.lit(float("nan")))
+        _stage(trips.where(kind == number).withColumns(ids), source)
+    return months.read_months(spark, source).groupBy("year", "month").agg(
+        F.count("*").alias("trips"), F.sum("PULocationID").alias("pickup_sum"),
+        F.sum("DOLocationID").alias("dropoff_sum"),
+        F.count_if(F.col("DOLocationID").isNull()).alias("gaps"))
+
+
+@query
+def published_hotspots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hotspots and metrics published twice, first from a tenth of the trips; a reader
+    finds the second version of both."""
+    out, predicted = scratch(spark, "published"), _predicted(spark, sf_dir)
+    for part in (predicted.where(f"{KEY} % 10 = 0"), predicted):
+        def write(folder: str, part: DataFrame = part) -> None:
+            files.write_records(spots.hotspots(part, adapters.zone_feed(spark), order="record"),
+                                f"{folder}/hotspots")
+            files.write_records(evaluate.metrics_record(evaluate.regression_metrics(part)),
+                                f"{folder}/metrics")
+        published.publish(spark, out, write)
+    number, folder = published.version_of(spark, out)
+    ranked = files.read_records(spark, f"{folder}/hotspots", HOTSPOTS, "the trip job")
+    metrics = files.read_records(spark, f"{folder}/metrics", METRICS, "the trip job")
+    return ranked.select("LocationID", "zone", "trip_count", F.lit(number).alias("version"),
+                         metrics.select("RMSE").scalar().alias("RMSE"))
+
+
 @query
 def json_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hotspots through JSON, zones through CSV, joined after reading back."""
@@ -524,3 +599,84 @@ def stream_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (spark.read.schema(schema).parquet(target).groupBy("year", "month")
             .agg(F.count("*").alias("trips"), F.round(F.sum("trip_distance"), 3).alias("miles"),
                  F.round(F.sum(LABEL), 3).alias("minutes")))
+
+
+def _outcomes(spark: SparkSession, target: str, *more: str) -> DataFrame:
+    """Replies and rejects of ``stream_answers``, flat."""
+    inputs = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in REQUEST.fields)
+    extra = "".join(f", {c} int" for c in more)
+    answered = spark.read.schema(f"{KEY} bigint, predicted_duration_mins double, "
+                                 f"inputs struct<{inputs}>{extra}, batch int").parquet(f"{target}/replies")
+    rejected = spark.read.schema(f"{KEY} bigint, first_invalid string, batch int").parquet(
+        f"{target}/rejected")
+    return answered.select(KEY, "predicted_duration_mins", F.lit(None).cast("string").alias(
+        "first_invalid"), *more).unionByName(rejected.select(KEY, "first_invalid"),
+                                             allowMissingColumns=True)
+
+
+@query
+def stream_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies and rejects from one reading of the stream; its batch is then replayed."""
+    target = scratch(spark, "answers")
+    asked = adapters.requests_from_events(_event_stream(spark, sf_dir))
+    jobs.stream_answers(asked, KEY, adapters.closed_form, target,
+                        f"{target}-checkpoint").awaitTermination()
+    jobs.answer_batch(_requests(spark, sf_dir), 0, KEY, adapters.closed_form, target)
+    return _outcomes(spark, target)
+
+
+@query
+def stream_model_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests of even ids come while the first version of a published predictor
+    counts, the others after the second: distance + 4, then distance + 6 minutes."""
+    source, target, out = (scratch(spark, n) for n in ("asked", "versions", "predictors"))
+
+    def predictor(rows: DataFrame) -> DataFrame:
+        number, folder = published.version_of(spark, out)
+        minutes = spark.read.schema("minutes double").json(folder)
+        return rows.crossJoin(F.broadcast(minutes)).withColumns({
+            "prediction": F.col("trip_distance") + F.col("minutes"), "model_version": F.lit(number)})
+
+    for minutes, part in ((4.0, "event_id % 2 = 0"), (6.0, "event_id % 2 = 1")):
+        published.publish(spark, out, lambda folder, m=minutes: files.write_records(
+            spark.range(1).select(F.lit(m).alias("minutes")), folder))
+        _events(spark, sf_dir).where(part).write.mode("append").parquet(source)
+        asked = adapters.requests_from_events(jobs.file_stream(spark, source, TABLES["events"]))
+        jobs.stream_answers(asked, KEY, predictor, target, f"{target}-checkpoint").awaitTermination()
+    return _outcomes(spark, target, "model_version")
+
+
+@query
+def stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audits of several micro-batches, added up, beside the rows that they wrote."""
+    source, target = _month_files(spark, sf_dir), scratch(spark, "audited")
+    files_of_a_batch = jobs.file_stream(spark, source, TRIP_FILES, files_per_batch=50)
+    trips = months.month_rows(files_of_a_batch, source)
+    jobs.stream_audited(trips, [KEY], f"{target}/trips", f"{target}/audits",
+                        f"{target}-checkpoint").awaitTermination()
+    written = spark.read.schema("trip_id string, batch int").parquet(f"{target}/trips")
+    return spark.read.schema(AUDIT).parquet(f"{target}/audits").agg(
+        *(F.sum(c).alias(c) for c in AUDIT.fieldNames())).withColumn(
+        "written", written.agg(F.count("*")).scalar())
+
+
+@query
+def stream_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second delivery corrects the months from 2000 on, in other types; the stream
+    runs before, after and once more."""
+    source, target = scratch(spark, "deliveries"), scratch(spark, "corrected")
+
+    def run() -> None:
+        jobs.stream_corrections(spark, source, target, f"{target}-checkpoint").awaitTermination()
+
+    _stage(_orders(spark, sf_dir), f"{source}/2024-01-05")
+    run()
+    fixed = _orders(spark, sf_dir).where(F.year("tpep_pickup_datetime") >= 2000).withColumns(
+        {"trip_distance": F.col("trip_distance") / 2} | {
+            c: F.col(c).cast("double") for c in ("PULocationID", "DOLocationID")})
+    _stage(fixed, f"{source}/2024-02-05")
+    run()
+    run()
+    return jobs.read_corrected(spark, target).groupBy("year", "month").agg(
+        F.count("*").alias("trips"), F.count_distinct("trip_id").alias("ids"),
+        F.round(F.sum("trip_distance"), 3).alias("miles"), F.max("delivery").alias("delivery"))

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tripline.functions.geo import LambertConic
+from tripline.functions.wkt import lambert_conic
 from tripline.sources.schemas import MALFORMED, REQUEST_LINES, ZONES
 
 
@@ -90,6 +92,12 @@ def read_records(spark: SparkSession, path: str, schema: StructType, made_by: st
                 .option("multiLine", array_file).json(path))
 
 
+def read_projection(spark: SparkSession, path: str) -> LambertConic:
+    """The conic system of a ``.prj`` file."""
+    with written_by("the zone export", path):
+        return lambert_conic(spark.read.text(path, wholetext=True).first()[0])
+
+
 def literal_rows(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
     """A few rows from the caller, e.g. one interactive request or the bands.
 

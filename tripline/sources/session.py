@@ -29,10 +29,17 @@ def pin(spark: SparkSession) -> SparkSession:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in
-    spark.checkpoint.dir; a session without the setting uses its warehouse,
-    which executors share as well."""
-    configured = (spark.conf.get("spark.checkpoint.dir", None)
-                  or spark.conf.get("spark.sql.warehouse.dir"))
+    spark.checkpoint.dir; a session without the setting uses its warehouse.
+
+    On a cluster a warehouse that lies on the machine's own disk is not shared,
+    and is refused: name a shared folder then.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured is None:
+        configured = spark.conf.get("spark.sql.warehouse.dir")
+        local = spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
+        if not local and (configured.startswith("file:") or "://" not in configured):
+            raise ValueError(f"set spark.checkpoint.dir to a shared folder: {configured} is local")
     return configured.rstrip("/")
 
 
