@@ -1,33 +1,41 @@
 """Personal data: patterns, then information-theoretic sanitisation. Native columns.
 
-The patterns find emails, addresses, card and phone numbers. Each distinct
-value is a protected entity. Terms in the texts that hold it may give it away, so
-the corpus decides: with p counted over all documents,
-
-    disclosure(e, t) = PMI(e; t) / IC(e)
-                     = log(n_et * N / (n_e * n_t)) / log(N / n_e)
-
-where n_et counts documents that hold both, t outside all spans, n_e those with e,
-n_t those with t anywhere and N all. It is 1 for a term that occurs with e alone.
-All its occurrences in documents with e count: from
-``generalise`` on a term is replaced by a class, from ``remove`` on it goes. A
-pair needs ``support`` documents: fewer are no estimate.
+The patterns find emails, addresses, card and phone numbers. Protected entities are each
+distinct value and what it belongs to: the domain of a mail, the block of an
+address, the exchange of a phone number, the issuer of a card. Terms in the texts that
+hold an entity may give it away, so the corpus decides: with counts over all rows,
+
+    disclosure(e, t) = log(p * N / n_e) / log(N / n_e),  p = (n_et + k n_e / N) / (n_t + k)
+
+where n_et counts rows that hold both, t outside all spans, n_e those with e, n_t those
+with t anywhere and N all. p estimates how surely t tells e, as if ``k`` further rows
+with t were like the corpus: so two rows say less than twenty. Disclosure is pointwise mutual
+information over the information content of e: near 1 for a term that
+occurs with e alone, 0 for one that says nothing. From ``remove`` on a term
+goes. From ``generalise`` on it is replaced by a class: by its first letters, if these
+as a class of terms disclose less than ``generalise``, else by a mere label. All its
+occurrences in rows with e count. A pair needs ``support`` rows: in one row every
+word is as telling as any other.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripline.llm.common import empty_as, text_key
 from tripline.sources.session import settle
 
-SUPPORT, GENERALISE, REMOVE = 3, 0.85, 0.95
-#: Letters a term needs at least.
-TERM_LETTERS = 3
+SUPPORT, GENERALISE, REMOVE = 2, 0.85, 0.95
+#: Rows like the corpus that are added to those with a term.
+PRIOR_ROWS = 0.5
+#: Letters a term needs at least, and those that name its class.
+TERM_LETTERS = CLASS_LETTERS = 3
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = {kind: f"[{kind.upper()}]" for kind in KINDS} | {"term": "[TERM]", "removed": ""}
+#: A term that is replaced by its first letters and this sign.
+PREFIX, CUT = "prefix", "*"
 
 # Possessive loops keep long runs off the stack. The look-behind starts a match
 # at the head of a run only (or where the last match ended), which is where the
@@ -38,6 +46,9 @@ _CARD = r"[0-9](?:[\x20-]?[0-9])++"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _TERM = r"[\p{L}\p{M}]++"
 
+#: Matches whose lengths are added up in one list.
+PORTION = 64
+
 _SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
 _KEYS = ["doc_id", "text_hash"]
 
@@ -64,12 +75,14 @@ def _phone_valid(match: Column) -> Column:
 def matches(text: Column, pattern: str, kind: str, valid=None, value=None) -> Column:
     """Spans of ``pattern`` in ``text``, in order; positions in code points, end exclusive.
 
-    The text between matches gives the positions: the lengths add up. A match
-    that fails ``valid`` is passed over.
+    The text between matches gives the positions: the lengths add up, within
+    portions of ``PORTION`` matches and over these, so that no long list is built
+    by appending. A match that fails ``valid`` is passed over.
     """
     pairs = F.arrays_zip(F.split(text, pattern, -1).alias("gap"),
                          F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match"))
     empty = F.array().cast(_SPAN)
+    length = lambda pair: F.length(pair["gap"]) + F.coalesce(F.length(pair["match"]), F.lit(0))
 
     def step(acc: Column, pair: Column) -> Column:
         start = acc["at"] + F.length(pair["gap"])
@@ -82,8 +95,19 @@ def matches(text: Column, pattern: str, kind: str, valid=None, value=None) -> Co
         return F.struct(end.alias("at"), F.when(
             good, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
 
-    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("out")), step,
-                       lambda acc: acc["out"])
+    def spans_from(portion: Column, at: Column) -> Column:
+        return F.aggregate(portion, F.struct(at.alias("at"), empty.alias("out")), step,
+                           lambda acc: acc["out"])
+
+    portions = F.transform(F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / PORTION).cast("int")),
+                           lambda i: F.slice(pairs, i * PORTION + 1, PORTION))
+    starts = lambda parts: F.aggregate(
+        F.transform(parts, lambda part: F.aggregate(part, F.lit(0), lambda n, p: n + length(p))),
+        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+        lambda acc, n: F.struct((acc["at"] + n).alias("at"),
+                                F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+        lambda acc: acc["out"])
+    return F.flatten(F.zip_with(portions, starts(portions), spans_from))
 
 
 def base_spans(text: Column) -> Column:
@@ -105,23 +129,6 @@ def base_spans(text: Column) -> Column:
     return F.concat(*(F.when(found[kind][0], found[kind][1]).otherwise(none) for kind in KINDS))
 
 
-def _blanked(text: Column, spans: Column) -> Column:
-    """``text`` with spaces for all that lies in ``spans``; positions stay."""
-    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(
-        s["start"].alias("start"), s["end"].alias("end"))))
-
-    def step(acc: Column, s: Column) -> Column:
-        first = F.greatest(acc["at"], s["start"])
-        last = F.greatest(acc["at"], s["end"])
-        return F.struct(last.alias("at"), F.concat(
-            acc["out"], F.substring(text, acc["at"] + 1, first - acc["at"]),
-            F.repeat(F.lit(" "), last - first)).alias("out"))
-
-    return F.aggregate(
-        ordered, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-
-
 def find(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash and base spans of every row; null counts as empty."""
     return docs.select("doc_id", text_key("text").alias("text_hash"),
@@ -129,107 +136,138 @@ def find(docs: DataFrame) -> DataFrame:
         "spans", base_spans(F.col("text")))
 
 
-def _same_text(left: DataFrame, right: DataFrame) -> DataFrame:
-    """``left`` with the columns of ``right`` for the same doc_id, null or not, and text_hash."""
-    right = right.withColumnsRenamed({"doc_id": "other_id", "text_hash": "other_hash"})
-    match = left["doc_id"].eqNullSafe(right["other_id"]) & (
-        left["text_hash"] == right["other_hash"])
-    return left.join(right, match).drop("other_id", "other_hash")
+def entities(spans: Column) -> Column:
+    """The distinct values among ``spans`` and what they belong to."""
+    wider = {"email": ("domain", lambda v: F.substring_index(v, "@", -1)),
+             "ip": ("block", lambda v: F.substring_index(v, ".", 3)),
+             "card": ("issuer", lambda v: F.substring(v, 1, 6)),
+             "phone": ("exchange", lambda v: F.substring(v, 1, 7))}
 
+    def of(span: Column) -> Column:
+        named = None
+        for kind, (name, cut) in wider.items():
+            value = F.concat(F.lit(f"{name}:"), cut(span["value"]))
+            named = F.when(span["kind"] == kind, value) if named is None else named.when(
+                span["kind"] == kind, value)
+        return F.array(F.concat(span["kind"], F.lit(":"), span["value"]), named)
 
-def disclosing(docs: DataFrame, found: DataFrame, support: int = SUPPORT,
+    return F.array_distinct(F.flatten(F.transform(spans, of)))
+
+
+def term_class(term: Column) -> Column:
+    return F.concat(F.substring(term, 1, CLASS_LETTERS), F.lit(CUT))
+
+
+def words_outside(rows: DataFrame) -> DataFrame:
+    """rid, term, start, end of the words of ``rows`` (rid, text, spans) that touch no span.
+
+    Positions are running sums over a row's words, and spans meet the words in their
+    order: a word is touched if a span that began before ends behind its start,
+    or the next one begins before its end.
+    """
+    cut = F.arrays_zip(F.split("text", _TERM, -1).alias("gap"),
+                       F.regexp_extract_all("text", F.lit(_TERM), F.lit(0)).alias("word"))
+    split = rows.select("rid", F.posexplode(cut).alias("pos", "pair")).select(
+        "rid", "pos", F.length("pair.gap").alias("gap"), "pair.word")
+    so_far = Window.partitionBy("rid").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum(F.col("gap") + F.coalesce(F.length("word"), F.lit(0))).over(so_far),
+                       F.lit(0)) + F.col("gap")
+    placed = split.withColumn("start", start.cast("int")).where("word IS NOT NULL").select(
+        "rid", F.lower("word").alias("term"), "start", (F.col("start") + F.length("word")).alias("end"))
+    marks = rows.select("rid", F.explode("spans").alias("s")).select(
+        "rid", F.lit(None).cast("string").alias("term"), "s.start", "s.end")
+    onward = Window.partitionBy("rid").orderBy("start", "end").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    backward = Window.partitionBy("rid").orderBy(F.desc("start"), F.desc("end")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    span = F.col("term").isNull()
+    return placed.unionByName(marks).withColumn(
+        "behind", F.max(F.when(span, F.col("end"))).over(onward)).withColumn(
+        "before", F.min(F.when(span, F.col("start"))).over(backward)).where(
+        ~span & (F.length("term") >= TERM_LETTERS) & (F.coalesce("behind", F.lit(0)) <= F.col("start"))
+        & (F.coalesce("before", F.col("end")) >= F.col("end"))).select("rid", "term", "start", "end")
+
+
+def disclosing(found: DataFrame, corpus: DataFrame, support: int = SUPPORT,
                generalise: float = GENERALISE) -> DataFrame:
-    """Spans of terms that give an entity away: doc_id, text_hash and ``told``, an array of
-    start, end and disclosure.
-
-    Counts cover all documents and whole texts. An entity in fewer documents
-    than ``support`` has no pair, so terms are taken only of documents that
-    hold another. Pairs combine before the shuffle. A term is in no fewer
-    documents than these with it, which bounds its disclosure from above: pairs
-    that fall short even so are out, and n_t is counted over the corpus for the
-    terms of the others, after an equality join.
+    """Words that give an entity away: rid, start, end, disclosure and that of its class.
+
+    ``found`` has rid (one a row), text and spans; ``corpus`` all texts. Counts are
+    of rows. An entity in fewer rows than ``support`` has no pair, so words are
+    taken only of rows that hold another, and only names (words and their
+    classes) that as many of these rows hold meet entities. A name is in no fewer
+    rows than these with it, which bounds its disclosure from above: pairs that fall short
+    even so are out, and n_t is counted over the corpus for the names of the
+    others, after an equality join.
     """
-    with_spans = found.where(F.size("spans") > 0)
-    mentions = settle(with_spans.select(*_KEYS, F.explode(F.transform(
-        "spans", lambda s: F.concat(s["kind"], F.lit(":"), s["value"]))).alias("entity")).distinct(),
-        "mentions")
-    total = docs.count()
+    spark = found.sparkSession
+    total = found.count()
+    mentions = found.where(F.size("spans") > 0).select("rid", F.explode(entities(F.col("spans"))).alias("entity"))
+    known = settle(mentions.groupBy("entity").agg(F.count("*").alias("n_e")).where(
+        F.col("n_e") >= support), "entities")
+    holders = settle(mentions.join(known, "entity").select("rid", "entity"), "holders")
+    # by an explicit number: few bytes here are many words, which no task should have alone
+    rows = found.join(holders.select("rid").distinct(), "rid", "left_semi").select(
+        "rid", "text", "spans").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "rid")
+    words = settle(words_outside(rows), "words")
+    names = words.select("rid", F.explode(F.array("term", term_class(F.col("term")))).alias("name")).distinct()
+    beside = names.groupBy("name").agg(F.count("*").alias("n_beside")).where(F.col("n_beside") >= support)
+    shared = settle(names.join(beside, "name"), "names")
 
     def disclosure(n_t: str) -> Column:
-        return (F.log(F.col("n_et") * total / (F.col("n_e") * F.col(n_t)))
-                / F.nullif(F.log(F.lit(total) / F.col("n_e")), F.lit(0.0)))
+        p = (F.col("n_et") + PRIOR_ROWS * F.col("n_e") / total) / (F.col(n_t) + PRIOR_ROWS)
+        rarity = F.nullif(F.log(F.lit(total) / F.col("n_e")), F.lit(0.0))
+        return F.log(p * total / F.col("n_e")) / rarity
 
-    entities = settle(mentions.groupBy("entity").agg(F.count("*").alias("n_e")).where(
-        F.col("n_e") >= support), "entities")
-    holders = settle(mentions.join(entities, "entity").groupBy(*_KEYS).agg(
-        F.collect_list("entity").alias("entities")), "holders")
-    rows = settle(_same_text(with_spans.select(*_KEYS, "text", "spans"), holders)
-                  .dropDuplicates(_KEYS).select(
-        *_KEYS, "entities", _blanked(F.col("text"), F.col("spans")).alias("bare"))
-        .withColumn("terms", F.filter(F.array_distinct(F.split(
-            F.lower("bare"), r"[^\p{L}\p{M}]+")), lambda t: F.length(t) >= TERM_LETTERS)), "rows")
-    beside = rows.select(F.explode("terms").alias("term")).groupBy("term").agg(
-        F.count("*").alias("n_beside")).where(F.col("n_beside") >= support)
-    pairs = settle(
-        rows.select(F.explode("entities").alias("entity"), "terms")
-        .select("entity", F.explode("terms").alias("term"))
-        .groupBy("entity", "term").agg(F.count("*").alias("n_et"))
-        .where(F.col("n_et") >= support).join(entities, "entity").join(beside, "term")
+    pairs = settle(shared.join(holders, "rid").groupBy("entity", "name").agg(
+        F.count("*").alias("n_et"), F.first("n_beside").alias("n_beside"))
+        .where(F.col("n_et") >= support).join(known, "entity")
         .where(disclosure("n_beside") >= generalise), "pairs")
-    wanted = settle(pairs.select("term").distinct(), "terms")
-    terms = docs.select(F.explode(F.array_distinct(F.split(
-        F.lower(empty_as(F.col("text"))), r"[^\p{L}\p{M}]+"))).alias("term")).join(
-        wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
-    telling = settle(
-        pairs.join(terms, "term").withColumn("disclosure", disclosure("n_t")).where(
-            F.col("disclosure") >= generalise).groupBy("entity").agg(
-            F.collect_list(F.struct("term", "disclosure")).alias("telling")), "disclosing")
-    told = rows.select(*_KEYS, F.explode("entities").alias("entity")).join(
-        telling, "entity").groupBy(*_KEYS).agg(
-        F.flatten(F.collect_list("telling")).alias("telling"))
-    value = lambda term: F.array_max(F.transform(F.filter(
-        "telling", lambda t: t["term"] == term), lambda t: t["disclosure"]))
-    hits = matches(F.col("bare"), _TERM, "term", value=F.lower, valid=lambda m: F.array_contains(
-        F.col("telling")["term"], F.lower(m)))
-    return _same_text(rows.select(*_KEYS, "bare"), told).select(*_KEYS, F.transform(
-        hits, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
-                                 value(s["value"]).alias("disclosure"))).alias("told")).where(
-        F.size("told") > 0)
+    wanted = settle(pairs.select("name").distinct(), "wanted")
+    terms = F.filter(F.split(F.lower(empty_as(F.col("text"))), r"[^\p{L}\p{M}]+"),
+                     lambda t: F.length(t) >= TERM_LETTERS)
+    counted = corpus.select(F.explode(F.array_distinct(F.concat(
+        terms, F.transform(terms, term_class)))).alias("name")).join(
+        wanted, "name", "left_semi").groupBy("name").agg(F.count("*").alias("n_t"))
+    telling = settle(pairs.join(counted, "name").select(
+        "entity", "name", disclosure("n_t").alias("disclosure")).where(
+        F.col("disclosure") >= generalise), "telling")
+    told = settle(shared.join(telling.select("name").distinct(), "name", "left_semi").select("rid", "name")
+                  .join(holders, "rid").join(telling, ["entity", "name"]).groupBy("rid", "name").agg(
+        F.max("disclosure").alias("disclosure")), "told")
+    classes = told.select("rid", F.col("name").alias("class"), F.col("disclosure").alias("class_disclosure"))
+    return words.join(told.withColumnRenamed("name", "term"), ["rid", "term"]).withColumn(
+        "class", term_class(F.col("term"))).join(classes, ["rid", "class"], "left").select(
+        "rid", "start", "end", "disclosure", "class_disclosure")
 
 
 def added_spans(docs: DataFrame, support: int, generalise: float, remove: float) -> tuple[DataFrame, DataFrame]:
-    """Base spans of every row (doc_id, text_hash, spans), and of rows with a
-    telling term its spans (extra_id, extra_hash, added); both written."""
+    """Base spans of every row (rid, doc_id, text_hash, spans), and of rows with a
+    telling term its spans (rid, added); both written."""
     found = settle(find(docs).select(*_KEYS, "spans", F.when(
-        F.size("spans") > 0, F.col("text")).alias("text")), "spans")
-    extra = settle(disclosing(docs, found, support, generalise).select(
-        F.col("doc_id").alias("extra_id"), F.col("text_hash").alias("extra_hash"),
-        F.array_sort(F.transform("told", lambda t: F.struct(
-            F.when(t["disclosure"] >= remove, "removed").otherwise("term").alias("kind"),
-            t["start"].alias("start"), t["end"].alias("end"), F.lit("").alias("value"))))
-        .alias("added")), "added")
-    return found.select(*_KEYS, "spans"), extra
-
-
-def _with_added(rows: DataFrame, extra: DataFrame) -> DataFrame:
-    match = rows["doc_id"].eqNullSafe(extra["extra_id"]) & (
-        rows["text_hash"] == extra["extra_hash"])
-    none = F.array().cast(_SPAN)
-    return rows.join(extra, match, "left").withColumn("spans", F.concat(
-        F.coalesce("spans", none), F.coalesce("added", none)))
+        F.size("spans") > 0, F.col("text")).alias("text"),
+        F.monotonically_increasing_id().alias("rid")), "spans")
+    kind = F.when(F.col("disclosure") >= remove, "removed").when(
+        F.col("class_disclosure").isNull(), PREFIX).otherwise("term")
+    extra = settle(disclosing(found, docs, support, generalise).select("rid", F.struct(
+        kind.alias("kind"), "start", "end", F.lit("").alias("value")).alias("span")).groupBy("rid").agg(
+        F.array_sort(F.collect_list("span")).alias("added")), "added")
+    return found.drop("text"), extra
 
 
 def spans(docs: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE,
           remove: float = REMOVE) -> DataFrame:
     """doc_id, text_hash and ``spans`` (base, then added) of every row.
 
-    Added spans have kind "term" (generalised) or "removed". A null text is
-    empty, has no spans and counts among all documents; rows that are alike
-    get equal spans; other columns are ignored. Rows with a null doc_id are
-    told apart by their text.
+    Added spans have kind "removed", or if generalised "prefix" (to the first
+    letters) or "term" (to a label). A null text is empty, has no spans and counts
+    among all rows; repeated rows count as often as they stand, get equal spans
+    and, being several, may be told by their own words; other columns are ignored.
+    An empty table gives an empty one; long texts cost in proportion to their words.
     """
     found, extra = added_spans(docs, support, generalise, remove)
-    return _with_added(found, extra).select(*_KEYS, "spans")
+    return found.join(extra, "rid", "left").select(*_KEYS, F.concat(
+        "spans", F.coalesce("added", F.array().cast(_SPAN))).alias("spans"))
 
 
 def masked(text: Column, all_spans: Column) -> Column:
@@ -241,10 +279,11 @@ def masked(text: Column, all_spans: Column) -> Column:
     def step(acc: Column, s: Column) -> Column:
         fresh = s["start"] >= acc["at"]
         gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
+        letters = F.concat(F.substring(text, s["start"] + 1, F.lit(CLASS_LETTERS)), F.lit(CUT))
+        said = F.when(s["kind"] == PREFIX, letters).otherwise(F.try_element_at(label, s["kind"]))
         return F.struct(
             F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(fresh, F.concat(acc["out"], gap, F.element_at(label, s["kind"])))
-            .otherwise(acc["out"]).alias("out"))
+            F.when(fresh, F.concat(acc["out"], gap, said)).otherwise(acc["out"]).alias("out"))
 
     return F.aggregate(
         ordered, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
@@ -258,13 +297,18 @@ def sanitise(docs: DataFrame, support: int = SUPPORT, generalise: float = GENERA
     Base spans are found again beside the text, so that only the few rows with
     telling terms come by a join, and texts stay where they are.
     """
-    _, extra = added_spans(docs, support, generalise, remove)
+    found, extra = added_spans(docs, support, generalise, remove)
+    told = found.select("rid", *_KEYS).join(extra, "rid").dropDuplicates(_KEYS).select(
+        F.col("doc_id").alias("extra_id"), F.col("text_hash").alias("extra_hash"), "added")
     rows = docs.select(F.struct("*").alias("row"), "doc_id", "text",
                        text_key("text").alias("text_hash"),
                        base_spans(empty_as(F.col("text"))).alias("spans"))
+    match = rows["doc_id"].eqNullSafe(told["extra_id"]) & (rows["text_hash"] == told["extra_hash"])
+    whole = rows.join(told, match, "left").withColumn("spans", F.concat(
+        "spans", F.coalesce("added", F.array().cast(_SPAN))))
     text = F.when(F.size("spans") == 0, F.col("text")).otherwise(
         masked(F.col("text"), F.col("spans")))
-    return _with_added(rows, extra).withColumn("masked", text).select(*(
+    return whole.withColumn("masked", text).select(*(
         F.col("masked").alias(c) if c == "text" else F.col("row")[c].alias(c)
         for c in docs.columns))
 
