@@ -13,7 +13,7 @@ RING = ["LocationID", "part_id", "ring_id"]
 # Fixed value: the ring of a part that is its shell; all others are holes.
 SHELL = 1
 BLOCK = 4096
-EDGE_BLOCK = 1 << 14
+EDGE_BLOCK = 1 << 13
 
 
 def _levels(vertices: DataFrame, block: int) -> int:

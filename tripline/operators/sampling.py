@@ -61,7 +61,7 @@ def _candidates(df: DataFrame, key: str, n: int, seed: str) -> tuple[DataFrame,
     seen = Observation("rows")
     passed = digests.withColumn("__place", place).observe(
         seen, F.max("__place").alias("longest"), F.count("*").alias("rows")).where(
-        _low("__digest") * F.col("__place") < F.lit(room * whole)).drop("__place")
+        _low("__digest").cast("double") * F.col("__place") < F.lit(room * whole)).drop("__place")
     found = settle(passed, "candidates")
     longest, rows = seen.get["longest"] or 0, seen.get["rows"]
     bound = whole * min(1.0, room / longest * (1 - 1e-9)) if longest else whole
