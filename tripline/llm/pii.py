@@ -99,15 +99,25 @@ def matches(text: Column, pattern: str, kind: str, valid=None, value=None) -> Co
         return F.aggregate(portion, F.struct(at.alias("at"), empty.alias("out")), step,
                            lambda acc: acc["out"])
 
-    portions = F.transform(F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / PORTION).cast("int")),
-                           lambda i: F.slice(pairs, i * PORTION + 1, PORTION))
-    starts = lambda parts: F.aggregate(
-        F.transform(parts, lambda part: F.aggregate(part, F.lit(0), lambda n, p: n + length(p))),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
-        lambda acc, n: F.struct((acc["at"] + n).alias("at"),
-                                F.concat(acc["out"], F.array(acc["at"])).alias("out")),
-        lambda acc: acc["out"])
-    return F.flatten(F.zip_with(portions, starts(portions), spans_from))
+    def bound(value: Column, use) -> Column:
+        """``use`` of a value that is worked out once, though named several times."""
+        return F.transform(F.array(value), use)[0]
+
+    def starts(portions: Column) -> Column:
+        lengths = F.transform(portions, lambda part: F.aggregate(part, F.lit(0), lambda n, p: n + length(p)))
+        return F.aggregate(
+            lengths, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+            lambda acc, n: F.struct((acc["at"] + n).alias("at"),
+                                    F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+            lambda acc: acc["out"])
+
+    def portions_of(all_pairs: Column) -> Column:
+        last = F.floor((F.size(all_pairs) - 1) / PORTION).cast("int")
+        return F.transform(F.sequence(F.lit(0), last),
+                           lambda i: F.slice(all_pairs, i * PORTION + 1, PORTION))
+
+    return bound(bound(pairs, portions_of), lambda portions: F.flatten(
+        F.zip_with(portions, starts(portions), spans_from)))
 
 
 def base_spans(text: Column) -> Column:
