@@ -81,6 +81,44 @@ def test_from_months_to_replies(spark, sf_dir, tmp_path, capsys):
     assert spark.read.parquet(str(tmp_path / "ingested" / "trips")).count() > 0
 
 
+def test_published_models_projections_and_corrections(spark, sf_dir, tmp_path, capsys):
+    trips = adapters.trips_from_orders(adapters.table(spark, sf_dir, "orders"))
+    source, landed, out = (str(tmp_path / n) for n in ("source", "landed", "out"))
+    (trips.filter(F.year("tpep_pickup_datetime") == 1996).coalesce(1)
+     .write.parquet(f"{source}/d1/trips_1996-01.parquet"))
+    main(["land", f"{source}/d1", landed])
+    for _ in range(2):
+        main(["run", landed, out, "--publish"])
+    assert capsys.readouterr().out.split()[-2:] == ["1", "2"]
+    asked = tmp_path / "asked"
+    asked.mkdir()
+    (asked / "1.json").write_text(json.dumps(
+        {"request_id": "a", "trip_distance": 5.0, "PULocationID": 237, "DOLocationID": 236,
+         "pickup_hour": 17, "pickup_dow": 3}) + "\nno request\n")
+    main(["score", out, str(asked), str(tmp_path / "scored"), "--published"])
+    reply, = lines(tmp_path / "scored" / "replies")
+    rejected, = lines(tmp_path / "scored" / "rejected")
+    assert reply["model_version"] == 2 and rejected["malformed"] == "no request"
+    for _ in range(2):
+        main(["stream-score", out, str(asked), str(tmp_path / "streamed"), "--published"])
+    streamed, = spark.read.parquet(str(tmp_path / "streamed" / "replies")).collect()
+    assert (streamed.model_version, streamed.predicted_duration_mins) == (
+        2, reply["predicted_duration_mins"])
+
+    prj = tmp_path / "zones.prj"
+    prj.write_text(adapters.PROJECTIONS["two"])
+    customers = adapters.table(spark, sf_dir, "customer")
+    adapters.projected_rings_from_customers(customers).write.parquet(str(tmp_path / "rings"))
+    adapters.zone_names_from_customers(customers).write.parquet(str(tmp_path / "names"))
+    for name, more in (("plain", []), ("by-prj", ["--prj", str(prj)])):
+        main(["zones", str(tmp_path / "rings"), str(tmp_path / "names"), str(tmp_path / name), *more])
+    assert sorted(read_zones(spark, str(tmp_path / "plain")).collect()) == sorted(
+        read_zones(spark, str(tmp_path / "by-prj")).collect())
+
+    main(["stream-ingest", source, str(tmp_path / "months"), "--corrections"])
+    assert {r.delivery for r in spark.read.parquet(str(tmp_path / "months" / "trips")).collect()} == {"d1"}
+
+
 def test_failed_months_end_in_an_error(tmp_path, spark):
     source = tmp_path / "source"
     source.mkdir()

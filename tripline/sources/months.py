@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -23,6 +24,7 @@ from tripline.sources.schemas import MONTHS, TRIP_FILES
 NO_MONTH = "not landed: no YYYY-MM.parquet in its name"
 # What Spark raises for footers that it cannot merge, or cannot read at all.
 UNREADABLE_TOGETHER = (PySparkException, Py4JJavaError)
+PIECES = 16
 LANDED, ADDED, REPLACED = "landed", "late files added", "replaced"
 
 
@@ -58,20 +60,27 @@ def by_storage(spark: SparkSession, files: list[str],
     """The files in groups that one scan can read, each with the types to read.
 
     Files that agree, as nearly all do, take one job for all their footers; a
-    group that does not agree is halved until its parts do.
+    group that does not agree is cut into ``PIECES`` until its parts do. Jobs of a
+    round run side by side.
     """
-    groups: dict[str, tuple[StructType, list[str]]] = {}
-    waiting = [files] if files else []
-    while waiting:
-        part = waiting.pop()
+    def attempt(part: list[str]) -> StructType | None:
         try:
-            stored = _stored(spark, [_escaped(f) for f in part], schema)
+            return _stored(spark, [_escaped(f) for f in part], schema)
         except UNREADABLE_TOGETHER:
             if len(part) == 1:
                 raise
-            waiting += [part[len(part) // 2:], part[:len(part) // 2]]
-            continue
-        groups.setdefault(stored.simpleString(), (stored, []))[1].extend(part)
+            return None
+
+    groups: dict[str, tuple[StructType, list[str]]] = {}
+    waiting = [files] if files else []
+    with ThreadPoolExecutor(PIECES) as pool:
+        while waiting:
+            found = list(zip(waiting, pool.map(attempt, waiting)))
+            waiting = [part[i::PIECES] for part, stored in found if stored is None
+                       for i in range(min(PIECES, len(part)))]
+            for part, stored in found:
+                if stored is not None:
+                    groups.setdefault(stored.simpleString(), (stored, []))[1].extend(part)
     return [(stored, sorted(part)) for _, (stored, part) in sorted(groups.items())]
 
 
