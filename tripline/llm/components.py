@@ -13,18 +13,32 @@ from pyspark.sql import functions as F
 
 from tripline.sources.session import settle
 
+#: Tasks that the rows of one key are dealt to.
+SALTS = 16
+
+
+def spread_join(rows: DataFrame, each: DataFrame, key: str, by: str) -> DataFrame:
+    """``rows`` with the one row that ``each`` has of their ``key``.
+
+    A key may have any share of ``rows``: they are dealt by ``by`` as well, and
+    ``each`` is copied to all places that they may come to.
+    """
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    return rows.withColumn("salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")).join(
+        each.select("*", salts), [key, "salt"]).drop("salt")
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    return both.where("v > u").join(least, "u").select(
+    return spread_join(both.where("v > u"), least, "u", "v").select(
         F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Edges run from the larger node u to the smaller v."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    near = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    near = spread_join(edges, least, "u", "v").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return near.where("u <> v").union(
         least.select("u", F.col("m").alias("v"))).distinct()
 

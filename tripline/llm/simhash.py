@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripline.llm.common import text_key
-from tripline.llm.components import components
+from tripline.llm.components import components, spread_join
 from tripline.sources.session import settle
 
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
@@ -275,7 +275,8 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) ->
     least = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
     rooted = settle(classes(prints, max_bits).join(least, "fingerprint"), "rooted")
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = settle(rooted.join(smallest, "root").select("fingerprint", "component_id"), "named")
+    named = settle(spread_join(rooted, smallest, "root", "fingerprint").select(
+        "fingerprint", "component_id"), "named")
     return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
@@ -292,7 +293,8 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     first = (prints.groupBy("fingerprint").agg(F.min(order).alias("first"))
              .join(rooted, "fingerprint").groupBy("root").agg(F.min("first").alias("first")))
-    chosen = settle(rooted.join(first, "root").select("fingerprint", "first"), "chosen")
+    chosen = settle(spread_join(rooted, first, "root", "fingerprint").select(
+        "fingerprint", "first"), "chosen")
     copies = prints.groupBy("doc_id").agg((F.count("*") == 1).alias("single"))
     judged = settle(
         prints.join(chosen, "fingerprint").join(
