@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 from collections import Counter
 
@@ -122,10 +123,10 @@ def test_telling_terms_anywhere_in_the_text(spark):
 
 def test_words_outside_spans(spark):
     text = "é😀 the a@b.co 1.2.3.4 abc+4111 1111 1111 1111 wörd end@x.yz-end"
-    rows = spark.createDataFrame([(1, text), (2, ""), (3, "one TWO")], "rid long, text string").withColumn(
-        "spans", pii.base_spans(F.col("text")))
-    got = sorted(tuple(r) for r in pii.words_outside(rows).collect())
-    assert [(r, t, text[s:e] if r == 1 else t) for r, t, s, e in got] == [
+    rows = spark.createDataFrame([(1, text), (2, ""), (3, "one TWO")], "rid long, text string")
+    found = rows.select("rid", F.inline(pii.words_outside(
+        F.col("text"), pii.base_spans(F.col("text"))))).collect()
+    assert sorted((r.rid, r.value, text[r.start:r.end] if r.rid == 1 else r.value) for r in found) == [
         (1, "abc", "abc"), (1, "the", "the"), (1, "wörd", "wörd"), (3, "one", "one"), (3, "two", "two")]
 
 
@@ -212,6 +213,31 @@ def test_repeated_rows_count_in_all_four_counts(spark):
         assert {(s.start, s.end) for s in once[r.doc_id]} <= {(s.start, s.end) for s in r.spans}
 
 
+def test_masking_by_portions(spark, monkeypatch):
+    """Many spans, some of them overlapping over the edges of portions, against plain Python."""
+    monkeypatch.setattr(pii, "PORTION", 2)
+    draw = random.Random(3)
+    rows = []
+    for n in (0, 1, 2, 5, 40, 300):
+        text = "".join(draw.choice("abcé😀 ") for _ in range(6 * n + 5))
+        spans = []
+        for _ in range(n):
+            start = draw.randrange(len(text))
+            kind = draw.choice(["email", "removed", "term", "prefix"])
+            spans.append((kind, start, min(len(text), start + draw.choice([3, 4, 9])), ""))
+        rows.append((text, spans))
+    df = spark.createDataFrame(rows, f"text string, spans {pii._SPAN}")
+    got = df.select("text", "spans", pii.masked(F.col("text"), F.col("spans")).alias("out")).collect()
+    for r in got:
+        at, out = 0, ""
+        for start, end, kind in sorted((s.start, s.end, s.kind) for s in r.spans):
+            if start >= at:
+                out += r.text[at:start] + (f"{r.text[start:start + 3]}*" if kind == "prefix"
+                                           else pii.LABELS[kind])
+            at = max(at, end)
+        assert r.out == out + r.text[at:]
+
+
 def test_many_spans_in_one_text(spark):
     """Positions stay exact over many portions of matches."""
     text = " ".join(f"u{i}@h{i % 7}.org wörd{'x' * (i % 5)}" for i in range(5_000))

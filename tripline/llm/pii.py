@@ -20,7 +20,7 @@ word is as telling as any other.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripline.llm.common import empty_as, text_key
@@ -46,7 +46,7 @@ _CARD = r"[0-9](?:[\x20-]?[0-9])++"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _TERM = r"[\p{L}\p{M}]++"
 
-#: Matches whose lengths are added up in one list.
+#: Matches or spans of a portion, at least.
 PORTION = 64
 
 _SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
@@ -72,12 +72,24 @@ def _phone_valid(match: Column) -> Column:
     return F.length(_digits(match)).between(8, 15)
 
 
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, though named several times."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _portions(items: Column) -> Column:
+    """A list cut into about as many pieces as a piece is long, at least one."""
+    size = F.greatest(F.lit(PORTION), F.ceil(F.sqrt(F.size(items))).cast("int"))
+    last = F.greatest(F.lit(0), F.floor((F.size(items) - 1) / size).cast("int"))
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(items, i * size + 1, size))
+
+
 def matches(text: Column, pattern: str, kind: str, valid=None, value=None) -> Column:
     """Spans of ``pattern`` in ``text``, in order; positions in code points, end exclusive.
 
     The text between matches gives the positions: the lengths add up, within
-    portions of ``PORTION`` matches and over these, so that no long list is built
-    by appending. A match that fails ``valid`` is passed over.
+    portions of the matches and over these, so that no long list is built by
+    appending. A match that fails ``valid`` is passed over.
     """
     pairs = F.arrays_zip(F.split(text, pattern, -1).alias("gap"),
                          F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match"))
@@ -99,10 +111,6 @@ def matches(text: Column, pattern: str, kind: str, valid=None, value=None) -> Co
         return F.aggregate(portion, F.struct(at.alias("at"), empty.alias("out")), step,
                            lambda acc: acc["out"])
 
-    def bound(value: Column, use) -> Column:
-        """``use`` of a value that is worked out once, though named several times."""
-        return F.transform(F.array(value), use)[0]
-
     def starts(portions: Column) -> Column:
         lengths = F.transform(portions, lambda part: F.aggregate(part, F.lit(0), lambda n, p: n + length(p)))
         return F.aggregate(
@@ -111,12 +119,7 @@ def matches(text: Column, pattern: str, kind: str, valid=None, value=None) -> Co
                                     F.concat(acc["out"], F.array(acc["at"])).alias("out")),
             lambda acc: acc["out"])
 
-    def portions_of(all_pairs: Column) -> Column:
-        last = F.floor((F.size(all_pairs) - 1) / PORTION).cast("int")
-        return F.transform(F.sequence(F.lit(0), last),
-                           lambda i: F.slice(all_pairs, i * PORTION + 1, PORTION))
-
-    return bound(bound(pairs, portions_of), lambda portions: F.flatten(
+    return _bound(_bound(pairs, _portions), lambda portions: F.flatten(
         F.zip_with(portions, starts(portions), spans_from)))
 
 
@@ -168,86 +171,89 @@ def term_class(term: Column) -> Column:
     return F.concat(F.substring(term, 1, CLASS_LETTERS), F.lit(CUT))
 
 
-def words_outside(rows: DataFrame) -> DataFrame:
-    """rid, term, start, end of the words of ``rows`` (rid, text, spans) that touch no span.
+def words_outside(text: Column, spans: Column) -> Column:
+    """Spans of the words of ``text`` that touch none of ``spans``, the word in lower case as value."""
+    word = matches(text, _TERM, "term", value=F.lower,
+                   valid=lambda m: F.length(m) >= TERM_LETTERS)
+    return F.filter(word, lambda w: ~F.exists(
+        spans, lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"])))
 
-    Positions are running sums over a row's words, and spans meet the words in their
-    order: a word is touched if a span that began before ends behind its start,
-    or the next one begins before its end.
-    """
-    cut = F.arrays_zip(F.split("text", _TERM, -1).alias("gap"),
-                       F.regexp_extract_all("text", F.lit(_TERM), F.lit(0)).alias("word"))
-    split = rows.select("rid", F.posexplode(cut).alias("pos", "pair")).select(
-        "rid", "pos", F.length("pair.gap").alias("gap"), "pair.word")
-    so_far = Window.partitionBy("rid").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum(F.col("gap") + F.coalesce(F.length("word"), F.lit(0))).over(so_far),
-                       F.lit(0)) + F.col("gap")
-    placed = split.withColumn("start", start.cast("int")).where("word IS NOT NULL").select(
-        "rid", F.lower("word").alias("term"), "start", (F.col("start") + F.length("word")).alias("end"))
-    marks = rows.select("rid", F.explode("spans").alias("s")).select(
-        "rid", F.lit(None).cast("string").alias("term"), "s.start", "s.end")
-    onward = Window.partitionBy("rid").orderBy("start", "end").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    backward = Window.partitionBy("rid").orderBy(F.desc("start"), F.desc("end")).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    span = F.col("term").isNull()
-    return placed.unionByName(marks).withColumn(
-        "behind", F.max(F.when(span, F.col("end"))).over(onward)).withColumn(
-        "before", F.min(F.when(span, F.col("start"))).over(backward)).where(
-        ~span & (F.length("term") >= TERM_LETTERS) & (F.coalesce("behind", F.lit(0)) <= F.col("start"))
-        & (F.coalesce("before", F.col("end")) >= F.col("end"))).select("rid", "term", "start", "end")
+
+def _disclosure(n_et: Column, n_t: Column, n_e: Column, total: int) -> Column:
+    """Null for an entity that all rows hold: nothing can tell it."""
+    p = (n_et + n_e * (PRIOR_ROWS / total)) / (n_t + PRIOR_ROWS)
+    return F.log(p * total / n_e) / F.nullif(F.log(F.lit(total) / n_e), F.lit(0.0))
+
+
+def _told(names: DataFrame, holders: DataFrame, telling: DataFrame) -> DataFrame:
+    """rid, name and the highest disclosure by any entity of the row."""
+    near = names.join(telling.select("name").distinct(), "name", "left_semi")
+    return near.select("rid", "name").join(holders.select("rid", "entity"), "rid").join(
+        telling, ["entity", "name"]).groupBy("rid", "name").agg(F.max("disclosure").alias("disclosure"))
 
 
 def disclosing(found: DataFrame, corpus: DataFrame, support: int = SUPPORT,
                generalise: float = GENERALISE) -> DataFrame:
-    """Words that give an entity away: rid, start, end, disclosure and that of its class.
+    """Words that give an entity away: rid, start, end, disclosure and that of their class.
 
     ``found`` has rid (one a row), text and spans; ``corpus`` all texts. Counts are
     of rows. An entity in fewer rows than ``support`` has no pair, so words are
-    taken only of rows that hold another, and only names (words and their
-    classes) that as many of these rows hold meet entities. A name is in no fewer
-    rows than these with it, which bounds its disclosure from above: pairs that fall short
-    even so are out, and n_t is counted over the corpus for the names of the
-    others, after an equality join.
+    taken only of rows that hold another, and of words only those that as many of
+    these rows hold. A term is in no fewer rows than these with it, and meets an entity
+    in no more than all rows of that, which bounds what it can disclose: pairs that
+    fall short even so never meet, and n_t is counted over the corpus for
+    the terms of the others, and for their classes, after an equality join.
     """
     spark = found.sparkSession
-    total = found.count()
-    mentions = found.where(F.size("spans") > 0).select("rid", F.explode(entities(F.col("spans"))).alias("entity"))
-    known = settle(mentions.groupBy("entity").agg(F.count("*").alias("n_e")).where(
-        F.col("n_e") >= support), "entities")
-    holders = settle(mentions.join(known, "entity").select("rid", "entity"), "holders")
+    total = max(1, found.count())
+    c = F.col
+    mentions = found.where(F.size("spans") > 0).select("rid", F.explode(entities(c("spans"))).alias("entity"))
+    known = settle(mentions.groupBy("entity").agg(F.count("*").alias("n_e")).where(c("n_e") >= support),
+                   "entities")
+    holders = settle(mentions.join(known, "entity").select("rid", "entity", "n_e"), "holders")
+    most = holders.groupBy("rid").agg(F.max("n_e").alias("most"))
     # by an explicit number: few bytes here are many words, which no task should have alone
-    rows = found.join(holders.select("rid").distinct(), "rid", "left_semi").select(
-        "rid", "text", "spans").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "rid")
-    words = settle(words_outside(rows), "words")
-    names = words.select("rid", F.explode(F.array("term", term_class(F.col("term")))).alias("name")).distinct()
-    beside = names.groupBy("name").agg(F.count("*").alias("n_beside")).where(F.col("n_beside") >= support)
-    shared = settle(names.join(beside, "name"), "names")
-
-    def disclosure(n_t: str) -> Column:
-        p = (F.col("n_et") + PRIOR_ROWS * F.col("n_e") / total) / (F.col(n_t) + PRIOR_ROWS)
-        rarity = F.nullif(F.log(F.lit(total) / F.col("n_e")), F.lit(0.0))
-        return F.log(p * total / F.col("n_e")) / rarity
-
-    pairs = settle(shared.join(holders, "rid").groupBy("entity", "name").agg(
-        F.count("*").alias("n_et"), F.first("n_beside").alias("n_beside"))
-        .where(F.col("n_et") >= support).join(known, "entity")
-        .where(disclosure("n_beside") >= generalise), "pairs")
-    wanted = settle(pairs.select("name").distinct(), "wanted")
-    terms = F.filter(F.split(F.lower(empty_as(F.col("text"))), r"[^\p{L}\p{M}]+"),
+    rows = settle(found.join(most, "rid").select("rid", "most", "text", "spans").repartition(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), "rid").select(
+        "rid", "most", words_outside(c("text"), c("spans")).alias("words")), "words")
+    terms = F.array_distinct(F.transform("words", lambda w: w["value"]))
+    names = rows.select("rid", "most", F.explode(terms).alias("name"))
+    beside = names.groupBy("name").agg(F.count("*").alias("n_beside")).where(c("n_beside") >= support)
+
+    def can_tell(n_e: str) -> Column:
+        return F.coalesce(_disclosure(c(n_e), c("n_beside"), c(n_e), total), F.lit(1.0)) >= generalise
+
+    shared = settle(names.join(beside, "name").where(can_tell("most")).select("rid", "name", "n_beside"),
+                    "names")
+    pairs = settle(shared.join(holders, "rid").where(can_tell("n_e")).groupBy("entity", "name").agg(
+        F.count("*").alias("n_et"), F.max("n_beside").alias("n_beside"), F.max("n_e").alias("n_e"))
+        .where((c("n_et") >= support) & (_disclosure(
+            c("n_et"), c("n_beside"), c("n_e"), total) >= generalise)), "pairs")
+    wanted = settle(pairs.select(F.explode(F.array("name", term_class(c("name")))).alias("name")).distinct(),
+                    "wanted")
+    whole = F.filter(F.split(F.lower(empty_as(c("text"))), r"[^\p{L}\p{M}]+"),
                      lambda t: F.length(t) >= TERM_LETTERS)
-    counted = corpus.select(F.explode(F.array_distinct(F.concat(
-        terms, F.transform(terms, term_class)))).alias("name")).join(
-        wanted, "name", "left_semi").groupBy("name").agg(F.count("*").alias("n_t"))
-    telling = settle(pairs.join(counted, "name").select(
-        "entity", "name", disclosure("n_t").alias("disclosure")).where(
-        F.col("disclosure") >= generalise), "telling")
-    told = settle(shared.join(telling.select("name").distinct(), "name", "left_semi").select("rid", "name")
-                  .join(holders, "rid").join(telling, ["entity", "name"]).groupBy("rid", "name").agg(
-        F.max("disclosure").alias("disclosure")), "told")
-    classes = told.select("rid", F.col("name").alias("class"), F.col("disclosure").alias("class_disclosure"))
-    return words.join(told.withColumnRenamed("name", "term"), ["rid", "term"]).withColumn(
-        "class", term_class(F.col("term"))).join(classes, ["rid", "class"], "left").select(
+    counted = settle(corpus.select(F.explode(F.array_distinct(F.concat(
+        whole, F.transform(whole, term_class)))).alias("name")).join(
+        wanted, "name", "left_semi").groupBy("name").agg(F.count("*").alias("n_t")), "counted")
+
+    def telling(of: DataFrame) -> DataFrame:
+        return of.join(counted, "name").select("entity", "name", _disclosure(
+            c("n_et"), c("n_t"), c("n_e"), total).alias("disclosure")).where(c("disclosure") >= generalise)
+
+    told = settle(_told(shared, holders, settle(telling(pairs), "telling")), "told")
+    classes = told.select(term_class(c("name")).alias("name")).distinct()
+    in_class = settle(rows.select("rid", F.explode(F.array_distinct(F.transform(
+        "words", lambda w: term_class(w["value"])))).alias("name")).join(classes, "name", "left_semi"),
+        "classes")
+    class_pairs = in_class.join(holders, "rid").groupBy("entity", "name").agg(
+        F.count("*").alias("n_et"), F.max("n_e").alias("n_e")).where(c("n_et") >= support)
+    class_told = _told(in_class, holders, settle(telling(class_pairs), "class-telling")).select(
+        "rid", c("name").alias("class"), c("disclosure").alias("class_disclosure"))
+    spots = rows.join(told.select("rid").distinct(), "rid", "left_semi").select(
+        "rid", F.explode("words").alias("w")).select("rid", "w.start", "w.end", c("w.value").alias("name"))
+    return spots.join(told, ["rid", "name"]).withColumn("class", term_class(c("name"))).join(
+        class_told, ["rid", "class"], "left").select(
         "rid", "start", "end", "disclosure", "class_disclosure")
 
 
@@ -273,7 +279,8 @@ def spans(docs: DataFrame, support: int = SUPPORT, generalise: float = GENERALIS
     letters) or "term" (to a label). A null text is empty, has no spans and counts
     among all rows; repeated rows count as often as they stand, get equal spans
     and, being several, may be told by their own words; other columns are ignored.
-    An empty table gives an empty one; long texts cost in proportion to their words.
+    An empty table gives an empty one; long texts cost in proportion to their words
+    times their base spans.
     """
     found, extra = added_spans(docs, support, generalise, remove)
     return found.join(extra, "rid", "left").select(*_KEYS, F.concat(
@@ -281,23 +288,48 @@ def spans(docs: DataFrame, support: int = SUPPORT, generalise: float = GENERALIS
 
 
 def masked(text: Column, all_spans: Column) -> Column:
-    """``text`` with each span replaced by its label; overlapping spans merge into the first."""
+    """``text`` with each span replaced by its label; overlapping spans merge into the first.
+
+    Each portion of the spans, by start, rewrites the text from its first span to
+    that of the next portion, from behind all spans of the portions before.
+    """
     ordered = F.array_sort(F.transform(all_spans, lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     label = F.create_map(*(F.lit(x) for pair in LABELS.items() for x in pair))
+    first = lambda p, i: F.when(i == 0, F.lit(0)).otherwise(p[0]["start"])
+    furthest = lambda p: F.coalesce(F.array_max(F.transform(p, lambda s: s["end"])), F.lit(0))
+    behind = lambda portions: F.aggregate(
+        portions, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+        lambda acc, p: F.struct(F.greatest(acc["at"], furthest(p)).alias("at"),
+                                F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+        lambda acc: acc["out"])
+
+    def rewritten(portion: Column, begin: Column, stop: Column, reached: Column, part: Column) -> Column:
+        """``part`` is the text from ``begin`` on, a little further than ``stop``."""
+        def step(acc: Column, s: Column) -> Column:
+            gap = F.substring(part, acc["at"] - begin + 1, s["start"] - acc["at"])
+            letters = F.concat(F.substring(part, s["start"] - begin + 1, F.lit(CLASS_LETTERS)), F.lit(CUT))
+            said = F.when(s["kind"] == PREFIX, letters).otherwise(F.try_element_at(label, s["kind"]))
+            return F.struct(
+                F.greatest(acc["at"], s["end"]).alias("at"),
+                F.when(s["start"] >= acc["at"], F.concat(acc["out"], gap, said)).otherwise(
+                    acc["out"]).alias("out"))
 
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        letters = F.concat(F.substring(text, s["start"] + 1, F.lit(CLASS_LETTERS)), F.lit(CUT))
-        said = F.when(s["kind"] == PREFIX, letters).otherwise(F.try_element_at(label, s["kind"]))
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(fresh, F.concat(acc["out"], gap, said)).otherwise(acc["out"]).alias("out"))
-
-    return F.aggregate(
-        ordered, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+        return F.aggregate(
+            portion, F.struct(F.greatest(begin, reached).alias("at"), F.lit("").alias("out")), step,
+            lambda acc: F.concat(acc["out"], F.substring(
+                part, acc["at"] - begin + 1, F.greatest(F.lit(0), stop - acc["at"]))))
+
+    def whole(portions: Column, begins: Column, reached: Column) -> Column:
+        def piece(portion: Column, i: Column) -> Column:
+            begin, stop = begins[i], F.coalesce(F.get(begins, i + 1), F.length(text))
+            part = F.substring(text, begin + 1, stop - begin + CLASS_LETTERS)
+            return _bound(part, lambda part: rewritten(portion, begin, stop, reached[i], part))
+        return F.array_join(F.transform(portions, piece), "")
+
+    return _bound(_bound(ordered, _portions), lambda portions: _bound(
+        F.transform(portions, first), lambda begins: _bound(
+            behind(portions), lambda reached: whole(portions, begins, reached))))
 
 
 def sanitise(docs: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE,
