@@ -3,6 +3,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tests.oracle_check import connect, differences
@@ -85,3 +86,12 @@ def test_edges(spark, edges, edge_rows, nothing):
     none = items.limit(0)
     assert {hit for _, _, hit, _ in got(edges, none)} == {0}
     assert decontaminate.clean(edges, none).count() == len(edge_rows)
+
+
+def test_texts_beyond_the_positions_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "POSITION_BITS", 4)
+    items = spark.createDataFrame([(1, "a b c d e f g h i j k")], "item_id long, text string")
+    short = spark.createDataFrame([(1, "w " * 15)], "doc_id long, text string")
+    assert decontaminate.contamination(short, items).first().n_words == 15
+    with pytest.raises(Exception, match="words or more"):
+        decontaminate.contamination(short.withColumn("text", F.repeat("text", 2)), items).collect()

@@ -54,8 +54,9 @@ def _anchors(df: DataFrame, keep: list[str], window: int, gram: int,
     """One row per kept k-gram: ``keep``, hash, pos and the words a window through it can hold.
 
     ``around`` has these words, a space between, from window - gram before the
-    k-gram on as far as the text goes. ``with_rows`` adds a row without a hash
-    for each row of ``df``, so that one pass gives both.
+    k-gram on as far as the text goes. ``with_rows`` adds a row without a position
+    for each row of ``df``, so that one pass gives both; its hash is beyond those of
+    k-grams, and another for each text, so that a join spreads these rows too.
     """
     reach = window - gram
     df = df.withColumn("packed", _grams(gram))
@@ -72,7 +73,8 @@ def _anchors(df: DataFrame, keep: list[str], window: int, gram: int,
 
     entries = F.transform("packed", entry)
     if with_rows:
-        none = F.struct(F.lit(None).cast("long").alias("hash"),
+        own = F.col("text_hash").bitwiseAND(long(2**62 - 1)).bitwiseOR(long(2**62))
+        none = F.struct(own.alias("hash"),
                         F.lit(None).cast("int").alias("pos"),
                         F.lit(None).cast("string").alias("around"))
         entries = F.concat(F.array(none), entries)
@@ -90,7 +92,7 @@ def _places(around: Column, pos: Column, reach: int, span: int) -> Column:
 def _met(anchors: DataFrame, items: DataFrame, window: int, gram: int) -> DataFrame:
     """Document words [start, end) that an item's window covers, one row per meeting.
 
-    Rows without a hash stay, without an item.
+    Rows without a position stay, without an item.
     """
     reach = window - gram
     span = gram + 2 * reach
@@ -105,12 +107,12 @@ def _met(anchors: DataFrame, items: DataFrame, window: int, gram: int) -> DataFr
 
     core = reduce(lambda a, b: a & b, [same(i) for i in range(reach, reach + gram)])
     rest = [c for c in anchors.columns if c not in ("hash", "pos", "around")]
-    met = anchors.join(items, "hash", "left").where("hash IS NULL OR item_around IS NOT NULL")
+    met = anchors.join(items, "hash", "left").where("pos IS NULL OR item_around IS NOT NULL")
     met = (met.withColumn("own", _places(F.col("around"), F.col("pos"), reach, span))
            .withColumn("other", _places(F.col("item_around"), F.col("item_pos"), reach, span))
            .withColumn("left", run(list(range(reach - 1, -1, -1))))
            .withColumn("right", run(list(range(reach + gram, span)))))
-    return met.where(F.col("hash").isNull() | (
+    return met.where(F.col("pos").isNull() | (
         core & (F.col("left") + F.col("right") + gram >= window))).select(
         *rest, "item_id", (F.col("pos") - F.col("left")).alias("start"),
         (F.col("pos") + gram + F.col("right")).alias("end"))
@@ -127,7 +129,8 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     """
     source = docs.select("doc_id", text_key("text").alias("text_hash"),
                          words(F.col("text")).alias("words")).withColumn(
-        "n_words", F.size("words").cast("long"))
+        "n_words", F.when(F.size("words") < 1 << POSITION_BITS, F.size("words").cast("long")).otherwise(
+            F.raise_error(F.lit(f"a text has 2**{POSITION_BITS} words or more"))))
     keep = [*KEYS, "n_words"]
     tests = settle(benchmark.select(
         "item_id", words(F.col("text")).alias("words")).where(F.size("words") > 0),
