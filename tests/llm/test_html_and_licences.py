@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 
 from tripline.llm import html_text, licences
 from tripline.llm.queries import QUERIES
@@ -175,3 +177,68 @@ def test_nesting_takes_linear_time():
 ])
 def test_formulas_drawings_and_spans(html, text):
     assert html_text.visible_text(html) == text
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<details>hid <p>den<summary>Sum<b>mary</b></summary>more<summary>two</summary></details>z", "Summary\nz"),
+    ("<details open><summary>S</summary>shown</details>", "S\nshown"),
+    ("<details><div>x</div></details>after", "after"),
+    ("a<dialog>no</dialog>b<dialog open>yes</dialog>", "ab\nyes"),
+    ("<p style='visibility:hidden'>no <b style='visibility: visible'>yes</b> no</p>x", "yes\n\nx"),
+    ("<p style='visibility:visible;visibility:collapse'>no</p><p>x", "x"),
+    ("<p style='display:none'>no <b style='visibility:visible'>no</b></p>x", "x"),
+    ("a<!-- b", "a"), ("a <b", "a"), ("a < b", "a < b"), ("<script>x <!-- </script>y", "y"),
+    ("<table><tfoot><tr><td>foot</tfoot><tbody><tr><td>one<tr><td>two</table>", "one\ntwo\nfoot"),
+    ("<table><tfoot><tr><td>foot<tbody><tr><td>one</table>", "one\nfoot"),
+    ("<ol><li>a<li value=9>b<li>c</ol>", "1. a\n9. b\n10. c"),
+    ("<ol reversed><li>a<li>b<ol><li>in</ol><li>c</ol>", "3. a\n2. b\n   1. in\n1. c"),
+    ("<ol reversed start=5><li>a<li>b</ol>", "5. a\n4. b"),
+    ("<ol start=-1><li>a<li>b</ol>", "-1. a\n0. b"),
+    ("<ol type=a start=26><li>a<li>b</ol>", "z. a\naa. b"),
+    ("<ol type=I start=4><li>a<li>b</ol>", "IV. a\nV. b"),
+    ("<ol type=i start=0><li>a</ol>", "0. a"),
+    ("<pre>\n  x\n y</pre>", "  x\n y"),
+    ("a<textarea>\n<b>1 &lt; 2</b>\n z</textarea>b", "a\n<b>1 < 2</b>\n z\nb"),
+    ("<ruby>\u6f22<rp>(</rp><rt>kan</rt><rp>)</rp></ruby>", "\u6f22kan"),
+    ("<table><tr><td>\u6f22\u5b57<td>x<tr><td>abc<td>y<tr><td>e\u0301<td>z</table>",
+     "\u6f22\u5b57  x\nabc   y\ne\u0301     z"),
+])
+def test_what_shows_and_where(html, text):
+    assert html_text.visible_text(html) == text
+
+
+def node(tree, veiled=False):
+    """What a reader sees of a small tree, rendered straight from its definition."""
+    if isinstance(tree, str):
+        return "" if veiled else tree
+    tag, style, children = tree
+    if "none" in style:
+        return ""
+    veiled = "hidden" in style or veiled and "visible" not in style
+    return "".join(node(c, veiled) for c in children)
+
+
+def markup(tree):
+    if isinstance(tree, str):
+        return tree
+    tag, style, children = tree
+    return f"<{tag} style='{style}'>" + "".join(map(markup, children)) + f"</{tag}>"
+
+
+TREES = st.recursive(
+    st.sampled_from(["a", "bc", "d"]),
+    lambda inner: st.tuples(st.sampled_from(["b", "i", "span"]),
+                            st.sampled_from(["", "display:none", "visibility:hidden", "visibility:visible"]),
+                            st.lists(inner, max_size=4)), max_leaves=20)
+
+
+@given(TREES)
+def test_small_trees_against_a_reference_renderer(tree):
+    assert html_text.visible_text(markup(tree)) == node(tree)
+
+
+def test_very_long_page_on_spark(spark):
+    page = "<ul>" + "<li>word <b>and</b> more" * 100_000 + "</ul>"
+    rows = spark.createDataFrame([(1, page, "old"), (2, None, "old")], "page_id long, html string, text string")
+    got = {r.page_id: r.text for r in html_text.extract(rows).collect()}
+    assert got[1].count("\n") == 99_999 and got[1].startswith("- word and more\n") and got[2] == ""
