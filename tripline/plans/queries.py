@@ -633,9 +633,9 @@ def stream_model_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def predictor(rows: DataFrame) -> DataFrame:
         number, folder = published.version_of(spark, out)
-        minutes = spark.read.schema("minutes double").json(folder)
-        return rows.crossJoin(F.broadcast(minutes)).withColumns({
-            "prediction": F.col("trip_distance") + F.col("minutes"), "model_version": F.lit(number)})
+        minutes = spark.read.schema("minutes double").json(folder).scalar()
+        return rows.withColumns({"prediction": F.col("trip_distance") + minutes,
+                                 "model_version": F.lit(number)})
 
     for minutes, part in ((4.0, "event_id % 2 = 0"), (6.0, "event_id % 2 = 1")):
         published.publish(spark, out, lambda folder, m=minutes: files.write_records(
