@@ -233,9 +233,11 @@ def disclosing(found: DataFrame, corpus: DataFrame, support: int = SUPPORT,
                     "wanted")
     whole = F.filter(F.split(F.lower(empty_as(c("text"))), r"[^\p{L}\p{M}]+"),
                      lambda t: F.length(t) >= TERM_LETTERS)
+    # counted within tasks first: the wanted names may be too many to broadcast, and
+    # all words of the corpus must not be shuffled to meet them
     counted = settle(corpus.select(F.explode(F.array_distinct(F.concat(
-        whole, F.transform(whole, term_class)))).alias("name")).join(
-        wanted, "name", "left_semi").groupBy("name").agg(F.count("*").alias("n_t")), "counted")
+        whole, F.transform(whole, term_class)))).alias("name")).groupBy("name").agg(
+        F.count("*").alias("n_t")).join(wanted, "name"), "counted")
 
     def telling(of: DataFrame) -> DataFrame:
         return of.join(counted, "name").select("entity", "name", _disclosure(
