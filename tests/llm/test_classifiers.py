@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import zlib
 
 import numpy as np
@@ -129,3 +131,13 @@ def test_words_of_address_with_marks():
         found = toxicity.describe(f"scum {word} there", {"scum": 0})
         assert found[at] == 1 / 3 and found[near] == 1.0, word
     assert toxicity.describe("youth young's", {})[at] == 0
+
+
+def test_words_are_learned_as_they_are_looked_up(spark):
+    """French puts a no-break space before its marks: the word must not keep it."""
+    every = "".join(chr(c) for c in range(0x110000) if chr(c).isspace())
+    assert re.fullmatch(toxicity.BETWEEN, every) and not re.search(toxicity.BETWEEN, "\u200b\x00a\ufeff")
+    rows = [("salaud\u00a0! la maison", 1)] * 9 + [("la maison et le jardin", 0)] * 30
+    learned = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, label int"))
+    assert "salaud" in learned and not any("\u00a0" in entry for entry in learned)
+    assert toxicity.describe("salaud\u00a0!", learned)[0] + toxicity.describe("salaud\u00a0!", learned)[1] > 0

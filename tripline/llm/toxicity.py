@@ -55,6 +55,12 @@ FEATURES = ("strong", "medium", "mild", "strong_count", "near_you", "you", "capi
             "exclaimed", "questioned", "dodged", "shouted_hits", "log_words")
 
 
+#: What ``str.split`` takes for white space, so that words are learned as they are looked up.
+BETWEEN = (r"[\x09-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]+")
+#: Steps of the share of labelled rows that a sample takes.
+SHARES = 10**15
+
+
 def stems(word: str) -> list[str]:
     """What the lexicon may hold of a bare lower-case word: stems end in a star."""
     return [word, *(word[:n] + "*" for n in STEM_LENGTHS if len(word) >= n)]
@@ -123,7 +129,7 @@ def learn_lexicon(labelled: DataFrame) -> dict[str, int]:
     toxic, clean = int(count["toxic"]), int(count["all"]) - int(count["toxic"])
     if not toxic or not clean:
         return {}
-    words = F.transform(F.split(F.lower("text"), r"[\x20\x09-\x0D]+"),
+    words = F.transform(F.split(F.lower("text"), BETWEEN),
                         lambda w: F.btrim(w, F.lit(_EDGES)))
     entries = F.flatten(F.transform(words, lambda w: F.concat(
         F.array(w), *(F.when(F.length(w) >= n, F.array(F.concat(F.substring(w, 1, n), F.lit("*"))))
@@ -187,8 +193,8 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0,
                          & (fold(F.col("doc_id"), folds) != held_out)).select("doc_id", "label")
     share = min(1.0, max_labelled / max(1, known.count()))
     # written, so that its size is known and texts don't move to meet it
-    chosen = settle(known.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000))
-                                < int(share * 1_000_000)), "chosen")
+    chosen = settle(known.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(SHARES))
+                                < int(share * SHARES)), "chosen")
     part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(4)) == 0
     rows = settle(docs.select("doc_id", empty_as(F.col("text")).alias("text")).join(
         chosen, "doc_id").withColumn("calibrates", part), "labelled")
