@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-
 import zlib
 
 import numpy as np
